@@ -119,6 +119,9 @@ class Pattern:
     def gaps(self, text: Column, matches: Column) -> Column:
         return F.when(F.size(matches) > 0, F.split(text, self.regex, -1))
 
+    def search(self, text: Column) -> Column:
+        return let(self.matches(text), lambda m: self.group(m, self.gaps(text, m)))
+
     def group(self, matches: Column, gaps: Column) -> Column:
         return F.struct(
             F.lit(self.label).alias("label"),
@@ -162,14 +165,7 @@ def pattern_candidates(text: Column, patterns: Sequence[Pattern]) -> Column:
     """Candidates of several patterns in one expression, for use inside lambdas."""
     if not patterns:
         return empty_candidates()
-    groups = [
-        let(
-            p.matches(text),
-            lambda m, p=p: p.group(m, p.gaps(text, m)),
-        )
-        for p in patterns
-    ]
-    return F.coalesce(candidates(groups), empty_candidates())
+    return F.coalesce(candidates([p.search(text) for p in patterns]), empty_candidates())
 
 
 def _keep_best(cluster: Column) -> Column:
