@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.functions.text import duration_seconds
@@ -78,13 +78,11 @@ def upsert(rows: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     )
 
 
-def new_dataset(spark: SparkSession, name: str, at: str) -> DataFrame:
-    """The event that creates a dataset; its id depends on name and time, so retries agree."""
-    if not name.strip():
-        raise ValueError("a dataset needs a name")
-    return spark.range(1).select(
-        F.sha2(F.lit(f"{name}|{at}"), 256).substr(1, 32).alias("id"),
-        F.lit(name).alias("name"),
+def new_datasets(names: DataFrame, at: str) -> DataFrame:
+    """Events that create datasets(name); ids depend on name and time, so retries agree."""
+    return names.select(
+        F.sha2(F.concat_ws("|", "name", F.lit(at)), 256).substr(1, 32).alias("id"),
+        "name",
         F.lit(at).cast("timestamp").alias("at"),
         F.lit(False).alias("deleted"),
     )
@@ -117,11 +115,15 @@ def list_datasets(datasets: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def get_dataset(datasets: DataFrame, files: DataFrame, dataset_id: str) -> DataFrame:
-    """One dataset with its files, one row per file (one row without a file when empty)."""
-    chosen = datasets.filter(F.col("id") == dataset_id).select("id", "name")
-    own = files.filter(F.col("dataset_id") == dataset_id)
-    return chosen.join(own.withColumnRenamed("dataset_id", "id"), "id", "left")
+def files_with_datasets(
+    datasets: DataFrame, files: DataFrame, dataset_id: str | None = None
+) -> DataFrame:
+    """One dataset, or all, with their files: one row per file, one without a file when empty."""
+    own = files.withColumnRenamed("dataset_id", "id")
+    if dataset_id is not None:
+        datasets = datasets.filter(F.col("id") == dataset_id)
+        own = own.filter(F.col("id") == dataset_id)
+    return datasets.select("id", "name").join(own, "id", "left")
 
 
 def resolve_uploads(uploads: DataFrame, files: DataFrame) -> DataFrame:
@@ -166,12 +168,12 @@ def job_errors(jobs: DataFrame) -> DataFrame:
     )
 
 
-def active_entities_of(bridge: DataFrame, dataset_id: str) -> DataFrame:
-    """Entities switched on for a dataset by the latest (entity_id, dataset_id) event."""
+def active_entities_by_dataset(bridge: DataFrame, dataset_id: str | None = None) -> DataFrame:
+    """Entities switched on for datasets by the latest (entity_id, dataset_id) event."""
+    if dataset_id is not None:
+        bridge = bridge.filter(F.col("dataset_id") == dataset_id)
     latest = latest_per_key(
-        bridge.filter(F.col("dataset_id") == dataset_id),
-        ["entity_id", "dataset_id"],
-        [F.col("at"), F.col("event_id")],
+        bridge, ["entity_id", "dataset_id"], [F.col("at"), F.col("event_id")]
     )
     return latest.filter("active").select("entity_id", "dataset_id")
 
