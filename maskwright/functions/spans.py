@@ -35,6 +35,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(value: Column) -> Column:
+    """Keep the optimizer from copying an expensive value into later filters.
+
+    A filter on a computed column, also the one that ``explode`` implies, is moved below the
+    projection and takes the whole expression with it, once per reference.  A projection that
+    is not deterministic stays where it is.  Filters on other columns belong before it.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def empty_candidates() -> Column:
     return F.array().cast(f"array<{CANDIDATE_TYPE}>")
 

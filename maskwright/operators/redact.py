@@ -101,7 +101,7 @@ def with_candidates(df: DataFrame, text_col: str, options: RedactOptions) -> Dat
             sp.candidates([p.group(m, p.gaps(text, m)) for p, m in zip(patterns, slots)])
         )
     cands = F.coalesce(F.concat(*parts), sp.empty_candidates()) if parts else sp.empty_candidates()
-    return matched.select(*keep, _unblocked(cands, options).alias(CANDIDATES))
+    return matched.select(*keep, sp.once(_unblocked(cands, options)).alias(CANDIDATES))
 
 
 def _with_tables(
@@ -160,7 +160,7 @@ def detect(
             raise ValueError("tables of swaps or blocks need id_col, a unique document key")
         found = _with_tables(found, id_col, swaps, blocks)
     keep = [_name(c) for c in df.columns]
-    return found.select(*keep, sp.resolve(F.col(CANDIDATES)).alias(out))
+    return found.select(*keep, sp.once(sp.resolve(F.col(CANDIDATES))).alias(out))
 
 
 def transform_spans(
@@ -182,9 +182,11 @@ def transform_spans(
     spans = _name(spans_col)
     entities = df.select(
         *keep,
-        F.coalesce(
-            sp.to_entities(spans, options.replacement(), language),
-            F.array().cast(f"array<{sp.ENTITY_TYPE}>"),
+        sp.once(
+            F.coalesce(
+                sp.to_entities(spans, options.replacement(), language),
+                F.array().cast(f"array<{sp.ENTITY_TYPE}>"),
+            )
         ).alias("entities"),
     )
     text = _name(text_col)
@@ -262,16 +264,17 @@ def dictionary_spans(
     text = _name(text_col)
     tokens = df.select(
         _name(id_col), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("m"), text
-    ).filter(F.size("m") > 0)
-    placed = tokens.select(
+    )
+    zipped = tokens.select(
         _name(id_col),
-        F.explode(
+        sp.once(
             F.arrays_zip(
                 sp.locate(F.col("m"), F.split(text, WORD, -1)).alias("start"),
                 F.col("m").alias("word"),
             )
         ).alias("t"),
-    ).select(_name(id_col), "t.start", "t.word")
+    )
+    placed = zipped.select(_name(id_col), F.inline("t"))
     hits = lookup_join(
         placed, words.select("word").distinct(), ["word"], "left_semi", [id_col, "start"]
     )

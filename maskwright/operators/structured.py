@@ -133,7 +133,7 @@ def _finish(
     )
     keep = [_name(c) for c in columns]
     rebuilt = df.select(
-        *keep, F.col("__error"), edits.alias("__edits"), entities.alias("entities")
+        *keep, F.col("__error"), sp.once(edits).alias("__edits"), entities.alias("entities")
     )
     bad = F.col("__error").isNotNull()
     return rebuilt.select(
@@ -236,7 +236,7 @@ def redact_json(
     leaves = walked.select(
         *keep,
         F.col("__w.error").alias("__error"),
-        F.transform(F.col("__w.leaves"), leaf).alias("__leaves"),
+        sp.once(F.transform(F.col("__w.leaves"), leaf)).alias("__leaves"),
     )
     return _finish(leaves, df.columns, text, "json_path", lambda v, _: json_encode(v), out)
 
@@ -256,12 +256,14 @@ def redact_xml(
     leaves = walked.select(
         *keep,
         F.col("__w.error").alias("__error"),
-        F.transform(
-            F.col("__w.leaves"),
-            lambda l: F.struct(
-                *[l[f].alias(f) for f in ("kind", "path", "start", "end", "value")],
-                _leaf_entities(l["value"], options, language).alias("entities"),
-            ),
+        sp.once(
+            F.transform(
+                F.col("__w.leaves"),
+                lambda l: F.struct(
+                    *[l[f].alias(f) for f in ("kind", "path", "start", "end", "value")],
+                    _leaf_entities(l["value"], options, language).alias("entities"),
+                ),
+            )
         ).alias("__leaves"),
     )
     return _finish(leaves, df.columns, text, "xml_path", xml_encode, out)
@@ -276,7 +278,8 @@ def html_token_table(df: DataFrame, id_cols: Sequence[str], html_col: str) -> Da
     """Text runs of an HTML column with their decoded content."""
     keys = [_name(c) for c in id_cols]
     return (
-        df.select(*keys, F.posexplode(html_tokens(_name(html_col))).alias("ord", "token"))
+        df.select(*keys, sp.once(html_tokens(_name(html_col))).alias("__tokens"))
+        .select(*keys, F.posexplode("__tokens").alias("ord", "token"))
         .filter(~F.startswith("token", F.lit("<")))
         .select(*keys, "ord", "token", html_decode(F.col("token")).alias("value"))
     )
@@ -312,7 +315,7 @@ def redact_html(
             ),
         )
 
-    runs = tokens.select(*keep, F.transform(F.col("__tokens"), run).alias("__runs"))
+    runs = tokens.select(*keep, sp.once(F.transform(F.col("__tokens"), run)).alias("__runs"))
     rebuilt = F.array_join(
         F.transform(
             F.col("__runs"),

@@ -197,7 +197,7 @@ def redact_csv_text(df: DataFrame, text_col: str, options: RedactOptions) -> Dat
             ),
         )
 
-    cut = df.select("*", head.alias("__head"), F.transform(body, cell).alias("__cells"))
+    cut = df.select("*", head.alias("__head"), sp.once(F.transform(body, cell)).alias("__cells"))
     return cut.select(
         *df.columns,
         F.concat(

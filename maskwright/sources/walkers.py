@@ -163,3 +163,8 @@ def json_leaves_udf(texts: pd.Series) -> pd.DataFrame:
 @F.pandas_udf(LEAVES_TYPE)
 def xml_leaves_udf(texts: pd.Series) -> pd.DataFrame:
     return _rows(texts, xml_leaves)
+
+
+# Filters on the results must not be moved below the walk: they would walk every text again.
+json_leaves_udf = json_leaves_udf.asNondeterministic()
+xml_leaves_udf = xml_leaves_udf.asNondeterministic()
