@@ -25,7 +25,7 @@ from maskwright.functions.catalog import (
 from maskwright.functions.jsonpath import literal
 from maskwright.operators.detectors import WORD, detector
 from maskwright.operators.policy import RedactOptions
-from maskwright.operators.sizing import broadcast_if_bounded, lookup_join
+from maskwright.operators.sizing import lookup_join
 
 CANDIDATES = "__candidates"
 
@@ -112,8 +112,9 @@ def _with_tables(
 ) -> DataFrame:
     """Apply tables of swaps(label, original, replacement) and blocks(label, pattern).
 
-    Only candidates travel: they are exploded, joined, regrouped per document and joined
-    back by id.
+    Candidates are exploded, joined, regrouped per document and joined back by id.  The last
+    join is left to adaptive execution, which broadcasts the regrouped candidates when they
+    turn out to be small; checking their size here would run the detection twice.
     """
     flat = df.select(_name(id_col).alias("__id"), F.inline(CANDIDATES)).drop("swap")
     if blocks is not None:
@@ -137,7 +138,7 @@ def _with_tables(
     )
     docs = df.drop(CANDIDATES)
     return (
-        docs.join(broadcast_if_bounded(regrouped), _name(id_col) == F.col("__id"), "left")
+        docs.join(regrouped, _name(id_col) == F.col("__id"), "left")
         .withColumn(CANDIDATES, F.coalesce("__revised", sp.empty_candidates()))
         .drop("__id", "__revised")
     )
