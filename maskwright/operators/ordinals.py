@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from maskwright.operators.sizing import lookup_join
+
 # Groups above this size are numbered in ranges instead of in one sort.
-HOT_ROWS = 500_000
+HOT_ROWS = 5_000_000
 RANGES = 64
 
 
@@ -28,44 +30,35 @@ def ordinal_within(
 ) -> DataFrame:
     """Number the rows of every key from 1 in the order of a unique string column.
 
-    Groups of ordinary size are numbered by one window.  A group of more than ``hot_rows`` rows
-    is cut into ranges at boundary values taken from the group; each range is numbered on its
-    own and shifted by the sizes of the ranges before it.  The boundaries only decide how
-    evenly the work is cut, never the result.
+    Groups of ordinary size are numbered by one window.  When a group has more than
+    ``hot_rows`` rows it is cut into ranges at boundary values taken from the group; each range
+    is numbered on its own and shifted by the sizes of the ranges before it.  The boundaries
+    only decide how evenly the work is cut, never the result.
     """
-    step = F.greatest(F.lit(1), F.lit(hot_rows // RANGES))
-    sizes = df.groupBy(key).agg(
-        F.count("*").alias("__n"),
-        # about RANGES values per hot group, picked by hash of the value
-        F.array_sort(
-            F.collect_set(F.when(F.pmod(F.xxhash64(order), step) == 0, F.col(order)))
-        ).alias("__picked"),
-    )
-    cuts = sizes.filter(F.col("__n") > hot_rows).select(
-        key,
-        F.expr(
-            f"filter(__picked, (x, i) -> i % greatest(1, cast(size(__picked) / {RANGES} as int)) = 0)"
-        ).alias("__cuts"),
+    hot = df.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > hot_rows)
+    if hot.isEmpty():
+        numbered = F.row_number().over(Window.partitionBy(key).orderBy(order))
+        return df.withColumn(out, numbered.cast("long"))
+    # About two boundary candidates per range and group, whatever the size of the group.
+    members = lookup_join(df.select(key, order), hot, [key], "inner", [order])
+    picked = members.filter(
+        F.pmod(F.xxhash64(order), F.ceil(F.col("__n") / (2 * RANGES))) == 0
     )
-    # One row per hot group: at most (rows / hot_rows) rows of at most 2 * RANGES values.
-    ranged = df.join(F.broadcast(cuts), key, "left").withColumn(
-        "__range",
-        F.coalesce(F.expr(f"size(filter(__cuts, x -> x <= `{order}`))"), F.lit(0)),
+    cuts = picked.groupBy(key).agg(F.sort_array(F.collect_set(order)).alias("__cuts"))
+    ranged = lookup_join(df, cuts, [key], "left", [order]).withColumn(
+        "__range", F.coalesce(F.expr(f"size(filter(__cuts, x -> x <= `{order}`))"), F.lit(0))
     ).drop("__cuts")
-    numbered = ranged.withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(key, "__range").orderBy(order))
-    )
-    counts = ranged.join(F.broadcast(cuts.select(key)), key, "left_semi").groupBy(
-        key, "__range"
-    ).agg(F.count("*").alias("__c"))
+    own = Window.partitionBy(key, "__range").orderBy(order)
     before = Window.partitionBy(key).orderBy("__range").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = counts.select(
+    sizes = ranged.groupBy(key, "__range").agg(F.count("*").alias("__c")).select(
         key, "__range", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__offset")
     )
+    # A range is a small part of its group, so this join has no hot key of its own.
     return (
-        numbered.join(F.broadcast(offsets), [key, "__range"], "left")
-        .withColumn(out, (F.col("__rn") + F.coalesce("__offset", F.lit(0))).cast("long"))
+        ranged.withColumn("__rn", F.row_number().over(own))
+        .join(sizes, [key, "__range"])
+        .withColumn(out, (F.col("__rn") + F.col("__offset")).cast("long"))
         .select(*df.columns, out)
     )

@@ -418,7 +418,6 @@ def r17_custom_entities(t: Tables) -> DataFrame:
     )
 
 
-_BLOCKED = "131.47.25.205"
 _BLOCK_SQL = """kept AS (SELECT * FROM cand WHERE NOT (
     (label = 'IP_ADDRESS' AND (text = '10.0.0.0' OR regexp_matches(text, '^1\\d\\d\\.')))
     OR (label = 'EMAIL_ADDRESS' AND regexp_matches(text, 'mail[0-4]@?'))
