@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.llm import byte_bpe, packing
+from maskwright.llm import (
+    ball_tree, byte_bpe, chat, hash_forest, jaccard, langid, packing, secret_scan, url_filter,
+    warc_zip,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +43,142 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_query
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of all documents, judged by how many sources hold them."""
+    kinds = secret_scan.BASE_KINDS
+    found = secret_scan.scan(_table(spark, folder, "documents"))
+    counts = [
+        F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{kind}")
+        for i, kind in enumerate(kinds)
+    ]
+    base = secret_scan.spans_text(F.col("spans"), kinds).cast("binary")
+    return found.select(
+        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+URL_RULES = (
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+    ("net/es/", "block"), ("net/fr/", "block"),
+)
+# The list of the query: hosts with one of these words between dots or hyphens.
+LISTED_HOSTS = r"(^|[.-])(spam|casino|pills)([.-]|$)"
+
+
+@_query
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Every url by the rules, or else by the cascade of listed hosts."""
+    return url_filter.filter_urls(
+        _table(spark, folder, "pages"), F.col("host").rlike(LISTED_HOSTS), URL_RULES
+    )
+
+
+ORACLES["op3_url_filter"] = """
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+rules(site, tail, verdict) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fitting AS (
+  SELECT page_id, arg_max(site || tail, length(site || tail)) AS rule,
+         arg_max(verdict, length(site || tail)) AS verdict
+  FROM parsed JOIN rules
+    ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, tail)
+  GROUP BY page_id)
+SELECT p.page_id, host, path, f.rule,
+  coalesce(f.verdict, CASE WHEN regexp_matches(host, '(^|[.-])(spam|casino|pills)([.-]|$)')
+    THEN 'block' ELSE 'allow' END) AS verdict
+FROM parsed p LEFT JOIN fitting f ON p.page_id = f.page_id"""
+
+
+@_query
+def op4_ball_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 largest inner products of every 20th vector with all others."""
+    return ball_tree.search(_table(spark, folder, "embeddings"))
+
+
+ORACLES["op4_ball_tree"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id, score
+FROM scored QUALIFY rank <= 20"""
+
+
+@_query
+def op5_hash_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """About the 10 nearest vectors of every 100th."""
+    return hash_forest.search(_table(spark, folder, "embeddings"))
+
+
+@_query
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document under links of similar shingle sets."""
+    return jaccard.join(_table(spark, folder, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+@_query
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations formatted, and what is read back from the formatted texts."""
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marked = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame(
+        [(-7, 0, "user", marked), (-7, 1, "assistant", marked)], turns.schema
+    )
+    return chat.read_back(chat.format_turns(turns.unionByName(own)))
+
+
+ORACLES["op8_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+long AS (
+  SELECT *, length(text) + length(text) - length(replace(text, '\', '')) + len(regexp_extract_all(
+    text, '<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>'
+    )) AS escaped FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  sum(24 + length(role) + escaped)::BIGINT AS formatted_chars
+FROM long GROUP BY conv_id"""
+
+
+@_query
+def op9_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records in packages, and the records read back by ranges."""
+    archives = warc_zip.write_archives(_table(spark, folder, "pages"))
+    return warc_zip.read_archives(archives, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@_query
+def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from three of four folds."""
+    docs = _table(spark, folder, "documents")
+    prototypes = langid.train_on_folds(docs)
+    return langid.predict(docs.select("doc_id", "text"), prototypes).select(
+        "doc_id", langid.in_fold("doc_id").alias("held_out"), "lang_pred", "score"
+    )
