@@ -23,10 +23,14 @@ DIMENSIONS = 1024
 GRAM = 3
 SEED = 20_240_117
 UNKNOWN = "und"
-# Vectors of n-grams kept per Python worker: 4 bytes a dimension each.
+# Letters and n-grams that a Python worker numbers; texts with others take a slower path.
+LETTERS = 128
 MEMO_GRAMS = 16_384
+# Counts of one matrix product.
+BLOCK_COUNTS = 4 * 1024 * 1024
 # The model is one vector per language; more languages than this are refused, not dropped.
 MAX_LANGUAGES = 5_000
+_GAP, _NEW, _OTHER = 0, -1, -2
 
 
 class Profiles:
@@ -35,12 +39,12 @@ class Profiles:
     def __init__(self, dimensions: int, gram: int, seed: int) -> None:
         self.dimensions, self.gram, self.seed = dimensions, gram, seed
         self.letters: dict[int, np.ndarray] = {}
-        self.rows: dict[int, int] = {}
+        # Numbers of code points (gaps, letters, not seen yet, letters beyond the bound).
+        self.numbers = np.full(0x110000, _NEW, dtype=np.int32)
+        self.points = [0]
+        self.rows = np.full(LETTERS**gram, -1, dtype=np.int32)
+        self.known = 0
         self.vectors = np.empty((MEMO_GRAMS, dimensions), dtype=np.float32)
-        points = np.arange(0x10000)
-        kinds = [unicodedata.category(chr(p))[0] for p in points]
-        # Letters and the marks on them count; everything else parts words.
-        self.is_letter = np.array([k in "LM" for k in kinds])
 
     def _letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
@@ -50,54 +54,89 @@ class Profiles:
             self.letters[point] = random.integers(0, 2, self.dimensions, dtype=np.int8) * 2 - 1
         return self.letters[point]
 
-    def _gram_vector(self, code: int) -> np.ndarray:
+    def _gram_vector(self, points: list[int]) -> np.ndarray:
+        """The product of the letters' vectors, each rotated by its place; gaps are a letter."""
         out = np.ones(self.dimensions, dtype=np.int8)
-        for place in range(self.gram):
-            out *= np.roll(self._letter(code & 0x1FFFFF), place)
-            code >>= 21
+        for place, point in enumerate(points):
+            out *= np.roll(self._letter(point), place)
         return out
 
-    def grams(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Codes and counts of the n-grams of the lower-cased words, each between two gaps."""
+    def _line(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The lower-cased letters, one gap between, before and after words: as code points (0
+        for a gap) and as numbers."""
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        low = points < 0x10000
-        letter = self.is_letter[np.where(low, points, 0)]
-        for i in np.flatnonzero(~low):
-            letter[i] = unicodedata.category(chr(points[i]))[0] in "LM"
+        numbers = self.numbers[points]
+        if (numbers == _NEW).any():
+            for point in np.unique(points[numbers == _NEW]).tolist():
+                if unicodedata.category(chr(point))[0] != "L":
+                    self.numbers[point] = _GAP
+                elif len(self.points) < LETTERS:
+                    self.numbers[point] = len(self.points)
+                    self.points.append(point)
+                else:
+                    self.numbers[point] = _OTHER
+            numbers = self.numbers[points]
         line = np.zeros(len(points) + 2, dtype=np.int64)
-        line[1:-1] = np.where(letter, points, 0)
+        line[1:-1] = np.where(numbers != _GAP, points, 0)
         gap = line == 0
-        line = line[~(gap & np.concatenate(([False], gap[:-1])))]
-        n = len(line) - self.gram + 1
-        if not letter.any() or n < 1:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+        keep = ~(gap & np.concatenate(([False], gap[:-1])))
+        numbered = np.zeros(len(line), dtype=np.int64)
+        numbered[1:-1] = numbers
+        return line[keep], numbered[keep]
+
+    def _rows_of(self, numbers: np.ndarray) -> np.ndarray | None:
+        """The rows of a line's n-grams in ``vectors``; None if they have no room there."""
+        if (numbers == _OTHER).any():
+            return None
+        n = len(numbers) - self.gram + 1
         code = np.zeros(n, dtype=np.int64)
         for place in range(self.gram):
-            code |= line[place:place + n] << (21 * place)
-        return np.unique(code, return_counts=True)
-
-    def _rows_of(self, codes: list[int]) -> list[int]:
-        if len(self.rows) + len(codes) > MEMO_GRAMS:
-            self.rows.clear()
-        rows = []
-        for code in codes:
-            row = self.rows.get(code)
-            if row is None:
-                row = self.rows[code] = len(self.rows)
-                self.vectors[row] = self._gram_vector(code)
-            rows.append(row)
+            code = code * LETTERS + numbers[place:place + n]
+        rows = self.rows[code]
+        if (rows < 0).any():
+            fresh = np.unique(code[rows < 0]).tolist()
+            if self.known + len(fresh) > MEMO_GRAMS:
+                return None
+            for one in fresh:
+                places = [one // LETTERS**i % LETTERS for i in range(self.gram - 1, -1, -1)]
+                self.vectors[self.known] = self._gram_vector([self.points[p] for p in places])
+                self.rows[one] = self.known
+                self.known += 1
+            rows = self.rows[code]
         return rows
 
-    def profile(self, text: str) -> np.ndarray | None:
-        """The summed vectors of a text's n-grams, or None if it has no letter."""
-        codes, counts = self.grams(text)
-        if not len(codes):
-            return None
-        total = np.zeros(self.dimensions)
-        for i in range(0, len(codes), 4096):
-            rows = self._rows_of(codes[i:i + 4096].tolist())
-            total += counts[i:i + 4096].astype(np.float32) @ self.vectors[rows]
-        return np.rint(total)
+    def _summed(self, line: np.ndarray) -> np.ndarray:
+        """The profile of a line whose n-grams have no rows."""
+        grams = np.lib.stride_tricks.sliding_window_view(line, self.gram)
+        kinds, counts = np.unique(grams, axis=0, return_counts=True)
+        total = np.zeros(self.dimensions, dtype=np.int64)
+        for kind, count in zip(kinds.tolist(), counts.tolist(), strict=True):
+            total += count * self._gram_vector(kind).astype(np.int64)
+        return total
+
+    def counted(self, text: str | None) -> tuple[np.ndarray | None, np.ndarray | None]:
+        """(rows, None), or (None, profile) where rows have no room; neither without letters."""
+        if not text:
+            return None, None
+        line, numbers = self._line(text)
+        if len(line) < max(3, self.gram):
+            return None, None
+        rows = self._rows_of(numbers)
+        return (rows, None) if rows is not None else (None, self._summed(line))
+
+    def profiles(self, texts: list[str | None]) -> Iterator[np.ndarray | None]:
+        """The summed vectors of each text's n-grams; None for a text without letters."""
+        done = [self.counted(text) for text in texts]
+        step = max(1, BLOCK_COUNTS // max(1, self.known))
+        for i in range(0, len(done), step):
+            part = done[i:i + step]
+            counts = np.zeros((len(part), self.known), dtype=np.float32)
+            for j, (rows, _) in enumerate(part):
+                if rows is not None:
+                    counts[j] = np.bincount(rows, minlength=self.known)
+            sums = counts @ self.vectors[:self.known]
+            for j, (rows, profile) in enumerate(part):
+                yield sums[j].astype(np.float64) if rows is not None else profile
 
 
 def _profiles(dimensions: int, gram: int, seed: int) -> Profiles:
@@ -123,14 +162,22 @@ def train(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        profiles, sums = _profiles(dimensions, gram, seed), {}
+        profiles = _profiles(dimensions, gram, seed)
+        # A sum is linear in the counts: n-grams are counted per language and weighted once.
+        counts, sums = {}, {}
         for batch, texts in chunks(batches, "text"):
             for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                profile = profiles.profile(text) if text else None
-                if profile is not None:
-                    if lang not in sums:
-                        sums[lang] = np.zeros(dimensions, dtype=np.int64)
-                    sums[lang] += profile.astype(np.int64)
+                rows, profile = profiles.counted(text)
+                if rows is not None:
+                    if lang not in counts:
+                        counts[lang] = np.zeros(MEMO_GRAMS, dtype=np.int64)
+                    counts[lang][:profiles.known] += np.bincount(rows, minlength=profiles.known)
+                elif profile is not None:
+                    sums[lang] = sums.get(lang, 0) + profile
+        for lang, count in counts.items():
+            used = np.flatnonzero(count)
+            weighted = count[used].astype(np.float64) @ profiles.vectors[used]
+            sums[lang] = sums.get(lang, 0) + np.rint(weighted).astype(np.int64)
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -184,8 +231,9 @@ def predict(
         langs, prototype = model.value
         for batch, texts in chunks(batches, text_col):
             predicted, scores = [], []
-            for text in texts:
-                profile = profiles.profile(text) if text and langs else None
+            for profile in profiles.profiles(texts):
+                if not langs:
+                    profile = None
                 norm = float(np.linalg.norm(profile)) if profile is not None else 0.0
                 if not norm:
                     predicted.append(UNKNOWN)
