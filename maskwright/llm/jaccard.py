@@ -286,6 +286,8 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             if not is_member:
                 lonely.append((cid, shingles))
                 continue
+            if not lonely:
+                break  # no lonely member fell into this block
             block = block or _Block(lonely)
             for other in block.cids[block.similar(shingles, percent)].tolist():
                 if other != cid and forest.join(cid, other):
