@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from maskwright.llm.common import Memo, chunks, column, per_process
+from maskwright.llm.common import Memo, chunks, column, per_process, small_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
 # Pieces and token pairs remembered per Python worker (and generation, for pieces).
@@ -188,6 +188,7 @@ def encode(
                 [batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
             )
 
+    small_batches(docs.sparkSession)
     rows = docs.select(
         column(id_col).cast("bigint").alias("doc_id"), column(text_col).alias("text")
     )
@@ -219,6 +220,7 @@ def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
                 names=["doc_id", "ids", "decoded"],
             )
 
+    small_batches(encoded.sparkSession)
     return encoded.select("doc_id", "ids").mapInArrow(
         run, "doc_id bigint, ids binary, decoded binary"
     )

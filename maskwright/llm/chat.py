@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import column
+from maskwright.llm.common import column, small_batches
 
 # Turns of one segment: its prefixes are rendered one after another.
 SEGMENT = 64
@@ -161,6 +161,7 @@ def format_turns(
         if rows:
             yield _pieces(rows)
 
+    small_batches(conversations.sparkSession)
     rows = conversations.select(
         column(conv_col).cast("bigint").alias("conv_id"),
         F.coalesce(column(role_col), F.lit("")).alias("role"),

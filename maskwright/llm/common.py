@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 
 # Text of one Arrow batch that is worked on at a time.
 CHUNK_CHARS = 2 * 1024 * 1024
+# Bounds of the Arrow batches between the JVM and Python workers: texts can be long.
+BATCH_BOUNDS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": 4 * 1024 * 1024,
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 2048,
+}
 
 
 def column(name: str) -> Column:
@@ -57,6 +62,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bounds of Arrow batches to those of this package, if they are higher:
+    a worker holds a few megabytes of texts at a time, however long they are."""
+    for name, bound in BATCH_BOUNDS.items():
+        now = int(spark.conf.get(name).rstrip("b"))
+        if now <= 0 or now > bound:
+            spark.conf.set(name, str(bound))
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether a frame has at most ``rows`` rows; counts no more than one row beyond."""
     return df.limit(rows + 1).count() <= rows

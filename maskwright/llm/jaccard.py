@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import chunks, column, fits, per_process, stored
+from maskwright.llm.common import chunks, column, fits, per_process, small_batches, stored
 from maskwright.llm.components import components
 
 SHINGLE = 3
@@ -366,6 +366,7 @@ def join(
     Equal texts and repeated rows are linked.  Null ids take part, but are no component's
     smallest id unless it has no other.  No rows give no rows.  Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"),
         column(id_col).cast("bigint").alias("doc_id"),

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskwright.llm.common import chunks, column, per_process
+from maskwright.llm.common import chunks, column, per_process, small_batches
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -188,6 +188,7 @@ def train(
                 names=["lang", "position", "value"],
             )
 
+    small_batches(docs.sparkSession)
     rows = docs.select(column(lang_col).alias("lang"), column(text_col).alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
@@ -248,6 +249,7 @@ def predict(
                 names=[*batch.schema.names, lang_out, score_out],
             )
 
+    small_batches(docs.sparkSession)
     schema = T.StructType([
         *docs.schema.fields,
         T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType()),

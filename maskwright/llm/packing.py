@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from maskwright.llm.common import Memo, chunks, column, per_process
+from maskwright.llm.common import Memo, chunks, column, per_process, small_batches
 
 LIMIT = 2048
 EOS = 1
@@ -151,6 +151,7 @@ def pack(
             )
             number += n
 
+    small_batches(docs.sparkSession)
     rows = docs.select(
         column(id_col).cast("bigint").alias("doc_id"), column(text_col).alias("text")
     )

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskwright.llm.common import chunks, column, stored
+from maskwright.llm.common import chunks, column, small_batches, stored
 
 # A value held by more owners than this is a widely copied example.
 MAX_OWNERS = 2
@@ -152,6 +152,7 @@ def scan(
     spans.  Repeated rows and ids stay separate rows; repeated rows of one owner count as one
     owner.  No rows give no rows.  Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"),
         column(id_col).alias("doc_id"),

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import column, stored
+from maskwright.llm.common import column, small_batches, stored
 
 # Keys of one shard, about; a shard is built in the memory of one task.
 SHARD_KEYS = 200_000
@@ -178,6 +178,7 @@ def judge(
     shard lies in another block wait for its pass.  One block is the usual case: a filter has a
     few bits per listed key.
     """
+    small_batches(rows.sparkSession)
     sizes = (
         filters.groupBy("shard").agg(F.sum(F.length("filter")).alias("bytes"))
         .orderBy("shard").toLocalIterator()

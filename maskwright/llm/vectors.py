@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import column
+from maskwright.llm.common import column, small_batches
 
 # Queries searched together within a task.
 BLOCK = 512
@@ -58,6 +58,7 @@ def scatter(candidates: DataFrame, queries: DataFrame, shards: int) -> DataFrame
 
     ``queries`` brings an array ``targets`` of shards and the score ``floor`` known so far.
     """
+    small_batches(candidates.sparkSession)
     dim = F.size("vector").alias("dim")
     nothing = F.lit(None).cast("double").alias("floor")
     both = candidates.select(

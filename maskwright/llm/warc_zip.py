@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import chunks, column, fits, shared_path, stored
+from maskwright.llm.common import chunks, column, fits, shared_path, small_batches, stored
 
 ARCHIVE = "archive/data.warc.gz"
 INDEX = "indexes/index.jsonl"
@@ -304,6 +304,7 @@ def write_archives(
     packages under new names; only those of the attempt that succeeded are listed.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     target = folder or shared_path(spark, "warc")
     payload = F.encode(F.coalesce(column(html_col), F.lit("")), "UTF-8")
     rows = pages.select(
