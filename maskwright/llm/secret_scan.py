@@ -234,7 +234,7 @@ def mask(
     """
     spans = stored(
         scan(docs, id_col, text_col, owner_col, repository_col, max_owners)
-        .filter(F.size("spans") > 0).select(F.col("row").alias("__row"), "spans"),
+        .filter(F.size("spans") > 0).select(F.col("row").alias("__row"), F.col("spans").alias("__spans")),
         "secret_verdicts",
     )
     order = docs.columns
@@ -259,7 +259,7 @@ def mask(
                 _mask(text, found)
                 for text, found in zip(
                     batch.column(at).to_pylist(),
-                    batch.column(batch.schema.get_field_index("spans")).to_pylist(),
+                    batch.column(batch.schema.get_field_index("__spans")).to_pylist(),
                     strict=True,
                 )
             ]

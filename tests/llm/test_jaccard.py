@@ -73,7 +73,7 @@ def _got(frame, docs):
     return sorted(map(str, ((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows)))
 
 
-@pytest.mark.parametrize("seed,block", [(1, 512), (2, 4), (3, 2)])
+@pytest.mark.parametrize("seed,block", [(1, 512), (3, 2)])
 def test_components_equal_brute_force(frame, monkeypatch, seed, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     docs = _corpus(seed)
@@ -125,21 +125,17 @@ def test_overlap_bounds_hold():
         assert need <= jaccard.sample_size(n, 90) + need - jaccard.slack(n) <= n
 
 
-@pytest.mark.parametrize("shape", ["chain", "star", "random"])
-def test_components_of_links(spark, shape):
+def test_components_of_links(spark):
     pick, n = random.Random(7), 300
-    links = {
-        "chain": [(i + 1, i) for i in range(n)],
-        "star": [(0, i) for i in range(1, n)] + [(5, 5)],
-        "random": [(pick.randrange(n), pick.randrange(n)) for _ in range(200)],
-    }[shape]
+    links = [(i + 1, i) for i in range(n)]  # a chain, a star and random links
+    links += [(1000, 1000 + i) for i in range(1, n)] + [(5, 5)]
+    links += [(2000 + pick.randrange(n), 2000 + pick.randrange(n)) for _ in range(200)]
     got = {r["node"]: r["root"] for r in components(
         spark.createDataFrame(links, "a bigint, b bigint")).collect()}
-    root = {}
-    for a, b in links:
-        root.setdefault(a, a), root.setdefault(b, b)
+    root = {x: x for link in links for x in link if link[0] != link[1]}
     for _ in range(n):
         for a, b in links:
-            root[a] = root[b] = min(root[a], root[b])
-    assert got == {k: v for k, v in root.items() if any(a != b for a, b in links if k in (a, b))}
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    assert got == root
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []

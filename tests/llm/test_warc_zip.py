@@ -89,7 +89,7 @@ def test_ranges_of_stored_members(wide, comment):
 def test_zip64_directories(monkeypatch):
     monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 500)
     monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 2)
-    data = _package()
+    data = _package(wide=True)
     assert W.END64 in data and W.LOCATOR64 in data
     reader = W.PackageReader(io.BytesIO(data), len(data))
     for i in range(5):
