@@ -59,9 +59,13 @@ def running(values: Column, start: Column, step: Callable[[Column, Column], Colu
         return F.aggregate(part, start, step)
 
     def prefix(part: Column, base: Column) -> Column:
-        return F.transform(
-            part, lambda _, i: step(base, fold(F.slice(part, F.lit(1), i + 1)))
+        # One pass over the block, each step growing the array of totals.
+        grown = F.aggregate(
+            part, F.array(base), lambda acc, x: F.concat(
+                acc, F.array(step(F.get(acc, F.size(acc) - 1), x))
+            )
         )
+        return F.slice(grown, F.lit(2), F.size(part))
 
     def join(blocks: Column) -> Column:
         return let(

@@ -19,8 +19,6 @@ DetectorFn = Callable[[Column], Column]
 _REGISTERED: dict[str, DetectorFn] = {}
 
 WORD = r"[\p{L}\p{N}]+"
-# A dictionary up to this size is looked up inside the row; a larger one is joined as a table.
-MAX_INLINE_WORDS = 10_000
 
 
 def register_detector(entity_id: str, detector: DetectorFn) -> None:
@@ -39,12 +37,14 @@ def pattern_detector(label: str, pattern: str) -> DetectorFn:
 
 
 def dictionary_detector(label: str, words: Iterable[str]) -> DetectorFn:
-    """Every word of the text that is in the dictionary is a span of ``label``."""
+    """Every word of the text that is in the dictionary is a span of ``label``.
+
+    The words become part of the plan; a large dictionary is better passed to ``redact`` as a
+    table.
+    """
     known = sorted(set(words))
     if not known:
         raise ValueError("a dictionary must not be empty")
-    if len(known) > MAX_INLINE_WORDS:
-        raise ValueError(f"more than {MAX_INLINE_WORDS} words: use dictionary_spans with a table")
 
     def find(text: Column) -> Column:
         words_in_row = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))

@@ -115,12 +115,13 @@ def micro(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def saved_ground_truth(batches: DataFrame, files: DataFrame) -> DataFrame:
     """Gold spans of batches(file_id, batch, annotations, mark_reviewed): the latest batch wins.
 
-    A span outside the file is reported in ``error`` instead of being stored silently.
+    A span outside the file is reported in ``error`` instead of being stored silently.  A file
+    reviewed as having no spans is one row without a span.
     """
     last = latest_per_key(batches, ["file_id"], [F.col("batch")])
     sized = last.join(files.select("file_id", F.length("content").alias("n")), "file_id")
     spans = sized.select(
-        "file_id", "n", "mark_reviewed", F.explode("annotations").alias("a")
+        "file_id", "n", "mark_reviewed", F.explode_outer("annotations").alias("a")
     ).select("file_id", "n", "mark_reviewed", "a.start", "a.end")
     valid = (F.col("start") >= 0) & (F.col("start") <= F.col("end")) & (F.col("end") <= F.col("n"))
     return spans.select(

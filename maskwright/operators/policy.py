@@ -15,11 +15,9 @@ from maskwright.functions.catalog import (
     DETECTORS,
     GENERATOR_VERSIONS,
     HANDLINGS,
+    SYNTHESIS_HANDLINGS,
 )
 
-# More swaps or replacements than this belong in a table, see ``redact(..., swaps=...)``.
-MAX_INLINE_ENTRIES = 1000
-
 
 @dataclass(frozen=True)
 class LabelList:
@@ -54,7 +52,8 @@ class RedactOptions:
     """Per-entity-type policy of a redaction job.
 
     ``labels`` restricts the built-in detectors that are put into the plan, ``key`` seeds all
-    surrogates and ``replacements`` holds the user's pools for ReplacementSynthesis.
+    surrogates (the kinds of Synthesis need one) and ``replacements`` holds the user's pools for
+    ReplacementSynthesis; large pools and swaps are passed to ``redact`` as tables.
     """
 
     generator_config: Mapping[str, str] = field(default_factory=dict)
@@ -64,7 +63,7 @@ class RedactOptions:
     label_block_lists: Mapping[str, LabelList] = field(default_factory=dict)
     label_allow_lists: Mapping[str, LabelList] = field(default_factory=dict)
     labels: Sequence[str] | None = None
-    key: str = "maskwright"
+    key: str | None = None
     replacements: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -93,13 +92,14 @@ class RedactOptions:
                     raise ValueError("a listed string must not be empty")
                 for pattern in entry.regexes:
                     _check_pattern(pattern)
-        inline = sum(len(m.swaps) for m in self.generator_metadata.values())
-        inline += sum(len(v) for v in self.replacements.values())
-        if inline > MAX_INLINE_ENTRIES:
-            raise ValueError(
-                f"{inline} inline swaps and replacements; pass more than "
-                f"{MAX_INLINE_ENTRIES} as a table"
-            )
+        if self.key is None and set(handlings) & set(SYNTHESIS_HANDLINGS):
+            raise ValueError("surrogates need a key of your own: without a secret key they can be "
+                             "tried out")
+
+    def surrogate_key(self) -> str:
+        if self.key is None:
+            raise ValueError("surrogates need a key")
+        return self.key
 
     def handling_of(self, label: str) -> str:
         return self.generator_config.get(label, self.generator_default or "Redaction")

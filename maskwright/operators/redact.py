@@ -1,7 +1,7 @@
 """Redaction of a text column: detect, resolve, transform, rebuild.
 
 With inline policies the whole job is a chain of projections: no shuffle, no Python.  Tables
-of swaps or blocked values are joined to the exploded candidates, never to the texts.
+of swaps, blocked values, replacements or words are looked up inside the rows.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from maskwright.functions.catalog import (
     Detector,
 )
 from maskwright.functions.jsonpath import literal
+from maskwright.operators import lookups
 from maskwright.operators.detectors import WORD, detector
 from maskwright.operators.policy import RedactOptions
 from maskwright.operators.sizing import lookup_join
@@ -106,42 +107,29 @@ def with_candidates(df: DataFrame, text_col: str, options: RedactOptions) -> Dat
 
 def _with_tables(
     df: DataFrame,
-    id_col: str,
+    text_col: str,
+    options: RedactOptions,
     swaps: DataFrame | None,
     blocks: DataFrame | None,
+    replacements: DataFrame | None,
+    dictionary: DataFrame | None,
 ) -> DataFrame:
-    """Apply tables of swaps(label, original, replacement) and blocks(label, pattern).
-
-    Candidates are exploded, joined, regrouped per document and joined back by id.  The last
-    join is left to adaptive execution, which broadcasts the regrouped candidates when they
-    turn out to be small; checking their size here would run the detection twice.
-    """
-    flat = df.select(_name(id_col).alias("__id"), F.inline(CANDIDATES)).drop("swap")
+    """Apply tables of any size to the candidates, inside their rows."""
+    if dictionary is not None:
+        df = lookups.dictionary_candidates(df, text_col, CANDIDATES, dictionary)
     if blocks is not None:
-        listed = blocks.select("label", F.col("pattern").alias("text")).distinct()
-        forced = flat.filter(F.col("precedence") == ALLOW)
-        others = flat.filter(F.col("precedence") != ALLOW)
-        flat = forced.unionByName(
-            lookup_join(others, listed, ["label", "text"], "left_anti", ["__id", "start"])
-        )
+        df = lookups.unblocked(df, CANDIDATES, blocks)
     if swaps is not None:
-        table = swaps.groupBy("label", F.col("original").alias("text")).agg(
-            F.min("replacement").alias("swap")
-        )
-        flat = lookup_join(flat, table, ["label", "text"], "left", ["__id", "start"])
-    else:
-        flat = flat.withColumn("swap", F.lit(None).cast("string"))
-    regrouped = flat.groupBy("__id").agg(
-        F.collect_list(
-            F.struct("start", "end", "precedence", "label", "text", "score", "swap")
-        ).alias("__revised")
-    )
-    docs = df.drop(CANDIDATES)
-    return (
-        docs.join(regrouped, _name(id_col) == F.col("__id"), "left")
-        .withColumn(CANDIDATES, F.coalesce("__revised", sp.empty_candidates()))
-        .drop("__id", "__revised")
-    )
+        df = lookups.swapped(df, CANDIDATES, swaps)
+    if replacements is not None:
+        # Pools serve those labels only that are drawn from pools.
+        pooled = [x for x in options.known_labels()
+                  if options.handling_of(x) == "ReplacementSynthesis"]
+        by_default = options.handling_of("") == "ReplacementSynthesis"
+        known = F.col("label").isin(*options.known_labels())
+        wanted = F.col("label").isin(*pooled) | (~known if by_default else F.lit(False))
+        df = lookups.drawn(df, CANDIDATES, replacements.filter(wanted), options.surrogate_key())
+    return df
 
 
 def detect(
@@ -149,17 +137,17 @@ def detect(
     text_col: str,
     options: RedactOptions = RedactOptions(),
     *,
-    id_col: str | None = None,
     swaps: DataFrame | None = None,
     blocks: DataFrame | None = None,
+    replacements: DataFrame | None = None,
+    dictionary: DataFrame | None = None,
     out: str = "spans",
 ) -> DataFrame:
     """Add the resolved candidate spans of every text; no policy is applied yet."""
-    found = with_candidates(df, text_col, options)
-    if swaps is not None or blocks is not None:
-        if id_col is None:
-            raise ValueError("tables of swaps or blocks need id_col, a unique document key")
-        found = _with_tables(found, id_col, swaps, blocks)
+    found = _with_tables(
+        with_candidates(df, text_col, options), text_col, options,
+        swaps, blocks, replacements, dictionary,
+    )
     keep = [_name(c) for c in df.columns]
     return found.select(*keep, sp.once(sp.resolve(F.col(CANDIDATES))).alias(out))
 
@@ -206,17 +194,23 @@ def redact(
     options: RedactOptions = RedactOptions(),
     *,
     language_col: str | None = None,
-    id_col: str | None = None,
     swaps: DataFrame | None = None,
     blocks: DataFrame | None = None,
+    replacements: DataFrame | None = None,
+    dictionary: DataFrame | None = None,
     out: str = "redacted_text",
 ) -> DataFrame:
     """Redact a text column.
 
-    Adds ``out``, ``entities``, ``entities_found`` and ``usage``.  ``swaps`` and ``blocks`` are
-    optional tables (label, original, replacement) and (label, pattern) of any size.
+    Adds ``out``, ``entities``, ``entities_found`` and ``usage``.  Tables of any size may join in:
+    ``swaps`` (label, original, replacement), ``blocks`` (label, pattern: the blocked value),
+    ``replacements`` (label, position, replacement: pools of ReplacementSynthesis) and
+    ``dictionary`` (label, word).
     """
-    found = detect(df, text_col, options, id_col=id_col, swaps=swaps, blocks=blocks, out="__spans")
+    found = detect(
+        df, text_col, options, swaps=swaps, blocks=blocks, replacements=replacements,
+        dictionary=dictionary, out="__spans",
+    )
     return transform_spans(
         found, text_col, options, spans_col="__spans", language_col=language_col, out=out
     )

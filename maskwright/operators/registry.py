@@ -63,19 +63,21 @@ def tombstones(rows: DataFrame, at: Column, time_col: str = "at") -> DataFrame:
 
 
 def upsert(rows: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Named fields of ``updates`` replace those of ``rows``; absent (NULL) ones stay."""
-    new = updates.select(
-        F.col(key), *[F.col(c).alias(f"__new_{c}") for c in updates.columns if c != key]
-    )
-    joined = rows.join(new, key, "left")
-    return joined.select(
-        *[
-            F.coalesce(F.col(f"__new_{c}"), F.col(c)).alias(c)
-            if c in updates.columns and c != key
-            else F.col(c)
-            for c in rows.columns
-        ]
+    """Named fields of ``updates`` replace those of ``rows``; absent (NULL) ones stay.
+
+    A key that ``rows`` lacks is created, with NULL in the fields that nobody named.  Of several
+    updates of a key the greatest value of each field counts.
+    """
+    fields = [c for c in updates.columns if c != key and c in rows.columns]
+    new = updates.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
+        F.lit(1).alias("__any"), *[F.max(c).alias(f"__new_{c}") for c in fields]
     )
+    joined = rows.join(new, F.col(key) == F.col("__key"), "full_outer")
+    return joined.select(*[
+        F.coalesce(F.col(f"__new_{c}") if c in fields else F.col("__key"), F.col(c)).alias(c)
+        if c in fields or c == key else F.col(c)
+        for c in rows.columns
+    ])
 
 
 def new_datasets(names: DataFrame, at: str) -> DataFrame:

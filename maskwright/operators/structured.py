@@ -7,7 +7,9 @@ A malformed document becomes an error row without text.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,11 +24,13 @@ from maskwright.sources.walkers import json_leaves_udf, xml_leaves_udf
 HTML_TOKEN = (
     r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|[^<]+|<"
 )
-_HTML_REFERENCE = r"&(?:[A-Za-z]+|#[0-9]+|#[xX][0-9A-Fa-f]+);"
+_HTML_REFERENCE = r"&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]+|#[xX][0-9A-Fa-f]+);"
 # Named character references that are decoded in text content.
 HTML_ENTITIES = {
     "&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
 }
+# All named references of HTML, from the standard library.
+ALL_HTML_ENTITIES = {f"&{name}": value for name, value in html5.items() if name.endswith(";")}
 
 
 def json_encode(value: Column) -> Column:
@@ -60,28 +64,87 @@ def _code_point(number: Column) -> Column:
     )
 
 
+def html_pieces(token: Column) -> Column:
+    """The references of a text run and the pieces between them; joined, they are the run."""
+    pattern = F.lit(_HTML_REFERENCE + "|[^&]+|&")
+    return F.when(
+        F.contains(token, F.lit("&")), F.regexp_extract_all(token, pattern, F.lit(0))
+    ).otherwise(F.array(token))
+
+
+def _decoded(piece: Column) -> Column:
+    """A character reference resolved; unknown ones and other pieces stay as they are."""
+    def table(names: dict[str, str]) -> Column:
+        # One constant, however many names.
+        return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+    # Leading zeros do not count; more digits than Unicode has are no character.
+    number = F.when(
+        F.rlike(piece, F.lit("^&#0*[0-9]{1,7};$")),
+        F.regexp_extract(piece, "^&#0*([0-9]{1,7});$", 1).try_cast("int"),
+    ).when(
+        F.rlike(piece, F.lit("^&#[xX]0*[0-9A-Fa-f]{1,6};$")),
+        F.conv(F.regexp_extract(piece, "^&#[xX]0*([0-9A-Fa-f]{1,6});$", 1), 16, 10)
+        .try_cast("int"),
+    )
+    named = F.coalesce(
+        F.try_element_at(table(HTML_ENTITIES), piece),
+        F.try_element_at(table(ALL_HTML_ENTITIES), piece),
+    )
+    return F.when(
+        F.startswith(piece, F.lit("&#")), F.coalesce(_code_point(number), piece)
+    ).when(
+        F.startswith(piece, F.lit("&")) & (F.length(piece) > 1), F.coalesce(named, piece)
+    ).otherwise(piece)
+
+
 def html_decode(token: Column) -> Column:
     """Text content with its character references resolved; unknown ones stay as they are."""
-    named = F.create_map(*[F.lit(x) for pair in HTML_ENTITIES.items() for x in pair])
-
-    def one(piece: Column) -> Column:
-        number = (
-            F.when(
-                F.rlike(piece, F.lit("^&#[0-9]{1,7};$")),
-                F.regexp_extract(piece, "^&#([0-9]{1,7});$", 1).try_cast("int"),
-            ).when(
-                F.rlike(piece, F.lit("^&#[xX][0-9A-Fa-f]{1,6};$")),
-                F.conv(F.regexp_extract(piece, "([0-9A-Fa-f]+);$", 1), 16, 10).try_cast("int"),
-            )
+    return F.when(
+        F.contains(token, F.lit("&")), F.array_join(F.transform(html_pieces(token), _decoded), "")
+    ).otherwise(token)
+
+
+def _raw_offset(pieces: Column, offset: Column) -> Column:
+    """Where an offset of the decoded text lies in the raw run.
+
+    ``pieces`` are structs (raw, value) of lengths.  Pieces that end at or before the offset
+    count whole; of a piece that contains it, the characters before it.
+    """
+    start = F.struct(F.lit(0).alias("raw"), F.lit(0).alias("value"))
+    return F.aggregate(
+        pieces, start,
+        lambda at, p: F.when(
+            at["value"] + p["value"] <= offset,
+            F.struct((at["raw"] + p["raw"]).alias("raw"), (at["value"] + p["value"]).alias("value")),
+        ).when(
+            at["value"] < offset,
+            F.struct((at["raw"] + offset - at["value"]).alias("raw"), offset.alias("value")),
+        ).otherwise(at),
+        lambda at: at["raw"],
+    )
+
+
+def html_spliced(token: Column, entities: Column) -> Column:
+    """A raw text run with its entities replaced and every other byte as it was."""
+    changed = F.filter(entities, lambda e: e["new_text"].isNotNull())
+
+    def edits(sizes: Column) -> Column:
+        return F.transform(
+            changed,
+            lambda e: F.struct(
+                _raw_offset(sizes, e["start"]).alias("start"),
+                _raw_offset(sizes, e["end"]).alias("end"),
+                html_encode(e["new_text"]).alias("value"),
+            ),
         )
-        return F.when(
-            F.startswith(piece, F.lit("&")),
-            F.coalesce(F.try_element_at(named, piece), _code_point(number), piece),
-        ).otherwise(piece)
 
-    pieces = F.regexp_extract_all(token, F.lit(_HTML_REFERENCE + "|[^&]+|&"), F.lit(0))
+    sizes = F.transform(
+        html_pieces(token),
+        lambda p: F.struct(F.length(p).alias("raw"), F.length(_decoded(p)).alias("value")),
+    )
     return F.when(
-        F.contains(token, F.lit("&")), F.array_join(F.transform(pieces, one), "")
+        F.size(changed) > 0, sp.let(sp.let(sizes, edits), lambda e: sp.splice(token, e))
     ).otherwise(token)
 
 
@@ -319,10 +382,7 @@ def redact_html(
     rebuilt = F.array_join(
         F.transform(
             F.col("__runs"),
-            lambda r: F.when(
-                F.exists(r["entities"], lambda e: e["new_text"].isNotNull()),
-                html_encode(sp.apply_entities(r["value"], r["entities"])),
-            ).otherwise(r["raw"]),
+            lambda r: html_spliced(r["raw"], r["entities"]),
         ),
         "",
     )

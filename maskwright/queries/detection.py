@@ -10,6 +10,7 @@ from maskwright.functions.catalog import BUILT_INS, LISTED_TYPES, catalog
 from maskwright.functions.generators import generate
 from maskwright.operators.audit import label_profile, label_rollup
 from maskwright.operators.detectors import pattern_detector, register_detector
+from maskwright.operators.ordinals import ordinal_within
 from maskwright.operators.policy import GeneratorMetadata, LabelList, RedactOptions
 from maskwright.operators.redact import (
     detect,
@@ -24,6 +25,7 @@ from maskwright.operators.redact import (
 from maskwright.operators.sizing import spread
 from maskwright.queries import fixtures as fx
 from maskwright.queries.base import (
+    KEY,
     REDACTED,
     Tables,
     query,
@@ -185,6 +187,7 @@ _MIXED = RedactOptions(
         "SECRET_TOKEN": "GroupingSynthesis",
     },
     generator_default="Redaction",
+    key=KEY,
 )
 _MIXED_SQL = f"""CASE label WHEN 'EMAIL_ADDRESS' THEN {sql_generator('Email')}
   WHEN 'CREDIT_CARD' THEN {sql_generator('CreditCard')} WHEN 'IP_ADDRESS' THEN NULL
@@ -226,7 +229,7 @@ def r9_redaction(t: Tables) -> DataFrame:
 )
 def r10_synthesis(t: Tables) -> DataFrame:
     """Deterministic surrogates of every built-in type."""
-    done = redact(spread(fx.notes(t)), "note", RedactOptions(generator_default="Synthesis"))
+    done = redact(spread(fx.notes(t)), "note", RedactOptions(generator_default="Synthesis", key=KEY))
     return spans_of(done, ["id"]).select("id", "label", "text", "new_text", "new_start")
 
 
@@ -253,7 +256,7 @@ def r11_grouping_synthesis(t: Tables) -> DataFrame:
             F.array(name, F.lower(name), F.replace(name, F.lit("#"), F.lit(" ")), F.lit("--"))
         ).alias("value"),
     )
-    options = RedactOptions(generator_default="GroupingSynthesis")
+    options = RedactOptions(generator_default="GroupingSynthesis", key=KEY)
     whole = F.struct(
         F.lit(0).alias("start"), F.length("value").alias("end"), F.lit(0).alias("precedence"),
         F.lit("NAME_GIVEN").alias("label"), F.col("value").alias("text"),
@@ -282,7 +285,8 @@ _SURROGATES = tuple(f"contact{i}@office.example.net" for i in range(7))
 def r12_replacement_synthesis(t: Tables) -> DataFrame:
     """E-mails drawn from the user's pool; other types fall back to Synthesis."""
     options = RedactOptions(
-        generator_default="ReplacementSynthesis", replacements={"EMAIL_ADDRESS": _SURROGATES}
+        generator_default="ReplacementSynthesis", replacements={"EMAIL_ADDRESS": _SURROGATES},
+        key=KEY,
     )
     return spans_of(redact(docs(t), "text", options), ["doc_id"]).select(
         "doc_id", "label", "text", "new_text"
@@ -319,6 +323,7 @@ def r14_generator_versions(t: Tables) -> DataFrame:
     options = RedactOptions(
         generator_default="Synthesis",
         generator_metadata={label: GeneratorMetadata(version="V2") for label in ALL},
+        key=KEY,
     )
     return redact(spread(fx.notes(t)), "note", options).select("id", "redacted_text")
 
@@ -360,20 +365,25 @@ _SWAPS = """swaps AS (
          lower(c_mktsegment) || c_custkey || '@swap.example.org' AS replacement
   FROM customer WHERE c_acctbal > 0)"""
 
+_KEYED_NOTES = """keyed AS (SELECT id AS pk, note,
+  CASE WHEN id % 3 <> 0 THEN id - id % 2 END AS id FROM notes)"""
+_REPEATED_ID = F.expr("CASE WHEN id % 3 <> 0 THEN id - id % 2 END")
+
 
 @query(
     "r16_swaps",
     with_ctes(
-        fx.NOTES, _SWAPS, *doc_spans(source="notes", key="id", text="note"),
+        fx.NOTES, _SWAPS, _KEYED_NOTES, *doc_spans(source="keyed", key="pk", text="note"),
         """swapped AS (SELECT s.*, w.replacement FROM spans s
            LEFT JOIN swaps w ON w.label = s.label AND w.original = s.text)""",
         sql_shifted(f"coalesce(replacement, {sql_synthesis()})", spans="swapped"),
-        sql_rebuilt("notes", "id", "note"),
-        select="SELECT k AS id, redacted_text FROM rebuilt",
+        sql_rebuilt("keyed", "pk", "note"),
+        select="SELECT n.id, r.redacted_text FROM rebuilt r JOIN keyed n ON n.pk = r.k",
     ),
 )
 def r16_swaps(t: Tables) -> DataFrame:
-    """A table of exact swaps, joined to the spans, beats the generator."""
+    """A table of exact swaps beats the generator; a third of the ids is NULL, and the
+    others repeat."""
     swaps = t.customer.filter("c_acctbal > 0").select(
         F.lit("EMAIL_ADDRESS").alias("label"),
         F.concat(
@@ -384,8 +394,8 @@ def r16_swaps(t: Tables) -> DataFrame:
         ).alias("replacement"),
     )
     return redact(
-        spread(fx.notes(t)), "note", RedactOptions(generator_default="Synthesis"),
-        id_col="id", swaps=swaps,
+        spread(fx.notes(t).withColumn("id", _REPEATED_ID)), "note",
+        RedactOptions(generator_default="Synthesis", key=KEY), swaps=swaps,
     ).select("id", "redacted_text")
 
 
@@ -427,25 +437,27 @@ _BLOCK_SQL = """kept AS (SELECT * FROM cand WHERE NOT (
 @query(
     "r18_block_lists",
     with_ctes(
-        """blocked AS (SELECT DISTINCT regexp_extract(text, '\\b[0-9a-f]{40}\\b') AS pattern
-           FROM documents WHERE lang = 'en')""",
+        """blocked AS (SELECT DISTINCT unnest(regexp_extract_all(text, '\\b[0-9a-f]{40}\\b'))
+           AS pattern FROM documents WHERE doc_id % 2 = 0)""",
         sql_candidates("documents", "doc_id", "text"), _BLOCK_SQL, sql_resolved("kept"),
         select=SPAN_SELECT + " FROM spans",
     ),
 )
 def r18_block_lists(t: Tables) -> DataFrame:
-    """Blocked strings and patterns inline, and a table of blocked values by anti join."""
+    """Blocked strings and patterns inline, and a table of blocked values."""
     options = RedactOptions(
         label_block_lists={
             "IP_ADDRESS": LabelList(strings=["10.0.0.0"], regexes=[r"^1\d\d\."]),
             "EMAIL_ADDRESS": LabelList(regexes=["mail[0-4]@?"]),
         }
     )
-    blocked = t.documents.filter("lang = 'en'").select(
+    # The list holds the tokens of every other document.
+    blocked = t.documents.filter("doc_id % 2 = 0").select(
         F.lit("SECRET_TOKEN").alias("label"),
-        F.regexp_extract("text", r"\b[0-9a-f]{40}\b", 0).alias("pattern"),
-    ).distinct()
-    found = detect(docs(t), "text", options, id_col="doc_id", blocks=blocked)
+        F.explode(F.regexp_extract_all("text", F.lit(r"\b[0-9a-f]{40}\b"), F.lit(0)))
+        .alias("pattern"),
+    )
+    found = detect(docs(t), "text", options, blocks=blocked)
     return flat_candidates(found, ["doc_id"]).select("doc_id", "label", "text", "start", "end")
 
 
@@ -477,6 +489,89 @@ def r19_allow_lists(t: Tables) -> DataFrame:
     )
 
 
+_LONG = """long AS (SELECT doc_id, 'to ' || regexp_replace(text, '[^A-Za-z]+', '.', 'g')
+  || doc_id || '@' || repeat('sub.', 60 + (doc_id % 40)::INT) || 'example.com, '
+  || 'DE' || lpad((doc_id % 100)::VARCHAR, 2, '0') || ' 3704 0044 0532 0130 00 end' AS v
+  FROM documents)"""
+
+
+@query(
+    "r4_long_values",
+    with_ctes(
+        _LONG,
+        select="""SELECT doc_id, 'to [EMAIL_ADDRESS], [IBAN_CODE] end' AS redacted_text,
+          2 AS entities_found FROM long""",
+    ),
+)
+def r4_long_values(t: Tables) -> DataFrame:
+    """E-mails whose local part is a whole text, and spaced IBANs, are found whole."""
+    long = t.documents.select(
+        "doc_id",
+        F.concat(
+            F.lit("to "), F.regexp_replace("text", "[^A-Za-z]+", "."),
+            F.col("doc_id").cast("string"), F.lit("@"),
+            F.expr("repeat('sub.', cast(60 + doc_id % 40 AS int))"), F.lit("example.com, DE"),
+            F.lpad((F.col("doc_id") % 100).cast("string"), 2, "0"),
+            F.lit(" 3704 0044 0532 0130 00 end"),
+        ).alias("v"),
+    )
+    return redact(spread(long), "v").select("doc_id", "redacted_text", "entities_found")
+
+
+_POOL = """pool AS (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) AS position,
+  'o' || o_orderkey || '@pool.example.org' AS replacement FROM orders)"""
+
+
+@query(
+    "r12_replacement_table",
+    with_ctes(
+        _POOL, *doc_spans(labels=["EMAIL_ADDRESS"]),
+        select=f"""SELECT k AS doc_id, s.text, p.replacement AS new_text FROM (
+            SELECT *, (({sql_hash("label", "text")}) % (SELECT count(*) FROM pool))::BIGINT AS at
+            FROM spans) s JOIN pool p ON p.position = s.at""",
+    ),
+)
+def r12_replacement_table(t: Tables) -> DataFrame:
+    """Replacements drawn from a table of all orders."""
+    pool = ordinal_within(
+        t.orders.select(F.lit(1).alias("one"), F.col("o_orderkey")), "one", "o_orderkey"
+    ).select(
+        F.lit("EMAIL_ADDRESS").alias("label"), (F.col("ordinal") - 1).alias("position"),
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string"), F.lit("@pool.example.org"))
+        .alias("replacement"),
+    )
+    options = RedactOptions(
+        generator_default="ReplacementSynthesis", labels=["EMAIL_ADDRESS"], key=KEY
+    )
+    done = redact(docs(t), "text", options, replacements=pool)
+    return spans_of(done, ["doc_id"]).select("doc_id", "text", "new_text")
+
+
+@query(
+    "r23_dictionary_table",
+    with_ctes(
+        """words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS word
+           FROM documents WHERE doc_id % 10 = 0)""",
+        """asked AS (SELECT doc_id, translate(text, 'ÄÖÜäöüß', '.......') AS note FROM documents)""",
+        """found AS (SELECT doc_id, unnest(regexp_extract_all(note, '[\\p{L}\\p{N}]+')) AS word
+           FROM asked)""",
+        select="""SELECT doc_id, count(*) AS entities_found FROM found
+          WHERE word IN (SELECT word FROM words) GROUP BY doc_id""",
+    ),
+)
+def r23_dictionary_table(t: Tables) -> DataFrame:
+    """A dictionary of all words of every tenth document, as a table."""
+    words = t.documents.filter("doc_id % 10 = 0").select(
+        F.lit("ORGANIZATION").alias("label"),
+        F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9]+"), F.lit(0))).alias("word"),
+    )
+    asked = docs(t).select("doc_id", F.translate("text", "ÄÖÜäöüß", ".......").alias("note"))
+    found = detect(asked, "note", RedactOptions(labels=[]), dictionary=words)
+    return found.select("doc_id", F.size("spans").cast("bigint").alias("entities_found")).filter(
+        "entities_found > 0"
+    )
+
+
 @query(
     "r20_entity_counts",
     with_ctes(
@@ -587,7 +682,7 @@ def s6_transform_stored_spans(t: Tables) -> DataFrame:
     path = f"{scratch(t.spark, 'spans')}/spans"
     detect(docs(t), "text").write.parquet(path)
     stored = t.spark.read.parquet(path)
-    return transform_spans(stored, "text", RedactOptions(generator_default="Synthesis")).select(
+    return transform_spans(stored, "text", RedactOptions(generator_default="Synthesis", key=KEY)).select(
         "doc_id", "redacted_text"
     )
 

@@ -34,7 +34,7 @@ from maskwright.plans.folder import (
     with_outputs,
 )
 from maskwright.queries import fixtures as fx
-from maskwright.queries.base import Tables, query, sql_generator, with_ctes
+from maskwright.queries.base import KEY, Tables, query, sql_generator, with_ctes
 from maskwright.sources.files import list_tree, read_whole
 from maskwright.streaming.streams import scratch
 
@@ -245,7 +245,7 @@ def f6_dispatch(t: Tables) -> DataFrame:
 )
 def f7_names(t: Tables) -> DataFrame:
     """Every distinct folder and file name once, base name only, Synthesis by default."""
-    return distinct_names(fx.file_tree(t), RedactOptions())
+    return distinct_names(fx.file_tree(t), RedactOptions(key=KEY))
 
 
 _OUTPUTS = """kept AS (
@@ -266,7 +266,7 @@ outputs AS (
 def f7_output_paths(t: Tables) -> DataFrame:
     """Names that become equal are told apart in the order of their sources."""
     work = plan_work(
-        fx.file_tree(t), RedactOptions(generator_default="Redaction"),
+        fx.file_tree(t), RedactOptions(generator_default="Redaction", key=KEY),
         FolderOptions(deidentify_names=True),
     )
     return with_outputs(work).select("path", "output_path")

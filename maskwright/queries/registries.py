@@ -116,10 +116,10 @@ def g4_resolve_uploads(t: Tables) -> DataFrame:
 def g5_jobs_in_window(t: Tables) -> DataFrame:
     """Jobs of a look-back window that ends at the newest job."""
     jobs = fx.jobs(t)
+    # One row, the end of the window, joins all jobs.
     newest = jobs.agg(F.max("published_time").alias("as_of"))
-    # One row: the end of the window.
-    at = newest.first()["as_of"].isoformat(sep=" ")
-    return jobs_since(jobs, "700d", F.lit(at).cast("timestamp")).select(
+    dated = jobs.crossJoin(F.broadcast(newest))
+    return jobs_since(dated, "700d", F.col("as_of")).select(
         "id", "status",
         F.date_format("published_time", "yyyy-MM-dd'T'HH:mm:ss").alias("published"),
     )
@@ -219,13 +219,15 @@ def g10_deletions(t: Tables) -> DataFrame:
     "g11_update_entities",
     with_ctes(
         fx.ENTITIES,
-        select="""SELECT e.id, coalesce('renamed ' || s.s_nationkey, e.name) AS name,
+        select="""SELECT coalesce(e.id, s.s_suppkey) AS id,
+            coalesce('renamed ' || s.s_nationkey, e.name) AS name,
             CASE WHEN s.s_acctbal > 0 THEN 'Ready' ELSE e.status END AS status
-          FROM entities e LEFT JOIN supplier s ON s.s_suppkey = e.id""",
+          FROM entities e FULL JOIN supplier s ON s.s_suppkey = e.id""",
     ),
 )
 def g11_update_entities(t: Tables) -> DataFrame:
-    """Named fields of an update replace the stored ones, absent fields stay."""
+    """Named fields of an update replace the stored ones, absent fields stay, new keys are
+    created."""
     updates = t.supplier.select(
         F.col("s_suppkey").alias("id"),
         F.concat(F.lit("renamed "), F.col("s_nationkey").cast("string")).alias("name"),

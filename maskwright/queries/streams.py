@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from maskwright.operators.policy import RedactOptions
 from maskwright.operators.redact import spans_of
 from maskwright.queries.base import (
+    KEY,
+    ORACLES,
     REDACTED,
     Tables,
     query,
@@ -23,6 +25,7 @@ from maskwright.streaming.streams import (
     job_status,
     redact_stream,
     run_available,
+    scratch,
     table_stream,
     track_jobs,
 )
@@ -90,6 +93,23 @@ def z3_job_tracker(t: Tables) -> DataFrame:
     return run_available(track_jobs(events), "jobs").select("job_id", "status")
 
 
+@query("z3_job_tracker_batches", ORACLES["z3_job_tracker"])
+def z3_job_tracker_batches(t: Tables) -> DataFrame:
+    """Z3: the same outcomes when the events arrive in eight batches, each job reported once."""
+    base = scratch(t.spark, "events")
+    span = t.events.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    eighth = F.floor(
+        (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("a").cast("timestamp")))
+        / (F.unix_micros(F.col("b").cast("timestamp")) - F.unix_micros(F.col("a").cast("timestamp"))
+           + 1) * 8
+    )
+    parts = t.events.crossJoin(F.broadcast(span)).withColumn("part", eighth).drop("a", "b")
+    for i in range(8):  # one file each, in the order of time
+        parts.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(base)
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(base)
+    return run_available(track_jobs(_job_events(stream)), "jobs").select("job_id", "status")
+
+
 @query(
     "z3_job_status",
     """WITH j AS (
@@ -118,9 +138,10 @@ def z3_job_status(t: Tables) -> DataFrame:
 def z4_first_values(t: Tables) -> DataFrame:
     """One row per distinct detected value of a stream."""
     stream = table_stream(t.spark, t.folder, "documents").select(
-        "doc_id", "text", F.lit("2024-01-01 00:00:00").cast("timestamp").alias("arrived")
+        "doc_id", "text",
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") % 3000).alias("arrived"),
     )
-    done = redact_stream(stream, "text", RedactOptions(generator_default="Synthesis"))
+    done = redact_stream(stream, "text", RedactOptions(generator_default="Synthesis", key=KEY))
     return run_available(first_values(spans_of(done, ["arrived"]), "arrived"), "values").select(
         "label", "text"
     )

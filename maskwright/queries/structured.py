@@ -18,6 +18,7 @@ from maskwright.operators.structured import (
 )
 from maskwright.queries import fixtures as fx
 from maskwright.queries.base import (
+    KEY,
     REDACTED,
     Tables,
     query,
@@ -95,7 +96,7 @@ def t2_json_ignore_paths(t: Tables) -> DataFrame:
 )
 def t3_json_path_rules(t: Tables) -> DataFrame:
     """Ignored paths stay, an allow path becomes one span of its label."""
-    options = RedactOptions(generator_config={"NAME_GIVEN": "Synthesis"})
+    options = RedactOptions(generator_config={"NAME_GIVEN": "Synthesis"}, key=KEY)
     return redact_json(
         spread(fx.json_docs(t)), "json", options,
         path_allow_lists={"NAME_GIVEN": ["$.name.first", "$.id"]},
@@ -146,7 +147,8 @@ _HTML_TOKENS = r"""tokens AS (
       '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|[^<]+|<') AS m
     FROM pages) x, unnest(range(1, len(m) + 1)) AS u(i)),
 runs AS (
-  SELECT *, replace(replace(replace(replace(replace(replace(token, '&lt;', '<'), '&gt;', '>'),
+  SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(token,
+      '&copy;', chr(169)), '&middot;', chr(183)), '&lt;', '<'), '&gt;', '>'),
       '&quot;', '"'), '&apos;', ''''), '&nbsp;', chr(160)), '&amp;', '&') AS value
   FROM tokens WHERE token[1] <> '<')"""
 
@@ -160,23 +162,68 @@ def t5_html_tokens(t: Tables) -> DataFrame:
     return html_token_table(spread(t.pages.select("page_id", "html")), ["page_id"], "html")
 
 
+# References as single characters of their own: texts keep their length, and what is left of
+# them after redaction is put back byte by byte.
+_STAND_INS = {"&lt;": 0xE010, "&gt;": 0xE011, "&quot;": 0xE012, "&apos;": 0xE013,
+              "&nbsp;": 0xE014, "&amp;": 0xE015}
+_STOOD_IN, _PUT_BACK = "token", "coalesce(r.redacted_text, t.token)"
+for _ref, _point in _STAND_INS.items():
+    _STOOD_IN = f"replace({_STOOD_IN}, '{_ref}', chr({_point}))"
+    _PUT_BACK = f"replace({_PUT_BACK}, chr({_point}), '{_ref}')"
+_TAIL = "<p>&copy; Caf&eacute; bob&#00000064;mail{0}.example.com, amy&commat;mail{0}.example.com " \
+        "&quot;5&quot; &lt; 6 &unknown; &amp</p>"
+
+
 @query(
     "t5_redact_html",
     with_ctes(
-        _HTML_TOKENS, sql_candidates("runs", "tk", "value"), sql_resolved(),
-        sql_shifted(REDACTED), sql_rebuilt("runs", "tk", "value"),
-        select="""SELECT t.page_id,
-            string_agg(CASE WHEN coalesce(r.entities_found, 0) > 0
-              THEN replace(replace(replace(r.redacted_text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
-              ELSE t.token END, '' ORDER BY t.ord) AS redacted_text,
-            coalesce(sum(r.entities_found), 0)::INT AS entities_found
+        _HTML_TOKENS.replace("runs AS", "decoded AS"),
+        f"runs AS (SELECT *, {_STOOD_IN} AS stood_in FROM tokens WHERE token[1] <> '<')",
+        sql_candidates("runs", "tk", "stood_in"), sql_resolved(),
+        sql_shifted(REDACTED), sql_rebuilt("runs", "tk", "stood_in"),
+        select=f"""SELECT t.page_id,
+            string_agg({_PUT_BACK}, '' ORDER BY t.ord)
+              || '<p>&copy; Caf&eacute; [EMAIL_ADDRESS], [EMAIL_ADDRESS] &quot;5&quot; &lt; 6 '
+              || '&unknown; &amp</p>' AS redacted_text,
+            (coalesce(sum(r.entities_found), 0) + 2)::INT AS entities_found
           FROM tokens t LEFT JOIN rebuilt r ON r.k = t.tk GROUP BY t.page_id""",
     ),
 )
 def t5_redact_html(t: Tables) -> DataFrame:
-    """T5: text content is redacted, tag tokens stay byte-identical."""
-    return redact_html(spread(t.pages.select("page_id", "html")), "html").select(
-        "page_id", "redacted_text", "entities_found"
+    """T5: text content is redacted, references in any notation included; every byte outside a
+    span stays."""
+    head, middle, tail = _TAIL.split("{0}")
+    number = F.col("page_id").cast("string")
+    pages = t.pages.select("page_id", F.concat(
+        "html", F.lit(head), number, F.lit(middle), number, F.lit(tail)).alias("html"))
+    return redact_html(spread(pages), "html").select("page_id", "redacted_text", "entities_found")
+
+
+@query(
+    "t6_isolated_rows",
+    """SELECT doc_id AS id, CASE WHEN doc_id % 4 IN (0, 2) THEN 'error' ELSE 'success' END AS json,
+         CASE WHEN doc_id % 4 IN (0, 2) THEN NULL WHEN doc_id % 4 = 1
+           THEN '{"n": ' || repeat('7', 5000) || ', "m": "[EMAIL_ADDRESS]"}'
+           ELSE '{"m": "[EMAIL_ADDRESS]"}' END AS redacted_text,
+         CASE WHEN doc_id % 3 = 0 THEN 'success' ELSE 'error' END AS xml FROM documents""",
+)
+def t6_isolated_rows(t: Tables) -> DataFrame:
+    """Lone surrogates and cut texts are errors of their rows, long numbers are none; the
+    same for XML."""
+    i = F.col("doc_id")
+    texts = t.documents.select(
+        i.alias("id"),
+        F.when(i % 4 == 0, F.lit('{"m": "\\ud800 a@b.com"}'))
+        .when(i % 4 == 1, F.concat(F.lit('{"n": '), F.repeat(F.lit("7"), 5000),
+                                   F.lit(', "m": "a@b.com"}')))
+        .when(i % 4 == 2, F.lit('{"m": "a@b.com"')).otherwise(F.lit('{"m": "a@b.com"}')).alias("j"),
+        F.when(i % 3 == 0, F.lit("<a>a@b.com</a>")).when(i % 3 == 1, F.lit("<a>&#xD800;</a>"))
+        .otherwise(F.lit("<a>&#99999999999;</a>")).alias("x"),
+    )
+    done = redact_json(spread(texts), "j").select(
+        "id", "x", F.col("status").alias("json"), F.col("redacted_text").alias("redacted_json"))
+    return redact_xml(done, "x").select(
+        "id", "json", F.col("redacted_json").alias("redacted_text"), F.col("status").alias("xml")
     )
 
 

@@ -34,7 +34,8 @@ _JSON_TOKEN = re.compile(r'[ \t\r\n]*("(?:[^"\\]|\\.)*"|[{}\[\],:]|[^\s{}\[\],:"
 
 def json_leaves(text: str) -> list[Leaf]:
     """String values of a JSON text in document order; keys and other scalars are not leaves."""
-    json.loads(text, parse_constant=_reject_constant)
+    # Numbers stay text: an integer of any length is JSON.
+    json.loads(text, parse_constant=_reject_constant, parse_int=str, parse_float=str)
     leaves: list[Leaf] = []
     # One frame per open container: [kind, path of the container, current step].
     stack: list[list] = []
@@ -57,6 +58,7 @@ def json_leaves(text: str) -> list[Leaf]:
             expects_key = False
         elif part[0] == '"':
             value = json.loads(part)
+            value.encode()  # a lone surrogate is an error of this row, not of the batch
             if expects_key:
                 stack[-1][2] = member_step(value)
             else:
@@ -149,7 +151,8 @@ def _rows(texts: pd.Series, walk) -> pd.DataFrame:
         try:
             found.append([] if text is None else walk(text))
             errors.append(None)
-        except (ValueError, RecursionError, expat.ExpatError) as problem:
+        except (ValueError, LookupError, OverflowError, RecursionError,
+                expat.ExpatError) as problem:
             found.append([])
             errors.append(f"{type(problem).__name__}: malformed document")
     return pd.DataFrame({"error": pd.Series(errors, dtype="object"), "leaves": found})

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,18 +11,18 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from maskwright.operators.policy import RedactOptions
 from maskwright.operators.redact import redact
+from maskwright.sources.shared import shared_path
 
 # Fixed value: seconds without completion after which a job counts as timed out.
 JOB_TIMEOUT_SECONDS = 900
+# Event time for which a reported job is remembered, so that later events do not start it anew.
+REMEMBER_SECONDS = 24 * 3600
 DONE = ("Completed", "Failed")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one of the session; a local one only when none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    """A fresh folder below the one that driver and executors share; it goes with the session."""
+    return shared_path(spark, name)
 
 
 def run_available(stream: DataFrame, name: str) -> DataFrame:
@@ -85,23 +83,36 @@ def first_values(
     return spans.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def track_jobs(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def track_jobs(
+    events: DataFrame, delay: str = "10 minutes", remember_seconds: int = REMEMBER_SECONDS
+) -> DataFrame:
     """Status of each job of a stream of events(job_id, status, at).
 
     A job is reported when it completes or fails, and as ``timed_out`` when neither happens
-    within JOB_TIMEOUT_SECONDS of event time after its first event.
+    within JOB_TIMEOUT_SECONDS of event time after its first event.  A reported job leaves a
+    marker, which is dropped without a word once the watermark has passed its deadline by
+    ``remember_seconds``: the state holds the open jobs and those reported of late.
     """
 
+    def remember(state: GroupState, first: int) -> None:
+        state.update((first, True))
+        until = first + (JOB_TIMEOUT_SECONDS + remember_seconds) * 1000
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+
     def step(
         key: tuple[int], batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            first, _ = state.get
-            state.remove()
+            first, reported = state.get
+            if reported:
+                state.remove()
+                return
+            remember(state, first)
             yield pd.DataFrame({"job_id": [key[0]], "status": ["timed_out"], "first_ms": [first]})
             return
         first = state.get[0] if state.exists else None
         if state.exists and state.get[1]:
+            remember(state, first)
             return
         done_at, done = None, None
         for batch in batches:
@@ -118,8 +129,7 @@ def track_jobs(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
         deadline = first + JOB_TIMEOUT_SECONDS * 1000
         if done is not None:
             status = done if done_at <= deadline else "timed_out"
-            # Kept as a marker until the deadline passes, so later events are not a new job.
-            state.update((first, True))
+            remember(state, first)
             yield pd.DataFrame({"job_id": [key[0]], "status": [status], "first_ms": [first]})
         else:
             state.update((first, False))

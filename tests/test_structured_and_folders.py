@@ -66,7 +66,7 @@ def test_xml_and_html_cases(spark):
     assert one(spark, "<!DOCTYPE a [<!ENTITY b 'c'>]><a>&b;</a>", redact_xml).status == "error"
     html = '<p title="a@b.com">a&amp;b &quot;a@b.com&quot;</p><script>"</p>1.2.3.4"</script> a < b'
     assert one(spark, html, redact_html).redacted_text == (
-        '<p title="a@b.com">a&amp;b "[EMAIL_ADDRESS]"</p><script>"</p>1.2.3.4"</script> a < b'
+        '<p title="a@b.com">a&amp;b &quot;[EMAIL_ADDRESS]&quot;</p><script>"</p>1.2.3.4"</script> a < b'
     )
 
 
@@ -75,7 +75,7 @@ def test_names_and_extensions(spark):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     assert [r[0] for r in df.select(extension(F.col("n"))).collect()] == ["", ".gz", ".", ".JSON", ""]
     options = RedactOptions(
-        generator_default="Synthesis",
+        generator_default="Synthesis", key="test key",
         label_allow_lists={"NAME_GIVEN": LabelList(["Dad"]), "PHONE_NUMBER": LabelList(regexes=[r"\d{11}"])},
     )
     name = spark.range(1).select(redacted_name(F.lit("Dad_15084238708.txt"), options)).first()[0]
