@@ -204,7 +204,7 @@ def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks)
         tokens = per_process(
-            ("byte_bpe_tokens", ranks),
+            ("byte_bpe", ranks, "tokens"),
             lambda: {rank: token.encode("latin-1") for rank, token in encoder.tokens.items()},
         )
         for batch in batches:

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -13,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from maskwright.sources.shared import shared_path
+
 # Text of one Arrow batch that is worked on at a time.
 CHUNK_CHARS = 2 * 1024 * 1024
 # Bounds of the Arrow batches between the JVM and Python workers: texts can be long.
@@ -27,33 +27,6 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
-
-    Only a session in one process (tests, bench) gets a temporary folder where none is set.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder shared by driver and executors")
-    own = "file://" + tempfile.mkdtemp(prefix="maskwright-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the session's file system closes."""
-    path = f"{shared_dir(spark)}/maskwright/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage ends there, so a lost
     executor costs only what it was reading, and nothing is computed twice."""
@@ -80,11 +53,15 @@ def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     """A value made once per Python worker and kept between its tasks.
 
     Functions travel to the workers with their code, so module globals start empty in every
-    task; a module of the process keeps what is expensive to load.
+    task; a module of the process keeps what is expensive to load.  ``key`` begins with the
+    operator: a worker keeps the values of one operator only, so stages that follow each other
+    in the same workers do not add up.
     """
     holder = sys.modules.setdefault("_maskwright_process", types.ModuleType("_maskwright_process"))
     kept = holder.__dict__.setdefault("kept", {})
     if key not in kept:
+        for other in [k for k in kept if k[0] != key[0]]:
+            del kept[other]
         kept[key] = make()
     return kept[key]
 

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import chunks, column, fits, shared_path, small_batches, stored
+from maskwright.llm.common import chunks, column, fits, small_batches, stored
+from maskwright.sources.shared import shared_path
 
 ARCHIVE = "archive/data.warc.gz"
 INDEX = "indexes/index.jsonl"
