@@ -23,11 +23,17 @@ from maskwright.operators.sizing import broadcast_if_bounded
 from maskwright.operators.structured import redact_html, redact_json, redact_xml
 from maskwright.sources.files import describe, list_tree, read_whole
 
+# Why a file is skipped.
 SKIP_PATTERN = "Matched skip pattern"
 SKIP_EXTENSION = "Extension not in filter list"
 SKIP_TYPE = "Unsupported file type"
-CSV_TOKEN = r'"[^"]*"|[^,\t\r\n"]+|[,\t\r\n]+|"'
 SKIP_BINARY = "Binary format without a text reader"
+CSV_HEAD = r'^((?:"(?:[^"]|"")*"|[^"\r\n])*)'
+
+
+def csv_token(separator: str) -> str:
+    """Quoted cells, plain cells, separators with line ends, and stray quotes."""
+    return rf'"(?:[^"]|"")*"|[^{separator}\r\n"]+|[{separator}\r\n]+|"'
 
 
 def matches_pattern(path: Column, patterns: Sequence[str]) -> Column:
@@ -134,9 +140,19 @@ def plan_work(
     return decided.withColumn("target", F.when(F.col("reason").isNull(), target))
 
 
+def unnumbered(target: Column) -> Column:
+    """A target that cannot be taken for a numbered one: ``x~2.txt`` becomes ``x~2~1.txt``."""
+    ext = extension(base_name(target))
+    stem = F.substring(target, F.lit(1), F.length(target) - F.length(ext))
+    return F.concat(F.regexp_replace(stem, "(~[0-9]+)$", "$1~1"), ext)
+
+
 def with_outputs(work: DataFrame) -> DataFrame:
-    """Give every routed file its own output path: equal targets get ``~2``, ``~3``, ..."""
-    routed = work.filter(F.col("reason").isNull())
+    """Give every routed file its own output path: equal targets get ``~2``, ``~3``, ...
+
+    A target that ends like a numbered one is set apart first, so all paths are different.
+    """
+    routed = work.filter(F.col("reason").isNull()).withColumn("target", unnumbered(F.col("target")))
     # Only targets that more than one file claims are numbered.
     clashes = routed.groupBy("target").agg(F.count("*").alias("n")).filter("n > 1").select("target")
     clashing = routed.join(clashes, "target", "left_semi")
@@ -169,18 +185,27 @@ def skipped_results(work: DataFrame) -> DataFrame:
     )
 
 
-def redact_csv_text(df: DataFrame, text_col: str, options: RedactOptions) -> DataFrame:
-    """Cells of delimited text; the header line, separators and quoting stay."""
+def redact_csv_text(
+    df: DataFrame, text_col: str, options: RedactOptions, separator: str = ","
+) -> DataFrame:
+    """Cells of delimited text; the header, separators and quoting stay.
+
+    A doubled quote inside a quoted cell is one quote of its value, and a line break inside
+    quotes does not end the header or a line.
+    """
     text = F.col(text_col)
-    head = F.regexp_extract(text, r"^([^\r\n]*)", 1)
+    head = F.regexp_extract(text, CSV_HEAD, 1)
     body = F.regexp_extract_all(
         F.substring(text, F.length(head) + 1, F.length(text)),
-        F.lit(CSV_TOKEN), F.lit(0),
+        F.lit(csv_token(separator)), F.lit(0),
     )
 
     def cell(token: Column) -> Column:
         quoted = F.startswith(token, F.lit('"')) & (F.length(token) > 1)
-        inner = F.when(quoted, F.substring(token, F.lit(2), F.length(token) - 2)).otherwise(token)
+        inner = F.when(
+            quoted,
+            F.replace(F.substring(token, F.lit(2), F.length(token) - 2), F.lit('""'), F.lit('"')),
+        ).otherwise(token)
         entities = sp.let(
             text_spans(inner, options),
             lambda s: sp.to_entities(s, options.replacement(), F.lit(None)),
@@ -192,7 +217,9 @@ def redact_csv_text(df: DataFrame, text_col: str, options: RedactOptions) -> Dat
             made,
             lambda m: F.struct(
                 m["n"].alias("n"),
-                F.when(quoted, F.concat(F.lit('"'), m["value"], F.lit('"')))
+                F.when(m["n"] == 0, token)
+                .when(quoted, F.concat(
+                    F.lit('"'), F.replace(m["value"], F.lit('"'), F.lit('""')), F.lit('"')))
                 .otherwise(m["value"]).alias("value"),
             ),
         )
@@ -218,6 +245,8 @@ def redact_routes(
     """
     route = route_of(base_name(F.col("path")))
 
+    tabs = F.endswith(F.lower("path"), F.lit(".tsv"))
+
     def branch(name: str) -> DataFrame:
         return contents.filter(route == name)
 
@@ -232,7 +261,8 @@ def redact_routes(
         ),
         redact_html(branch("html"), "text", options),
         redact_xml(branch("xml"), "text", options),
-        redact_csv_text(branch("csv"), "text", options),
+        redact_csv_text(branch("csv").filter(~tabs), "text", options),
+        redact_csv_text(branch("csv").filter(tabs), "text", options, "\t"),
     ]
     done = plain
     for other in others:
@@ -311,7 +341,7 @@ def deidentify_folder(
         renamed = with_outputs(work).filter("renamed").select(
             "path", F.col("output_path").alias("__renamed")
         )
-        target = redacted_path(F.col("path"), name_options(options))
+        target = unnumbered(redacted_path(F.col("path"), name_options(options)))
         placed = (
             done.join(broadcast_if_bounded(renamed), "path", "left")
             .withColumn("output_path", F.coalesce("__renamed", target))

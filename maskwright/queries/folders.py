@@ -21,6 +21,7 @@ from maskwright.functions.text import (
 from maskwright.operators.policy import RedactOptions
 from maskwright.plans.folder import (
     FolderOptions,
+    deidentify_folder,
     directories,
     distinct_names,
     in_extensions,
@@ -33,18 +34,75 @@ from maskwright.plans.folder import (
     summarize,
     with_outputs,
 )
+from maskwright.operators.sizing import spread
 from maskwright.queries import fixtures as fx
-from maskwright.queries.base import KEY, Tables, query, sql_generator, with_ctes
-from maskwright.sources.files import list_tree, read_whole
+from maskwright.queries.base import (
+    KEY,
+    REDACTED,
+    Tables,
+    query,
+    sql_candidates,
+    sql_generator,
+    sql_rebuilt,
+    sql_resolved,
+    sql_shifted,
+    with_ctes,
+)
+from maskwright.sources.files import list_tree, read_whole, write_tree
 from maskwright.streaming.streams import scratch
 
 SKIP = ("/fr/", "*.log", "node_modules")
 
 
-@query("s1_inventory")
+def _document_tree(t: Tables) -> str:
+    """A tree with one file per document below a folder per source."""
+    path = f"{scratch(t.spark, 'tree')}/files"
+    write_tree(spread(t.documents.select("doc_id", "source", "text")).select(
+        F.concat("source", F.lit("/d"), F.col("doc_id").cast("string"), F.lit(".txt"))
+        .alias("output_path"),
+        F.coalesce("text", F.lit("")).alias("redacted_text"),
+    ), path)
+    return path
+
+
+_DOCUMENT_PATH = "source || '/d' || doc_id || '.txt'"
+
+
+@query(
+    "s1_inventory",
+    f"""SELECT {_DOCUMENT_PATH} AS path, strlen(coalesce(text, ''))::BIGINT AS size, '.txt' AS ext,
+         1 AS depth, 'text/plain' AS type FROM documents""",
+)
 def s1_inventory(t: Tables) -> DataFrame:
-    """The tree that holds the tables, listed from metadata only."""
-    return list_tree(t.spark, t.folder).select("path", "size", "ext", "depth", "type")
+    """The tree of all documents, listed from metadata only."""
+    return list_tree(t.spark, _document_tree(t)).select("path", "size", "ext", "depth", "type")
+
+
+@query(
+    "s5_written_tree",
+    f"SELECT {_DOCUMENT_PATH} AS path, coalesce(text, '') AS text FROM documents WHERE text <> ''",
+)
+def s5_written_tree(t: Tables) -> DataFrame:
+    """A tree written file by file, and read back whole."""
+    return read_whole(t.spark, _document_tree(t)).filter("text <> ''")
+
+
+@query(
+    "f10_folder_job",
+    with_ctes(
+        sql_candidates("documents", "doc_id", "text"), sql_resolved(), sql_shifted(REDACTED),
+        sql_rebuilt("documents", "doc_id", "text"),
+        select=f"""SELECT {_DOCUMENT_PATH} AS path,
+            source || '/d' || doc_id || '.txt' AS output_path, r.redacted_text, r.entities_found
+          FROM documents d JOIN rebuilt r ON r.k = d.doc_id WHERE text <> ''""",
+    ),
+)
+def f10_folder_job(t: Tables) -> DataFrame:
+    """The whole folder job over the tree of all documents."""
+    job = deidentify_folder(t.spark, _document_tree(t), RedactOptions(key=KEY))
+    return job.outputs.filter("redacted_text <> ''").select(
+        "path", "output_path", "redacted_text", "entities_found"
+    )
 
 
 @query(

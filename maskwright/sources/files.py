@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -71,6 +72,7 @@ def write_tree(outputs: DataFrame, root: str) -> None:
     The default sink of the folder job is a table; this writer is for file systems that all
     executors mount at the same place.
     """
+    root = re.sub(r"^file:/{1,3}", "/", root)
 
     def write(rows: Iterator[Row]) -> None:
         for row in rows:
