@@ -54,16 +54,19 @@ BUILT_INS: tuple[Detector, ...] = (
     ),
     Detector(
         "PHONE_NUMBER", "contact",
-        r"(?:(?:\+\d{1,3} )?\(\d{3}\) ?|\b\d{3}[-.])\d{3}[-.]\d{4}\b",
-        r"\d{3}[-.]\d{4}", generator="PhoneNumber",
+        r"(?:(?:\+\d{1,3} )?\(\d{3}\) ?|\b\d{3}[-.])\d{3}[-.]\d{4}\b"
+        r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}\b",
+        r"\d{3}[-.]\d{4}|\+\d", generator="PhoneNumber",
     ),
     Detector(
         "URL", "network", r"https?://[^ \t\r\n<>\"]+",
         "://", gate_is_literal=True, generator="Url",
     ),
     Detector(
-        "IP_ADDRESS", "network", r"\b\d{1,3}(?:\.\d{1,3}){3}\b",
-        r"\d\.\d{1,3}\.\d", generator="IpAddress",
+        "IP_ADDRESS", "network",
+        r"\b\d{1,3}(?:\.\d{1,3}){3}\b|\b(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\b"
+        r"|\b(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}\b",
+        r"\d\.\d{1,3}\.\d|[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:", generator="IpAddress",
     ),
     Detector(
         "MAC_ADDRESS", "network", r"\b(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}\b",
@@ -91,8 +94,14 @@ BUILT_INS: tuple[Detector, ...] = (
         "SECRET_TOKEN", "secret", r"\b[0-9a-f]{40}\b", r"[0-9a-f]{16}",
     ),
     Detector(
-        "DATE_TIME", "time", r"\b\d{4}-\d{2}-\d{2}\b",
-        r"\d{4}-\d{2}-\d{2}", generator="DateTime",
+        "DATE_TIME", "time", r"\b\d{4}-\d{2}-\d{2}\b|\b\d{1,2}[/.]\d{1,2}[/.]\d{4}\b",
+        r"\d{4}-\d{2}-\d{2}|\d[/.]\d{1,2}[/.]\d{4}", generator="DateTime",
+    ),
+    Detector(
+        "STREET_ADDRESS", "contact",
+        r"\b\d{1,6} (?:[A-Z][a-z]+ )+(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln"
+        r"|Drive|Dr|Court|Ct|Way)\b",
+        r"\d [A-Z][a-z]+ ",
     ),
 )
 

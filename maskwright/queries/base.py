@@ -14,17 +14,22 @@ KEY = "maskwright"
 # The built-in entity types as SQL sees them, written from their rules: label -> pattern.
 SQL_PATTERNS = {
     "EMAIL_ADDRESS": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "PHONE_NUMBER": r"(?:(?:\+\d{1,3} )?\(\d{3}\) ?|\b\d{3}[-.])\d{3}[-.]\d{4}\b",
+    "PHONE_NUMBER": r"(?:(?:\+\d{1,3} )?\(\d{3}\) ?|\b\d{3}[-.])\d{3}[-.]\d{4}\b"
+        r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}\b",
     # U+E010 to U+E012 stand for references of characters that end a URL, see t5_redact_html.
     "URL": r"https?://[^ \t\r\n<>\"\x{E010}-\x{E012}]+",
-    "IP_ADDRESS": r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b",
+    "IP_ADDRESS": r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b"
+        r"|\b[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}\b"
+        r"|\b(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}\b",
     "MAC_ADDRESS": r"\b[0-9A-Fa-f]{2}(?::[0-9A-Fa-f]{2}){5}\b",
     "CREDIT_CARD": r"\b(?:\d{4}[ -]?){3}\d{4}\b",
     "IBAN_CODE": r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,}|(?: [A-Z0-9]{4}){2,}(?: [A-Z0-9]{1,3})?)\b",
     "US_SSN": r"\b\d{3}-\d{2}-\d{4}\b",
     "UUID": r"\b[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}\b",
     "SECRET_TOKEN": r"\b[0-9a-f]{40}\b",
-    "DATE_TIME": r"\b\d{4}-\d{2}-\d{2}\b",
+    "DATE_TIME": r"\b\d{4}-\d{2}-\d{2}\b|\b\d{1,2}[/.]\d{1,2}[/.]\d{4}\b",
+    "STREET_ADDRESS": r"\b\d{1,6}(?: [A-Z][a-z]+)+ (?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd"
+        r"|Lane|Ln|Drive|Dr|Court|Ct|Way)\b",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.functions import spans as sp
@@ -518,6 +518,31 @@ def r4_long_values(t: Tables) -> DataFrame:
     return redact(spread(long), "v").select("doc_id", "redacted_text", "entities_found")
 
 
+@query(
+    "r4_more_types",
+    """SELECT c_custkey AS id, 'on [DATE_TIME] or [DATE_TIME] call [PHONE_NUMBER] at [IP_ADDRESS] or '
+         || '[IP_ADDRESS], [STREET_ADDRESS], version 1.2.2021x' AS redacted_text,
+         6 AS entities_found FROM customer""",
+)
+def r4_more_types(t: Tables) -> DataFrame:
+    """Dates with strokes and dots, international phone numbers, IPv6 and street addresses."""
+    n = F.col("c_custkey")
+
+    def digits(by: int, width: int) -> Column:
+        return F.lpad((n % by).cast("string"), width, "0")
+
+    text = F.concat(
+        F.lit("on "), digits(28, 2), F.lit("/04/2021 or "), (n % 9 + 1).cast("string"),
+        F.lit(".12.1999 call +44 20 7946 "), digits(10_000, 4), F.lit(" at fe80::1ff:fe23:"),
+        F.lower(F.hex(n % 65536)), F.lit(":890a or 2001:db8:0:0:0:0:"), F.hex(n % 65536),
+        F.lit(":1, "), (n % 9999 + 1).cast("string"),
+        F.lit(" Old Mill Road, version 1.2.2021x"),
+    )
+    return redact(spread(t.customer.select(n.alias("id"), text.alias("v"))), "v").select(
+        "id", "redacted_text", "entities_found"
+    )
+
+
 _POOL = """pool AS (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) AS position,
   'o' || o_orderkey || '@pool.example.org' AS replacement FROM orders)"""
 

@@ -68,6 +68,7 @@ def test_gate_is_implied_by_every_pattern(spark):
         "CREDIT_CARD": "4111 1111 1111 1111", "IBAN_CODE": "DE89370400440532013000",
         "US_SSN": "078-05-1120", "UUID": "abcdefab-abcd-abcd-abcd-abcdefabcdef",
         "SECRET_TOKEN": "a" * 40, "DATE_TIME": "2024-01-31",
+        "STREET_ADDRESS": "1 Main Street",
     }
     for d in BUILT_INS:
         text = samples[d.label]
