@@ -32,8 +32,8 @@ SHINGLE = 3
 PERCENT = 90
 # Members of a block: a task compares two blocks at a time.
 BLOCK = 512
-# Row numbers that are broadcast at most (16 MB); more are joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+# Row numbers that are broadcast at most (some 70 MB as a hash table); more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 MEMO_WORDS = 150_000
 SET_SCHEMA = "row bigint, doc_id bigint, n bigint, fingerprint binary, sample array<bigint>"
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
