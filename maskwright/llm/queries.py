@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.llm import (
@@ -50,17 +50,78 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of all documents, judged by how many sources hold them."""
     kinds = secret_scan.BASE_KINDS
     found = secret_scan.scan(_table(spark, folder, "documents"))
-    counts = [
-        F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{kind}")
-        for i, kind in enumerate(kinds)
-    ]
+
+    def count(kind: str) -> Column:
+        number = secret_scan.KINDS.index(kind)
+        of_kind = F.filter("spans", lambda s: s["kind"] == number)
+        return F.size(of_kind).cast("bigint").alias(f"n_{kind}")
+
     base = secret_scan.spans_text(F.col("spans"), kinds).cast("binary")
     return found.select(
-        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"),
+        "doc_id", *map(count, kinds), F.sha2(base, 256).alias("base_sha256"),
         secret_scan.spans_text(F.col("spans")).alias("spans"),
     )
 
 
+def _either_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+_SQL_KINDS = (
+    ("assign", "(" + _either_case("password|passwd|secret|token|api_?key") + ")"
+     + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+    ("access", "AKIA[A-Z0-9]+"),
+    ("hex", "[0-9a-f]+"),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*"),
+    ("forge", "(?:gh[pousr]_|glpat-|xox[abprs]-|sk_live_)[A-Za-z0-9_-]{16,}"),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*"
+            r"(?:-----END [A-Z ]*PRIVATE KEY-----)?"),
+)
+
+
+def _sql_kind(order: int, name: str, pattern: str) -> str:
+    """The matches of one kind: (doc_id, owner, ord, kind, start, end, value)."""
+    p = pattern.replace("'", "''")
+    value = f"regexp_extract(m[i], '{p}', 2)" if name == "assign" else "m[i]"
+    least = {"assign": 8, "access": 16, "hex": 32}.get(name, 0)
+    return f"""SELECT doc_id, owner, {order} AS ord, '{name}' AS kind,
+        (list_sum(list_transform(g[1:i], lambda z: length(z)))
+          + coalesce(list_sum(list_transform(m[1:i - 1], lambda z: length(z))), 0))::BIGINT AS s,
+        length(m[i]) AS n, {value} AS value
+      FROM (SELECT doc_id, coalesce(source, chr(0)) AS owner,
+          regexp_extract_all(text, '{p}') AS m, string_split_regex(text, '{p}') AS g
+        FROM documents) x, unnest(range(1, len(m) + 1)) AS u(i) WHERE length({value}) >= {least}"""
+
+
+ORACLES["op2_secret_scan"] = f"""
+WITH found AS ({" UNION ALL ".join(_sql_kind(i, *k) for i, k in enumerate(_SQL_KINDS))}),
+vals AS (SELECT value, count(DISTINCT owner) AS owners FROM found GROUP BY value),
+chars AS (SELECT value, c, count(*) / length(value) AS p
+  FROM (SELECT value, unnest(string_split(value, '')) AS c FROM vals) x WHERE c <> ''
+  GROUP BY value, c),
+judged AS (
+  SELECT v.value, CASE WHEN any_value(owners) > {secret_scan.MAX_OWNERS} THEN 'example'
+      WHEN -sum(p * log2(p)) >= 3.0 - 1e-9 AND regexp_matches(v.value, '[0-9]')
+        AND NOT regexp_matches(v.value,
+          '(?i)example|placeholder|changeme|your_|xxxx|0000000000|1234567890') THEN 'live' END AS kind
+  FROM vals v JOIN chars USING (value) GROUP BY v.value),
+spans AS (
+  SELECT doc_id, ord, kind, s, s + n AS e FROM found
+  UNION ALL SELECT DISTINCT f.doc_id, CASE j.kind WHEN 'live' THEN 6 ELSE 7 END, j.kind,
+    f.s + f.n - length(f.value), f.s + f.n
+  FROM found f JOIN judged j USING (value) WHERE j.kind IS NOT NULL),
+told AS (
+  SELECT doc_id, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access,
+    count(*) FILTER (ord = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord, e) FILTER (ord < 3) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord, e) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN told t ON t.doc_id = d.doc_id"""
+
+
 URL_RULES = (
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
     ("net/es/", "block"), ("net/fr/", "block"),
@@ -136,6 +197,28 @@ def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORACLES["op6_jaccard_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 3 THEN list_filter([array_to_string(w, ' ')], lambda x: x <> '')
+    ELSE list_distinct(list_transform(range(1, len(w) - 1),
+      lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM worded),
+parts AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM parts a JOIN parts b ON a.shingle = b.shingle
+    AND a.doc_id <> b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT r.doc_id, any_value(len(s))::BIGINT AS n_shingles, min(other) AS component_id
+FROM reached r JOIN sets ON sets.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+
 @_query
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations formatted, and what is read back from the formatted texts."""
@@ -174,6 +257,20 @@ def op9_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORACLES["op9_warc_zip"] = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h
+  FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM hashed)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(h, k // 4 * 5 + 1, 5))::INTEGER >> (15 - 5 * (k % 4))::INTEGER) & 31) + 1, 1)),
+    '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts"""
+
+
 @_query
 def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from three of four folds."""

@@ -59,7 +59,8 @@ def looks_random(value: str, min_entropy: float = MIN_ENTROPY) -> bool:
         return False
     n = len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    return entropy >= min_entropy and any(c.isdigit() for c in value)
+    # Sums of logarithms differ in their last bits from one engine to another.
+    return entropy >= min_entropy - 1e-9 and any(c in "0123456789" for c in value)
 
 
 def find_spans(text: str) -> list[tuple[int, int, int, int, int]]:
