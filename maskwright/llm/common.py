@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -14,10 +16,10 @@ from pyspark.sql import functions as F
 from maskwright.sources.shared import shared_path
 
 # Text of one Arrow batch that is worked on at a time.
-CHUNK_CHARS = 2 * 1024 * 1024
+CHUNK_CHARS = 512 * 1024
 # Bounds of the Arrow batches between the JVM and Python workers: texts can be long.
 BATCH_BOUNDS = {
-    "spark.sql.execution.arrow.maxBytesPerBatch": 4 * 1024 * 1024,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 2 * 1024 * 1024,
     "spark.sql.execution.arrow.maxRecordsPerBatch": 2048,
 }
 
@@ -49,6 +51,13 @@ def fits(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker lives on between tasks, idle or not."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     """A value made once per Python worker and kept between its tasks.
 
@@ -62,6 +71,7 @@ def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     if key not in kept:
         for other in [k for k in kept if k[0] != key[0]]:
             del kept[other]
+        release_memory()
         kept[key] = make()
     return kept[key]
 
@@ -106,3 +116,4 @@ def chunks(
             size += length
         if begin < len(texts):
             yield batch.slice(begin), texts[begin:]
+    release_memory()

@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import chunks, column, fits, per_process, small_batches, stored
+from maskwright.llm.common import (
+    chunks, column, fits, per_process, release_memory, small_batches, stored,
+)
 from maskwright.llm.components import components
 
 SHINGLE = 3
@@ -250,6 +252,7 @@ def _rows(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple]:
         columns = [batch.column(i).to_pylist() for i in range(keys + 1)]
         for *key, raw in zip(*columns, strict=True):
             yield (*key, np.frombuffer(raw, dtype=np.uint64))
+    release_memory()
 
 
 def _with_leader(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ UNKNOWN = "und"
 LETTERS = 128
 MEMO_GRAMS = 16_384
 # Counts of one matrix product.
-BLOCK_COUNTS = 4 * 1024 * 1024
+BLOCK_COUNTS = 1024 * 1024
 # The model is one vector per language; more languages than this are refused, not dropped.
 MAX_LANGUAGES = 5_000
 _GAP, _NEW, _OTHER = 0, -1, -2
