@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from maskwright.sources.shared import shared_path
+
+# Rows before a page that one sort may keep; pages further back are found by ranges.
+DEEP_OFFSET = 10_000
+
 
 def _cleaned(values: Sequence[str]) -> list[str]:
     return [v.strip() for v in values if v.strip()]
@@ -60,17 +65,50 @@ def matches(listing: Listing, query: ListQuery) -> Column:
 
 
 def page(df: DataFrame, listing: Listing, query: ListQuery) -> DataFrame:
-    """The rows of one page; the key breaks ties, so pages never overlap."""
+    """The rows of one page; the key breaks ties, so pages never overlap.
+
+    A page near the front is the top of a sort that keeps no more rows than it needs.  For one
+    further back the rows are sorted in ranges and counted per range, so that no task holds all
+    that come before it.
+    """
     field = query.sort_by or listing.key
     if field not in (listing.key, *listing.sortable):
         raise ValueError(f"cannot sort by {field!r}")
     first = F.desc(field) if query.sort_direction.lower() == "desc" else F.asc(field)
-    rows = df.filter(matches(listing, query)).orderBy(first, F.asc(listing.key))
+    order = [first, F.asc(listing.key)]
+    wanted = df.filter(matches(listing, query))
+    if query.offset > DEEP_OFFSET:
+        return deep_page(wanted, order, query)
+    rows = wanted.orderBy(*order)
     if query.offset:
         rows = rows.offset(query.offset)
     return rows.limit(query.limit) if query.limit is not None else rows
 
 
+def deep_page(rows: DataFrame, order: Sequence[Column], query: ListQuery) -> DataFrame:
+    """Rows sorted in ranges and written, so that their places do not change; then those whose
+    place in their range, shifted by the sizes of the ranges before it, is on the page."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_path(spark, "page")
+    rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn(
+        "__place", F.monotonically_increasing_id()
+    ).write.parquet(path)
+    sorted_rows = spark.read.parquet(path)
+    # The upper bits of a place are the range, the lower ones count from 0 within it.
+    part = F.shiftright("__place", 33)
+    sizes = sorted_rows.groupBy(part.alias("__range")).agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
+    at = F.col("__shift") + F.col("__place").bitwiseAND((1 << 33) - 1)
+    test = at >= query.offset
+    if query.limit is not None:
+        test = test & (at < query.offset + query.limit)
+    # One row per range: broadcast.
+    placed = sorted_rows.withColumn("__range", part).join(F.broadcast(shifts), "__range")
+    return placed.filter(test).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def totals(df: DataFrame, listing: Listing, query: ListQuery) -> DataFrame:
     """Counts before and after filtering and the place of the page, from one pass."""
     counted = df.agg(

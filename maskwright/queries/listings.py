@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.operators.listing import Listing, ListQuery, matches, page, totals
+from maskwright.operators.listing import (
+    Listing,
+    ListQuery,
+    deep_page,
+    matches,
+    page,
+    totals,
+)
 from maskwright.operators.registry import summarize_entity
 from maskwright.queries import fixtures as fx
 from maskwright.queries.base import Tables, query, with_ctes
@@ -90,3 +97,42 @@ def p6_regex_filter(t: Tables) -> DataFrame:
     return t.customer.filter(F.rlike("c_name", F.lit(r"#0*[1-9]\d?5$"))).select(
         "c_custkey", "c_name"
     )
+
+
+@query(
+    "l3_deep_page",
+    """SELECT l_orderkey, l_linenumber FROM (
+         SELECT *, l_orderkey * 8 + l_linenumber AS id FROM lineitem)
+       ORDER BY l_shipdate DESC, id OFFSET 3000 LIMIT 500""",
+)
+def l3_deep_page(t: Tables) -> DataFrame:
+    """L3: a page far behind the front, found by ranges."""
+    lines = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_shipdate",
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+    )
+    listing = Listing(key="id", search="id", sortable=["l_shipdate"])
+    wanted = ListQuery(sort_by="l_shipdate", sort_direction="desc", offset=3000, limit=500)
+    order = [F.desc("l_shipdate"), F.asc("id")]
+    return deep_page(lines.filter(matches(listing, wanted)), order, wanted).select(
+        "l_orderkey", "l_linenumber"
+    )
+
+
+@query(
+    "x12_map_entries",
+    """SELECT o_orderkey AS id, o_orderstatus || ',' || o_orderpriority AS map_values,
+         'priority=' || o_orderpriority || ';status=' || o_orderstatus AS entries FROM orders""",
+)
+def x12_map_entries(t: Tables) -> DataFrame:
+    """The values of a map, and its entries in the order of their keys."""
+    pairs = F.create_map(
+        F.lit("status"), F.col("o_orderstatus"), F.lit("priority"), F.col("o_orderpriority")
+    )
+    entries = F.array_sort(F.map_entries(pairs))
+    return t.orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.array_join(F.map_values(pairs), ",").alias("map_values"),
+        F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+        .alias("entries"),
+    )
