@@ -367,7 +367,7 @@ _SWAPS = """swaps AS (
 
 _KEYED_NOTES = """keyed AS (SELECT id AS pk, note,
   CASE WHEN id % 3 <> 0 THEN id - id % 2 END AS id FROM notes)"""
-_REPEATED_ID = F.expr("CASE WHEN id % 3 <> 0 THEN id - id % 2 END")
+_REPEATED_ID = "CASE WHEN id % 3 <> 0 THEN id - id % 2 END"
 
 
 @query(
@@ -394,7 +394,7 @@ def r16_swaps(t: Tables) -> DataFrame:
         ).alias("replacement"),
     )
     return redact(
-        spread(fx.notes(t).withColumn("id", _REPEATED_ID)), "note",
+        spread(fx.notes(t).withColumn("id", F.expr(_REPEATED_ID))), "note",
         RedactOptions(generator_default="Synthesis", key=KEY), swaps=swaps,
     ).select("id", "redacted_text")
 
