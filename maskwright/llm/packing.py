@@ -21,7 +21,7 @@ LIMIT = 2048
 EOS = 1
 TOKENIZER = "word_bpe_49k.json"
 # Words remembered per Python worker and generation.
-MEMO_WORDS = 350_000
+MEMO_WORDS = 100_000
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
     "sequence_id bigint, offset bigint, bucket int"
