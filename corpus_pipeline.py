@@ -13,6 +13,8 @@ from maskwright.llm.common import stored
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 # A text of at least so many characters whose cosine stays below this fits no known language.
 MIN_CHARS, MIN_SCORE = 200, 0.15
+# Near copies: shingles of so many words, and a Jaccard similarity of at least so many percent.
+COPY_WORDS, COPY_PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +30,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of equal or similar texts: that with the smallest id."""
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(docs, percent=COPY_PERCENT, size=COPY_WORDS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -111,11 +111,13 @@ def _shared_at_least(n: Column, percent: int) -> Column:
     return F.floor(least / 10).cast("bigint") + 1
 
 
-def _described(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _described(
+    batches: Iterator[pa.RecordBatch], percent: int, size: int = SHINGLE
+) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch, texts in chunks(batches, "text"):
-        sets = shingle_sets(texts)
+        sets = shingle_sets(texts, size)
         prints = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
         samples = [s[:sample_size(len(s), percent)] for s in sets]
         offsets = np.concatenate(([0], np.cumsum([len(s) for s in samples]))).astype(np.int32)
@@ -131,9 +133,9 @@ def _described(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         )
 
 
-def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch, texts in chunks(batches, "text"):
-        sets = [s.tobytes() for s in shingle_sets(texts)]
+        sets = [s.tobytes() for s in shingle_sets(texts, size)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sets, pa.binary())], names=["cid", "shingles"]
         )
@@ -357,10 +359,12 @@ def join(
     id_col: str = "doc_id",
     text_col: str = "text",
     percent: int = PERCENT,
+    size: int = SHINGLE,
 ) -> DataFrame:
     """(row, doc_id, n_shingles, component_id, component) of every row of ``docs``.
 
-    Two texts are linked if their shingle sets have a Jaccard similarity of ``percent`` or more;
+    Two texts are linked if their sets of shingles (``size`` words each) have a Jaccard similarity
+    of ``percent`` or more;
     ``component_id`` is the smallest id that links reach, the row's own included, and
     ``component`` a number of the component.  ``row`` numbers the rows of ``docs``, which should
     be a stored table: it is read twice.
@@ -376,7 +380,7 @@ def join(
         column(text_col).alias("text"),
     )
     described = stored(
-        numbered.mapInArrow(lambda b: _described(b, percent), SET_SCHEMA), "jaccard_sets"
+        numbered.mapInArrow(lambda b: _described(b, percent, size), SET_SCHEMA), "jaccard_sets"
     )
     narrow = described.select("row", "doc_id", "n", "fingerprint")
     classes = stored(
@@ -392,7 +396,7 @@ def join(
     compared = groups.select(F.col("cid").alias("row")).distinct()
     sets = stored(
         _of_rows(numbered.select("row", "text"), compared)
-        .mapInArrow(_whole_sets, "cid bigint, shingles binary"),
+        .mapInArrow(lambda b: _whole_sets(b, size), "cid bigint, shingles binary"),
         "jaccard_whole_sets",
     )
     roots = components(similar_links(groups, sets, percent))
@@ -414,10 +418,10 @@ def join(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             percent: int = PERCENT) -> DataFrame:
+             percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of every component: that with the smallest id (null last), and of
     equal ids the first.  Rows without shingles are components of their own.  Columns stay."""
-    joined = stored(join(docs, id_col, text_col, percent), "jaccard_joined")
+    joined = stored(join(docs, id_col, text_col, percent, size), "jaccard_joined")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     kept = (
         joined.groupBy("component").agg(F.min(order).alias("first"))

@@ -6,7 +6,7 @@ from maskwright.llm import jaccard
 from maskwright.llm.components import components
 
 
-def _shingles(text):
+def _shingles(text, size=3):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words, word = [], ""
     for c in lower + " ":
@@ -14,14 +14,14 @@ def _shingles(text):
             words, word = words + [word] if word else words, ""
         else:
             word += c
-    if len(words) < 3:
+    if len(words) < size:
         return {tuple(words)} if words else set()
-    return {tuple(words[i:i + 3]) for i in range(len(words) - 2)}
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)}
 
 
-def _brute(docs, percent=90):
+def _brute(docs, percent=90, size=3):
     """Components by comparing all pairs: (doc_id, size, smallest id) of each row."""
-    sets = [_shingles(t) for _, t in docs]
+    sets = [_shingles(t, size) for _, t in docs]
     root = list(range(len(docs)))
 
     def find(x):
@@ -68,8 +68,8 @@ def _corpus(seed, groups=8, copies=14):
     return docs + [docs[3], (None, docs[5][1]), (None, "lonely words of no id here")]
 
 
-def _got(frame, docs):
-    rows = jaccard.join(frame(docs)).collect()
+def _got(frame, docs, **options):
+    rows = jaccard.join(frame(docs), **options).collect()
     return sorted(map(str, ((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows)))
 
 
@@ -80,6 +80,13 @@ def test_components_equal_brute_force(frame, monkeypatch, seed, block):
     assert _got(frame, docs) == sorted(map(str, _brute(docs)))
 
 
+def test_other_shingles_and_thresholds(frame, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    docs = _corpus(6)
+    got = _got(frame, docs, percent=80, size=5)
+    assert got == sorted(map(str, _brute(docs, 80, 5)))
+
+
 def test_one_large_group_of_near_copies(frame, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 16)
     pick = random.Random(9)
