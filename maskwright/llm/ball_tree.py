@@ -202,8 +202,7 @@ def search(
 ) -> DataFrame:
     """Top k of ``vectors`` for the rows whose id is divisible by ``every``, against all rows.
 
-    ``vectors`` should be a stored table: it is read several times.  Vectors that are null or
-    hold a null or non-finite component, and rows without an id, take no part.  Repeated rows
+    ``vectors`` is read once and written with its row numbers.  Vectors that are null or hold a null or non-finite component, and rows without an id, take no part.  Repeated rows
     are candidates of each other.  No rows give no rows.  Other columns are ignored.  Components
     and scores must fit a long; others are an error.
     """

@@ -138,8 +138,8 @@ def search(
 
     Vectors that are null, zero, or hold a null or non-finite component, and rows without an id,
     take no part; vectors meet only those of equal length.  Repeated rows are candidates of each
-    other.  No rows give no rows.  Other columns are ignored.  ``vectors`` is read several times
-    and should be a stored table.
+    other.  No rows give no rows.  Other columns are ignored.  ``vectors`` is read once and
+    written with its row numbers.
     """
     if not 1 <= bits <= 64:
         raise ValueError("bits must be from 1 to 64")

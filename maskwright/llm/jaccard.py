@@ -366,19 +366,24 @@ def join(
     Two texts are linked if their sets of shingles (``size`` words each) have a Jaccard similarity
     of ``percent`` or more;
     ``component_id`` is the smallest id that links reach, the row's own included, and
-    ``component`` a number of the component.  ``row`` numbers the rows of ``docs``, which should
-    be a stored table: it is read twice.
+    ``component`` a number of the component.  ``row`` numbers the rows of ``docs``: they are
+    written once with their numbers, and every pass reads those.
 
     Null and empty texts, and texts without words, have no shingles and are linked with nothing.
     Equal texts and repeated rows are linked.  Null ids take part, but are no component's
     smallest id unless it has no other.  No rows give no rows.  Other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    numbered = docs.select(
+    numbered = stored(docs.select(
         F.monotonically_increasing_id().alias("row"),
         column(id_col).cast("bigint").alias("doc_id"),
         column(text_col).alias("text"),
-    )
+    ), "jaccard_rows")
+    return _joined(numbered, percent, size)
+
+
+def _joined(numbered: DataFrame, percent: int, size: int) -> DataFrame:
+    """``join`` of stored rows (row, doc_id, text)."""
     described = stored(
         numbered.mapInArrow(lambda b: _described(b, percent, size), SET_SCHEMA), "jaccard_sets"
     )
@@ -421,13 +426,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of every component: that with the smallest id (null last), and of
     equal ids the first.  Rows without shingles are components of their own.  Columns stay."""
-    joined = stored(join(docs, id_col, text_col, percent, size), "jaccard_joined")
+    small_batches(docs.sparkSession)
+    numbered = stored(
+        docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard_rows"
+    )
+    texts = numbered.select(
+        F.col("__row").alias("row"),
+        column(id_col).cast("bigint").alias("doc_id"),
+        column(text_col).alias("text"),
+    )
+    joined = stored(_joined(texts, percent, size), "jaccard_joined")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     kept = (
         joined.groupBy("component").agg(F.min(order).alias("first"))
         .select(F.col("first.row").alias("__row"))
     )
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     ids = stored(kept, "jaccard_kept")
     chosen = F.broadcast(ids) if fits(ids, BROADCAST_ROWS) else ids
     return numbered.join(chosen, "__row", "left_semi").drop("__row")

@@ -147,20 +147,25 @@ def scan(
     ``spans`` is an array of (start, kind, end) with kinds as indexes into ``KINDS``.  To the
     spans of the patterns come, for every value, ``example`` where more than ``max_owners``
     owners hold it, and ``live`` where no more do and it looks random.  ``row`` numbers the rows
-    of ``docs`` (which should be a stored table, so that it can be read again).
+    of ``docs``: they are written once with their numbers, and every pass reads those.
 
-    Texts are read once and never shuffled: only hashes meet.  Null and empty texts have no
+    Texts are scanned once and never shuffled: only hashes meet.  Null and empty texts have no
     spans.  Repeated rows and ids stay separate rows; repeated rows of one owner count as one
     owner.  No rows give no rows.  Other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    numbered = docs.select(
+    numbered = stored(docs.select(
         F.monotonically_increasing_id().alias("row"),
         column(id_col).alias("doc_id"),
         column(text_col).alias("text"),
         column(owner_col).alias("owner"),
         column(repository_col).alias("repository"),
-    )
+    ), "secret_rows")
+    return _scanned(numbered, max_owners)
+
+
+def _scanned(numbered: DataFrame, max_owners: int) -> DataFrame:
+    """``scan`` of stored rows (row, doc_id, text, owner, repository)."""
     found = stored(
         numbered.select("row", "text").mapInArrow(_scan, SCAN_SCHEMA)
         .filter(F.size("spans") > 0),
@@ -233,13 +238,21 @@ def mask(
     Columns and rows stay as they are; ``length_col`` follows the new text.  Only texts with
     spans are moved (to meet their spans), all others stay in their task.
     """
+    small_batches(docs.sparkSession)
+    order = docs.columns
+    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "secret_rows")
+    rows = numbered.select(
+        F.col("__row").alias("row"),
+        column(id_col).alias("doc_id"),
+        column(text_col).alias("text"),
+        column(owner_col).alias("owner"),
+        column(repository_col).alias("repository"),
+    )
     spans = stored(
-        scan(docs, id_col, text_col, owner_col, repository_col, max_owners)
+        _scanned(rows, max_owners)
         .filter(F.size("spans") > 0).select(F.col("row").alias("__row"), F.col("spans").alias("__spans")),
         "secret_verdicts",
     )
-    order = docs.columns
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import column, small_batches
+from maskwright.llm.common import column, small_batches, stored
 
 # Queries searched together within a task.
 BLOCK = 512
@@ -36,17 +36,21 @@ class Rows(NamedTuple):
 
 
 def clean(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(row, vec_id, vector) of the rows that take part: an id, and a vector of finite numbers."""
+    """(row, vec_id, vector) of the rows that take part: an id, and a vector of finite numbers.
+
+    Written once, so that every pass reads the same row numbers.
+    """
     vector = column(vector_col)
     whole = F.forall(
         vector,
         lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))),
     )
-    return df.select(
+    kept = df.select(
         F.monotonically_increasing_id().alias("row"),
         column(id_col).cast("bigint").alias("vec_id"),
         vector.alias("vector"),
     ).filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & whole)
+    return stored(kept, "vector_rows")
 
 
 def shard_of(shards: int) -> Column:

@@ -297,7 +297,7 @@ def write_archives(
 
     Of equal payloads of at least ``min_bytes`` bytes, the row with the smallest id (null last,
     then the first row) becomes the response and the others revisits of it; shorter payloads are
-    all responses.  ``pages`` should be a stored table: it is read twice, and its html is never
+    all responses.  ``pages`` is read once and written with its row numbers; its html is never
     shuffled unless more than ``broadcast_rows`` payloads have copies.
 
     A null html is an empty payload, a null url leaves the target out.  Repeated rows are copies
@@ -308,14 +308,14 @@ def write_archives(
     small_batches(spark)
     target = folder or shared_path(spark, "warc")
     payload = F.encode(F.coalesce(column(html_col), F.lit("")), "UTF-8")
-    rows = pages.select(
+    rows = stored(pages.select(
         column(id_col).cast("bigint").alias("page_id"),
         F.monotonically_increasing_id().alias("row"),
         column(url_col).alias("url"),
         F.coalesce(column(html_col), F.lit("")).alias("html"),
         F.sha1(payload).alias("digest"),
         F.length(payload).alias("payload_length"),
-    )
+    ), "warc_rows")
     copies = stored(first_copies(rows, min_bytes), "warc_copies")
     small = fits(copies, broadcast_rows)
     joined = rows.join(F.broadcast(copies) if small else copies, "digest", "left")
