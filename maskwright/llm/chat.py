@@ -5,8 +5,10 @@ conversation are rendered and neighbouring outputs compared: what output k adds
 the span of turn k.  A template whose output for k turns does not begin with its output for k-1
 turns rewrites history; this is detected and reported with the turn where it happened.
 
-Conversations are streamed in order, in segments of bounded length, so a conversation of any
-size needs the memory of one segment.
+Prefixes are rendered over the whole history: a template may look at any turn before.  A template
+declared local (``template.local = True``) promises that what it adds for a turn depends on no
+turn but that one and the one before; its conversations are streamed in segments of bounded
+length, so one of any size needs the memory of one segment.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from maskwright.llm.common import column, small_batches
 
-# Turns of one segment: its prefixes are rendered one after another.
+# Turns of one segment of a local template: its prefixes are rendered one after another.
 SEGMENT = 64
 ESCAPE = "\\"
 # Control strings of common chat templates.
@@ -78,6 +80,9 @@ def marked_turns(turns: list[Turn], open_reply: bool = False) -> str:
     return "".join(out)
 
 
+marked_turns.local = True
+
+
 def render_segment(
     turns: list[Turn], template: Template, before: list[Turn]
 ) -> Iterator[tuple[str, int, int, bool]]:
@@ -109,8 +114,10 @@ def render_segment(
         last = full
 
 
-def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[int, list[Turn]]]:
-    """(conv_id, turns) in order; a long conversation comes in several segments."""
+def _segments(
+    batches: Iterator[pa.RecordBatch], length: int | None
+) -> Iterator[tuple[int, list[Turn]]]:
+    """(conv_id, turns) in order; with a length, a long conversation comes in several segments."""
     rows = (
         row for batch in batches
         for row in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True)
@@ -133,7 +140,7 @@ def format_turns(
     role_col: str = "role",
     text_col: str = "text",
     template: Template = marked_turns,
-    segment: int = SEGMENT,
+    segment: int | None = None,
 ) -> DataFrame:
     """One row per turn: its piece of the formatted conversation, its span [start, end) there,
     the span of its text under the loss (empty but for replies), and whether the template rewrote
@@ -143,7 +150,13 @@ def format_turns(
     Null roles and texts are empty.  Turns are in the order of ``turn`` (null first), equal ones
     in that of role and text; repeated rows are repeated turns.  Rows with a null conversation
     form one conversation.  No rows give no rows.  Other columns are ignored.
+
+    Every prefix holds all turns from the first, so work is quadratic in the turns of a
+    conversation.  ``segment`` renders within so many turns instead, and is only right for
+    templates that look back one turn at most; those declared local take ``SEGMENT``.
     """
+    if segment is None and getattr(template, "local", False):
+        segment = SEGMENT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, position, at, before = object(), 0, 0, []
@@ -154,10 +167,10 @@ def format_turns(
             for piece, start, end, rewritten in render_segment(turns, template, before):
                 rows.append((conv, position, at, at + len(piece), start, end, rewritten, piece))
                 position, at = position + 1, at + len(piece)
+                if len(rows) >= 2048:
+                    yield _pieces(rows)
+                    rows = []
             before = turns[-1:]
-            if len(rows) >= 2048:
-                yield _pieces(rows)
-                rows = []
         if rows:
             yield _pieces(rows)
 

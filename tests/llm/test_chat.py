@@ -97,3 +97,26 @@ def test_no_conversations(frame):
 def test_foreign_text_is_not_parsed():
     with pytest.raises(ValueError):
         list(chat._parse("hello"))
+
+
+def test_templates_may_look_back_to_the_first_turn(frame):
+    def numbered(turns, open_reply=False):
+        """The first turn's text and the number of the turn before every text."""
+        out = [f"{{{turns[0][1]}:{i}:{r}:{t}}}" for i, (r, t) in enumerate(turns)]
+        if open_reply:
+            out.append(f"{{{turns[0][1]}:{len(turns)}:assistant:")
+        return "".join(out)
+
+    def without_the_first(turns, open_reply=False):
+        """Turn 0 is shown until there are 100 turns."""
+        return chat.marked_turns(turns[1:] if len(turns) >= 100 else turns, open_reply)
+
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(200)]
+    turns = [(r, t) for _, _, r, t in rows]
+    done = chat.format_turns(frame(rows, SCHEMA), template=numbered).orderBy("position").collect()
+    assert "".join(r["piece"] for r in done) == numbered(turns)
+    assert not any(r["rewritten"] for r in done)
+    assert all(r["piece"][r["loss_start"]:r["loss_end"]] == f"t{i}"
+               for i, r in enumerate(done) if i % 2)
+    done = chat.format_turns(frame(rows, SCHEMA), template=without_the_first).collect()
+    assert [r["position"] for r in done if r["rewritten"]] == [99]
