@@ -84,7 +84,7 @@ def s1_inventory(t: Tables) -> DataFrame:
 )
 def s5_written_tree(t: Tables) -> DataFrame:
     """A tree written file by file, and read back whole."""
-    return read_whole(t.spark, _document_tree(t)).filter("text <> ''")
+    return read_whole(t.spark, _document_tree(t))
 
 
 @query(
@@ -100,7 +100,7 @@ def s5_written_tree(t: Tables) -> DataFrame:
 def f10_folder_job(t: Tables) -> DataFrame:
     """The whole folder job over the tree of all documents."""
     job = deidentify_folder(t.spark, _document_tree(t), RedactOptions(key=KEY))
-    return job.outputs.filter("redacted_text <> ''").select(
+    return job.outputs.select(
         "path", "output_path", "redacted_text", "entities_found"
     )
 

@@ -33,6 +33,28 @@ def describe(paths: DataFrame) -> DataFrame:
     )
 
 
+def _decoded(uri: Column) -> Column:
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def _sized(spark: SparkSession, root: str) -> DataFrame:
+    """(path, size) of all files, and of those of length 0 too.
+
+    The index of a file source lists empty files, but its scans leave them out.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    found = files.select(_root(F.col("path"), root).alias("path"), F.col("length").alias("size"))
+    # One call for all paths of the index, which are URIs: a line break in a name is encoded.
+    uris = spark.sparkContext._jvm.org.apache.hadoop.util.StringUtils.join(
+        "\n", files._jdf.inputFiles()
+    )
+    listed = spark.createDataFrame([(uri,) for uri in uris.split("\n") if uri], "uri string")
+    every = listed.select(_root(_decoded(F.col("uri")), root).alias("path"))
+    return every.join(found, "path", "left").select(
+        "path", F.coalesce("size", F.lit(0).cast("long")).alias("size")
+    )
+
+
 def list_tree(spark: SparkSession, root: str, max_depth: int | None = MAX_DEPTH) -> DataFrame:
     """Inventory of a directory tree; the content column is pruned, so no file is opened.
 
@@ -41,29 +63,27 @@ def list_tree(spark: SparkSession, root: str, max_depth: int | None = MAX_DEPTH)
     """
     if max_depth is not None and max_depth < 0:
         raise ValueError("max_depth must not be negative")
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(_root(F.col("path"), root).alias("path"), F.col("length").alias("size"))
-    )
-    listed = describe(files)
+    listed = describe(_sized(spark, root))
     return listed if max_depth is None else listed.filter(F.col("depth") <= max_depth)
 
 
 def read_whole(spark: SparkSession, root: str) -> DataFrame:
-    """Text of every file below a root as (path, text).
+    """Text of every file below a root as (path, text); that of an empty file is empty.
 
     ``path`` is derived from file metadata, so filters on it prune files before they are read.
     """
-    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return (
+    texts = (
         spark.read.format("text")
         .option("wholetext", "true")
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select(_root(decoded, root).alias("path"), F.col("value").alias("text"))
+        .select(
+            _root(_decoded(F.col("_metadata.file_path")), root).alias("path"),
+            F.col("value").alias("text"),
+        )
     )
+    empty = _sized(spark, root).filter("size = 0").select("path", F.lit("").alias("text"))
+    return texts.unionByName(empty)
 
 
 def write_tree(outputs: DataFrame, root: str) -> None:

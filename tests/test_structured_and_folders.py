@@ -19,7 +19,7 @@ from maskwright.operators.detectors import register_detector
 from maskwright.operators.registry import jobs_since
 from maskwright.operators.structured import redact_html, redact_json, redact_xml
 from maskwright.plans.folder import FolderOptions, deidentify_folder, plan_work, redacted_name, with_outputs
-from maskwright.sources.files import list_tree, write_tree
+from maskwright.sources.files import list_tree, read_whole, write_tree
 
 
 def one(spark, text, fn, **kwargs):
@@ -178,3 +178,25 @@ def test_trained_detector_learns(spark):
     fresh = spark.createDataFrame([("call opened by agent K777 today", )], "text string")
     got = flat_candidates(detect(fresh, "text", RedactOptions(custom_entities=["agents"])), []).collect()
     assert [(g.label, g.text) for g in got] == [("AGENT", "K777")]
+
+
+def test_empty_files_are_files(spark, tmp_path):
+    texts = {"a/x.txt": "mail a@b.com", "a/em+pty %41.txt": "", "b/c/empty.json": "", "é.log": ""}
+    for path, text in texts.items():
+        target = tmp_path / "src" / path
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_text(text)
+    root = str(tmp_path / "src")
+    sizes = {r["path"]: (r["size"], r["depth"]) for r in list_tree(spark, root).collect()}
+    assert sizes == {p: (len(t), p.count("/")) for p, t in texts.items()}
+    contents = read_whole(spark, root).collect()
+    assert {r["path"]: r["text"] for r in contents} == texts and len(contents) == 4
+    job = deidentify_folder(
+        spark, root, RedactOptions(generator_default="Redaction"), FolderOptions(skip_patterns=["*.log"])
+    )
+    outputs = {r["path"]: (r["redacted_text"], r["entities_found"]) for r in job.outputs.collect()}
+    assert outputs["a/em+pty %41.txt"] == ("", 0)
+    results = {r["source"]: r["status"] for r in job.results.collect()}
+    assert set(results) == set(texts) and results["é.log"] == "skipped"
+    summary = job.summary.first()
+    assert summary["total_processed"] == 4 and summary["skipped"] == 1
