@@ -112,7 +112,7 @@ def drawn(
     leaves on division by the size of the pool.
     """
     sizes = {r["label"]: r["n"] for r in pools.groupBy("label").agg(
-        F.count("*").alias("n")).limit(rows).collect()}
+        F.count("*").alias("n")).collect()}
 
     def place(label: str, text: str) -> int:
         digest = hashlib.sha256(f"{key}|{label}|{text}".encode()).hexdigest()

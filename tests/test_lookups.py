@@ -118,3 +118,12 @@ def test_cells_with_quotes_and_other_separators(spark):
 def test_the_shared_folder_is_one_of_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     assert shared_dir(spark).replace("file://", "").startswith(named.replace("file:", ""))
+
+
+def test_every_label_keeps_its_pool(spark):
+    df = spark.createDataFrame([("a@b.com 1.2.3.4",)], "text string")
+    pools = spark.createDataFrame(
+        [(label, i, f"{label}{i}") for label in ("EMAIL_ADDRESS", "IP_ADDRESS") for i in range(3)],
+        "label string, position long, replacement string")
+    found = lookups.drawn(detect(df, "text"), "spans", pools, "k", rows=1).first()["spans"]
+    assert [s["swap"][:-1] for s in found] == ["EMAIL_ADDRESS", "IP_ADDRESS"]
