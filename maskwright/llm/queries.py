@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.llm import (
-    ball_tree, byte_bpe, chat, hash_forest, jaccard, langid, packing, secret_scan, url_filter,
-    warc_zip,
+    ball_tree, byte_bpe, chat, exact_dedup, hash_forest, jaccard, langid, packing, secret_scan,
+    url_filter, warc_zip,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -279,3 +279,20 @@ def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), prototypes).select(
         "doc_id", langid.in_fold("doc_id").alias("held_out"), "lang_pred", "score"
     )
+
+
+@_query
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The row of equal texts that stays, for every document."""
+    return exact_dedup.groups(_table(spark, folder, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
+ORACLES["op13_exact_dedup"] = r"""
+WITH digests AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
+  FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = min(doc_id) OVER same AS kept, h AS text_sha256
+FROM digests WINDOW same AS (PARTITION BY h)"""
