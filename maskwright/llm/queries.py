@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.llm import (
-    ball_tree, byte_bpe, chat, exact_dedup, hash_forest, jaccard, langid, packing, secret_scan,
-    url_filter, warc_zip,
+    ball_tree, byte_bpe, chat, exact_dedup, hash_forest, jaccard, langid, merkle, packing,
+    secret_scan, url_filter, warc_zip,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -281,6 +281,29 @@ def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _tampered(text: Column) -> Column:
+    """A text with A-Z in lower case."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, proof and root of every document, and the root that a tampered copy leads to."""
+    docs = _table(spark, folder, "documents")
+    own = merkle.FIELDS
+    changed = merkle.leaf([_tampered(F.col(n)) if n == "text" else F.col(n) for n in own])
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    listed = merkle.manifest(docs, carry={"claimed": F.when(chosen, changed)})
+    folded = merkle.as_hex(merkle.fold(F.coalesce("claimed", "leaf"), F.col("proof")))
+    root = merkle.as_hex(F.col("root"))
+    return listed.select(
+        "doc_id", merkle.as_hex(F.col("leaf")).alias("leaf"),
+        merkle.as_hex(F.col("subroot")).alias("subroot"), root.alias("root"),
+        F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == root).alias("verified"),
+    )
+
+
 @_query
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The row of equal texts that stays, for every document."""
