@@ -46,6 +46,14 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(bound))
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that the frame does not have, in any case of its letters."""
+    taken, name = {c.lower() for c in df.columns}, base
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether a frame has at most ``rows`` rows; counts no more than one row beyond."""
     return df.limit(rows + 1).count() <= rows
@@ -76,14 +84,21 @@ def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     return kept[key]
 
 
+# Longer keys are not remembered, so that a memo is bounded in bytes and not only in entries.
+MEMO_KEY = 64
+
+
 class Memo:
     """A bounded memo of two generations: what was used since the last turn-over survives it."""
 
-    def __init__(self, limit: int) -> None:
-        self.limit, self.young, self.old = limit, {}, {}
+    def __init__(self, limit: int, key_length: int = MEMO_KEY) -> None:
+        self.limit, self.key_length = limit, key_length
+        self.young, self.old, self.passing = {}, {}, []
 
     def fill(self, lists: Iterable[Iterable], make: Callable[[list], Iterable]) -> dict:
-        """A dict that holds the value of every key in ``lists``."""
+        """A dict that holds the value of every key in ``lists``, until the next call."""
+        for key in self.passing:
+            del self.young[key]
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         wanted = set().union(*lists)
@@ -97,6 +112,7 @@ class Memo:
                 self.young[key] = value
         if unknown:
             self.young.update(zip(unknown, make(unknown), strict=True))
+        self.passing = [key for key in unknown if len(key) > self.key_length]
         return self.young
 
 

@@ -28,7 +28,8 @@ SCHEMA = (
 )
 
 # Texts of these characters alone are unchanged by NFC and lower-cased character by character.
-_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-įı-ʯ‐-‧‰-›€]*")
+# (İ, Ⱥ and Ⱦ lie between the ranges: their lower-case forms lie outside.)
+_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-įı-ȹȻ-Ƚȿ-ʯ‐-‧‰-›€]*")
 _LATIN = "a-zªµºß-öø-ʯ"
 # Words of the tokenizer's pre-tokenizer, for plain texts in lower case.
 _WORDS = re.compile(

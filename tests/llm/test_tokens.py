@@ -98,3 +98,31 @@ def test_compatibility_is_what_merges_leave():
 def test_null_ids_decode_to_null(spark):
     rows = spark.createDataFrame([(1, None)], "doc_id bigint, ids binary")
     assert byte_bpe.decode(rows).first()["decoded"] is None
+
+
+def test_ids_of_every_character_of_the_plain_range():
+    """Each character within a word, at its ends and alone, as the tokenizer has it."""
+    path = public_tokenizers.path(packing.TOKENIZER)
+    encoder, tokenizer = packing.WordEncoder(path), Tokenizer.from_file(path)
+    texts = [t for c in map(chr, range(9, 0x250)) for t in (f"{c}bc", f"ab{c}cd é", f"x {c} y{c}")]
+    texts += [t for c in map(chr, range(0x2000, 0x20B0)) for t in (f"{c}bc", f"ab{c}cd")]
+    rng = random.Random(9)
+    texts += ["".join(chr(rng.randint(9, 0x250)) for _ in range(rng.randint(1, 30)))
+              for _ in range(3000)]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, ascii(text)
+
+
+def test_long_pieces_are_not_remembered():
+    """10,000 distinct pieces of 100 KB leave nothing behind."""
+    from maskwright.llm.common import Memo
+
+    memo = Memo(1000)
+    for i in range(0, 10_000, 10):
+        keys = [f"{k}{'x' * 100_000}" for k in range(i, i + 10)] + [f"s{i}"]
+        got = memo.fill([keys, keys[:3]], lambda new: [len(key) for key in new])
+        assert [got[key] for key in keys] == [len(key) for key in keys]
+        assert sum(map(len, memo.young)) + sum(map(len, memo.old)) < 1_200_000
+    assert memo.fill([["s0"]], lambda new: [0])["s0"] in (0, 2)
+    assert max(map(len, memo.young)) <= 64
