@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskwright.llm.common import chunks, column, per_process, small_batches
+from maskwright.llm.common import chunks, column, per_process, small_batches, stored
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -26,8 +26,8 @@ UNKNOWN = "und"
 # Letters and n-grams that a Python worker numbers; texts with others take a slower path.
 LETTERS = 128
 MEMO_GRAMS = 16_384
-# Counts of one matrix product.
-BLOCK_COUNTS = 1024 * 1024
+# Texts, and n-grams, of one matrix product.
+BLOCK_TEXTS, BLOCK_GRAMS = 256, 1024
 # The model is one vector per language; more languages than this are refused, not dropped.
 MAX_LANGUAGES = 5_000
 _GAP, _NEW, _OTHER = 0, -1, -2
@@ -44,7 +44,8 @@ class Profiles:
         self.points = [0]
         self.rows = np.full(LETTERS**gram, -1, dtype=np.int32)
         self.known = 0
-        self.vectors = np.empty((MEMO_GRAMS, dimensions), dtype=np.float32)
+        # Products of +1 and -1: a byte each.
+        self.vectors = np.empty((MEMO_GRAMS, dimensions), dtype=np.int8)
 
     def _letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
@@ -126,17 +127,38 @@ class Profiles:
 
     def profiles(self, texts: list[str | None]) -> Iterator[np.ndarray | None]:
         """The summed vectors of each text's n-grams; None for a text without letters."""
-        done = [self.counted(text) for text in texts]
-        step = max(1, BLOCK_COUNTS // max(1, self.known))
-        for i in range(0, len(done), step):
-            part = done[i:i + step]
-            counts = np.zeros((len(part), self.known), dtype=np.float32)
-            for j, (rows, _) in enumerate(part):
-                if rows is not None:
-                    counts[j] = np.bincount(rows, minlength=self.known)
-            sums = counts @ self.vectors[:self.known]
-            for j, (rows, profile) in enumerate(part):
-                yield sums[j].astype(np.float64) if rows is not None else profile
+        for i in range(0, len(texts), BLOCK_TEXTS):
+            part = [self.counted(text) for text in texts[i:i + BLOCK_TEXTS]]
+            lines = [rows for rows, _ in part if rows is not None]
+            sums = iter(self._products(lines) if lines else ())
+            for rows, profile in part:
+                yield next(sums).astype(np.float64) if rows is not None else profile
+
+    def _products(self, lines: list[np.ndarray]) -> np.ndarray:
+        """The profiles of lines given as rows of ``vectors``: counts times vectors, over the
+        n-grams that occur, in blocks."""
+        used, places = np.unique(np.concatenate(lines), return_inverse=True)
+        owners = np.repeat(np.arange(len(lines)), [len(rows) for rows in lines])
+        order = np.argsort(places, kind="stable")
+        places, owners = places[order], owners[order]
+        sums = np.zeros((len(lines), self.dimensions), dtype=np.float32)
+        for begin in range(0, len(used), BLOCK_GRAMS):
+            a, b = np.searchsorted(places, [begin, begin + BLOCK_GRAMS])
+            width = min(BLOCK_GRAMS, len(used) - begin)
+            counts = np.bincount(
+                owners[a:b] * width + places[a:b] - begin, minlength=len(lines) * width
+            ).reshape(len(lines), width).astype(np.float32)
+            sums += counts @ self.vectors[used[begin:begin + width]].astype(np.float32)
+        return sums
+
+    def weighted(self, count: np.ndarray) -> np.ndarray:
+        """The sum of the vectors of all rows, each as often as counted."""
+        used, total = np.flatnonzero(count), np.zeros(self.dimensions, dtype=np.int64)
+        for begin in range(0, len(used), BLOCK_GRAMS):
+            some = used[begin:begin + BLOCK_GRAMS]
+            part = count[some].astype(np.float64) @ self.vectors[some].astype(np.float64)
+            total += np.rint(part).astype(np.int64)
+        return total
 
 
 def _profiles(dimensions: int, gram: int, seed: int) -> Profiles:
@@ -175,9 +197,7 @@ def train(
                 elif profile is not None:
                     sums[lang] = sums.get(lang, 0) + profile
         for lang, count in counts.items():
-            used = np.flatnonzero(count)
-            weighted = count[used].astype(np.float64) @ profiles.vectors[used]
-            sums[lang] = sums.get(lang, 0) + np.rint(weighted).astype(np.int64)
+            sums[lang] = sums.get(lang, 0) + profiles.weighted(count)
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -213,8 +233,12 @@ def predict(
     The model goes to the tasks by broadcast: one vector per language, ``MAX_LANGUAGES`` at
     most.  Equal cosines go to the first language in order.  A text that is null or has no
     letter gets ``und`` and 0.0, as does every text if there is no prototype.  Rows and their
-    other columns stay as they are.
+    other columns stay as they are; columns named like an output are replaced by it.
     """
+    if text_col.lower() in (lang_out.lower(), score_out.lower()):
+        raise ValueError("the text cannot be replaced by an output")
+    prototypes = stored(prototypes, "langid_prototypes")
+    docs = docs.drop(lang_out, score_out)
     names = sorted(r["lang"] for r in prototypes.select("lang").distinct().limit(
         MAX_LANGUAGES + 1).collect())
     if len(names) > MAX_LANGUAGES:

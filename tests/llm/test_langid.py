@@ -1,3 +1,4 @@
+import unicodedata
 import zlib
 
 import numpy as np
@@ -23,7 +24,7 @@ def _docs(n=240):
 
 
 def test_held_out_languages_are_found(frame):
-    docs = frame(_docs(), SCHEMA).drop("score", "lang_pred")
+    docs = frame(_docs(), SCHEMA)
     done = langid.predict(docs, langid.train_on_folds(docs)).withColumn(
         "held_out", langid.in_fold("doc_id")).collect()
     held = [r for r in done if r["held_out"]]
@@ -38,7 +39,7 @@ def test_labels_of_held_out_rows_and_own_labels_do_not_matter(frame):
     keys = ("doc_id", "lang_pred", "score")
     got = []
     for some in (rows, lied):
-        docs = frame(some, SCHEMA).drop("score", "lang_pred")
+        docs = frame(some, SCHEMA)
         done = langid.predict(docs.select("doc_id", "text"), langid.train_on_folds(docs))
         got.append(sorted(tuple(r[k] for k in keys) for r in done.collect()))
     assert got[0] == got[1]
@@ -47,7 +48,7 @@ def test_labels_of_held_out_rows_and_own_labels_do_not_matter(frame):
 def test_texts_without_letters_and_odd_rows(frame):
     odd = [(900, None, "en"), (901, "", "en"), (902, "123 -- ́ 🙂", "en"), (None, "the and of", None),
            (903, "the " * 200_000, None), (904, "a", None), (900, None, "en")]
-    docs = frame(_docs() + odd, SCHEMA).drop("score", "lang_pred")
+    docs = frame(_docs() + odd, SCHEMA)
     done = langid.predict(docs, langid.train_on_folds(docs)).collect()
     assert len(done) == 247
     by_id = {r["doc_id"]: r for r in done}
@@ -58,10 +59,10 @@ def test_texts_without_letters_and_odd_rows(frame):
 
 
 def test_nothing_to_learn_or_predict(frame):
-    docs = frame([(1, "words", None)], SCHEMA).drop("score", "lang_pred")
+    docs = frame([(1, "words", None)], SCHEMA)
     row = langid.predict(docs, langid.train_on_folds(docs)).first()
     assert (row["lang_pred"], row["score"]) == ("und", 0.0)
-    empty = frame([], SCHEMA).drop("score", "lang_pred")
+    empty = frame([], SCHEMA)
     assert langid.predict(empty, langid.train(empty)).collect() == []
 
 
@@ -93,3 +94,30 @@ def test_prototypes_are_sums_over_all_rows(frame):
     profiles = langid.Profiles(langid.DIMENSIONS, langid.GRAM, langid.SEED)
     want = sum(profiles.profiles([t for _, t, lang in _docs(40) if lang == "en"]))
     assert (got == want).all()
+
+
+def test_predictions_equal_the_definition(frame):
+    """Prototypes, cosines and languages against a plain sum over all n-grams."""
+    docs = _docs(60) + [(900, "Ελ\u0301 mixed und 東京 text" * 3, None), (901, "ab", None)]
+    profiles = langid.Profiles(langid.DIMENSIONS, langid.GRAM, langid.SEED)
+
+    def profile(text):
+        words = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower()).split()
+        points = [0, *[p for w in words for p in [*map(ord, w), 0]]]
+        total = np.zeros(langid.DIMENSIONS, dtype=np.int64)
+        for i in range(len(points) - langid.GRAM + 1):
+            total += profiles._gram_vector(points[i:i + langid.GRAM])
+        return total
+
+    sums = {}
+    for i, text, lang in docs:
+        if lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            sums[lang] = sums.get(lang, 0) + profile(text)
+    table = frame(docs, SCHEMA)
+    done = langid.predict(table, langid.train_on_folds(table)).collect()
+    assert len(done) == len(docs)
+    for r in done:
+        own = profile(r["text"])
+        cosines = {k: float(v @ own / np.linalg.norm(v) / np.linalg.norm(own)) for k, v in sums.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        assert r["lang_pred"] == best and abs(r["score"] - max(0, cosines[best])) < 1e-5
