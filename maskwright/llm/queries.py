@@ -95,12 +95,14 @@ def _sql_kind(order: int, name: str, pattern: str) -> str:
 
 ORACLES["op2_secret_scan"] = f"""
 WITH found AS ({" UNION ALL ".join(_sql_kind(i, *k) for i, k in enumerate(_SQL_KINDS))}),
-vals AS (SELECT value, count(DISTINCT owner) AS owners FROM found GROUP BY value),
+vals AS (SELECT value, count(DISTINCT owner) AS owners,
+    count(DISTINCT {{'owner': owner, 'id': doc_id}}) AS repositories FROM found GROUP BY value),
 chars AS (SELECT value, c, count(*) / length(value) AS p
   FROM (SELECT value, unnest(string_split(value, '')) AS c FROM vals) x WHERE c <> ''
   GROUP BY value, c),
 judged AS (
-  SELECT v.value, CASE WHEN any_value(owners) > {secret_scan.MAX_OWNERS} THEN 'example'
+  SELECT v.value, CASE WHEN any_value(owners) > {secret_scan.MAX_OWNERS}
+        OR any_value(repositories) > {secret_scan.MAX_REPOSITORIES} THEN 'example'
       WHEN -sum(p * log2(p)) >= 3.0 - 1e-9 AND regexp_matches(v.value, '[0-9]')
         AND NOT regexp_matches(v.value,
           '(?i)example|placeholder|changeme|your_|xxxx|0000000000|1234567890') THEN 'live' END AS kind

@@ -1,8 +1,9 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Candidates are found in every whole text and hashed.  For every hash the distinct repositories
-and owners that hold it are counted over the corpus: a value copied by many owners is an example
-from some manual, a value of few owners that looks random is a live credential.
+and owners that hold it are counted over the corpus: a value copied by many owners, or into many
+repositories of few owners, is an example from some manual; any other that looks random is a live
+credential.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskwright.llm.common import chunks, column, small_batches, stored
+from maskwright.llm.common import chunks, column, free_name, small_batches, stored
 
-# A value held by more owners than this is a widely copied example.
-MAX_OWNERS = 2
+# A value held by more owners, or in more repositories, than this is a widely copied example.
+MAX_OWNERS, MAX_REPOSITORIES = 2, 20
+# Hashes held by more than 1 / HOT of all candidates are broadcast to them.
+HOT = 2000
 # Shannon entropy, bits a character, from which a value looks random.
 MIN_ENTROPY = 3.0
 # Kinds of spans in the order in which equal starts are listed.
@@ -43,10 +46,8 @@ _PEM = re.compile(
 _PLACEHOLDER = re.compile("(?i)example|placeholder|changeme|your_|xxxx|0000000000|1234567890")
 
 BASE_KINDS = KINDS[:3]
-SCAN_SCHEMA = (
-    "row bigint, spans array<struct<start:int,kind:int,end:int>>, "
-    "candidates array<struct<start:int,end:int,hash:binary,random:boolean>>"
-)
+SPANS_TYPE = "array<struct<start:int,kind:int,end:int>>"
+CANDIDATES_TYPE = "array<struct<start:int,end:int,hash:binary,random:boolean>>"
 _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
 _CANDIDATE = pa.struct(
     [("start", pa.int32()), ("end", pa.int32()), ("hash", pa.binary()), ("random", pa.bool_())]
@@ -92,8 +93,12 @@ def find_spans(text: str) -> list[tuple[int, int, int, int, int]]:
     return sorted(found)
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in chunks(batches, "text"):
+def _scan(
+    batches: Iterator[pa.RecordBatch], text_col: str = "text", keep_text: bool = False,
+    names: tuple[str, str] = ("spans", "candidates"),
+) -> Iterator[pa.RecordBatch]:
+    """Rows with their spans and the candidates among them, hashed."""
+    for batch, texts in chunks(batches, text_col):
         spans, candidates = [], []
         for text in texts:
             found = find_spans(text) if text else []
@@ -109,31 +114,76 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 }
                 for (a, b), value in sorted(values.items())
             ])
+        kept = [name for name in batch.schema.names if keep_text or name != text_col]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
+                *[batch.column(batch.schema.get_field_index(name)) for name in kept],
                 pa.array(spans, pa.list_(_SPAN)),
                 pa.array(candidates, pa.list_(_CANDIDATE)),
             ],
-            names=["row", "spans", "candidates"],
+            names=[*kept, *names],
         )
 
 
+def _with_spans(
+    rows: DataFrame, text_col: str, keep_text: bool, names: tuple[str, str], label: str
+) -> DataFrame:
+    """Scan every text once, and write the rows with what was found."""
+    schema = T.StructType([
+        *[f for f in rows.schema.fields if keep_text or f.name != text_col],
+        T.StructField(names[0], T._parse_datatype_string(SPANS_TYPE)),
+        T.StructField(names[1], T._parse_datatype_string(CANDIDATES_TYPE)),
+    ])
+    return stored(rows.mapInArrow(lambda b: _scan(b, text_col, keep_text, names), schema), label)
+
+
 def ownership(candidates: DataFrame) -> DataFrame:
-    """(hash, owners, repositories) of rows (hash, owner, repository): exact distinct counts.
+    """(hash, owners, repositories, held) of rows (hash, owner, repository): exact distinct
+    counts, and the number of rows.
 
     Three aggregations that each combine before they shuffle, so a value held by a third of all
     documents is counted in every task that reads it.  A null owner (repository) is one owner.
     """
     return (
-        candidates.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
-        .groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
+        candidates.groupBy("hash", "owner", "repository").agg(F.count("*").alias("held"))
+        .groupBy("hash", "owner").agg(F.count("*").alias("repositories"), F.sum("held").alias("held"))
         .groupBy("hash").agg(
-            F.count("*").alias("owners"), F.sum("repositories").alias("repositories")
+            F.count("*").alias("owners"), F.sum("repositories").alias("repositories"),
+            F.sum("held").alias("held"),
         )
     )
 
 
+def _verdicts(found: DataFrame, max_owners: int, max_repositories: int, hot: int = HOT) -> DataFrame:
+    """(row, judged): the spans of kind live or example, of stored rows (row, owner, repository,
+    candidates).
+
+    The fewer than ``hot`` hashes that more than 1 / ``hot`` of the candidates hold are broadcast;
+    all others meet their candidates by a shuffle without a hot key.
+    """
+    candidates = found.select("row", F.explode("candidates").alias("c"), "owner", "repository").select(
+        "row", "c.start", "c.end", "c.hash", "c.random", "owner", "repository"
+    )
+    counts = stored(ownership(candidates), "secret_owners")
+    total = counts.agg(F.sum("held")).first()[0] or 0
+    often = F.broadcast(counts.filter(F.col("held") * hot > total))
+    seldom = counts.filter(F.col("held") * hot <= total)
+    met = candidates.join(often, "hash").unionByName(
+        candidates.join(often.select("hash"), "hash", "left_anti").join(seldom, "hash")
+    )
+    copied = (F.col("owners") > max_owners) | (F.col("repositories") > max_repositories)
+    kind = F.when(copied, KINDS.index("example")).when(F.col("random"), KINDS.index("live"))
+    return (
+        met.select("row", F.struct("start", kind.alias("kind"), "end").alias("span"))
+        .filter(F.col("span.kind").isNotNull())
+        .groupBy("row").agg(F.collect_list("span").alias("judged"))
+    )
+
+
+def _none() -> Column:
+    return F.lit([]).cast(SPANS_TYPE)
+
+
 def scan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -141,61 +191,34 @@ def scan(
     owner_col: str = "source",
     repository_col: str = "doc_id",
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """(row, doc_id, spans): all spans of every row, sorted by start, kind and end.
 
     ``spans`` is an array of (start, kind, end) with kinds as indexes into ``KINDS``.  To the
     spans of the patterns come, for every value, ``example`` where more than ``max_owners``
-    owners hold it, and ``live`` where no more do and it looks random.  ``row`` numbers the rows
-    of ``docs``: they are written once with their numbers, and every pass reads those.
+    owners hold it or more than ``max_repositories`` repositories (counted per owner) do, and
+    ``live`` where no more do and it looks random.  ``row`` numbers the rows of ``docs``: the
+    numbers are written once, with what was found, and every later pass reads those.
 
     Texts are scanned once and never shuffled: only hashes meet.  Null and empty texts have no
-    spans.  Repeated rows and ids stay separate rows; repeated rows of one owner count as one
-    owner.  No rows give no rows.  Other columns are ignored.
+    spans.  Repeated rows and ids stay separate rows; repeated rows of one owner and repository
+    count once.  No rows give no rows.  Other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    numbered = stored(docs.select(
+    found = _with_spans(docs.select(
         F.monotonically_increasing_id().alias("row"),
         column(id_col).alias("doc_id"),
         column(text_col).alias("text"),
         column(owner_col).alias("owner"),
         column(repository_col).alias("repository"),
-    ), "secret_rows")
-    return _scanned(numbered, max_owners)
-
-
-def _scanned(numbered: DataFrame, max_owners: int) -> DataFrame:
-    """``scan`` of stored rows (row, doc_id, text, owner, repository)."""
-    found = stored(
-        numbered.select("row", "text").mapInArrow(_scan, SCAN_SCHEMA)
-        .filter(F.size("spans") > 0),
-        "secret_spans",
+    ), "text", False, ("spans", "candidates"), "secret_spans")
+    verdicts = _verdicts(
+        found.select("row", "owner", "repository", "candidates"), max_owners, max_repositories
     )
-    keys = numbered.drop("text")
-    candidates = found.select("row", F.explode("candidates").alias("c")).join(keys, "row").select(
-        "row", "c.start", "c.end", "c.hash", "c.random", "owner", "repository"
-    )
-    counts = ownership(candidates)
-    verdicts = (
-        candidates.join(counts, "hash")
-        .select(
-            "row",
-            F.struct(
-                "start",
-                F.when(F.col("owners") > max_owners, KINDS.index("example"))
-                .when(F.col("random"), KINDS.index("live")).alias("kind"),
-                "end",
-            ).alias("span"),
-        )
-        .filter(F.col("span.kind").isNotNull())
-        .groupBy("row").agg(F.collect_list("span").alias("judged"))
-    )
-    none = F.lit([]).cast("array<struct<start:int,kind:int,end:int>>")
-    all_spans = found.select("row", "spans").join(verdicts, "row", "left").select(
-        "row", F.array_sort(F.concat("spans", F.coalesce("judged", none))).alias("spans")
-    )
-    return keys.join(all_spans, "row", "left").select(
-        "row", "doc_id", F.coalesce("spans", none).alias("spans")
+    return found.select("row", "doc_id", "spans").join(verdicts, "row", "left").select(
+        "row", "doc_id",
+        F.array_sort(F.concat("spans", F.coalesce("judged", _none()))).alias("spans"),
     )
 
 
@@ -232,59 +255,52 @@ def mask(
     repository_col: str = "doc_id",
     length_col: str | None = "n_chars",
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """``docs`` with secrets masked: ``[SECRET]``, or ``[EXAMPLE]`` for widely copied values.
 
-    Columns and rows stay as they are; ``length_col`` follows the new text.  Only texts with
-    spans are moved (to meet their spans), all others stay in their task.
+    Columns, of whatever names, and rows stay as they are; ``length_col`` follows the new text.
+    Texts are scanned once, and written with their spans; only those with spans are moved (to
+    meet the verdicts), all others stay in their task.
     """
     small_batches(docs.sparkSession)
     order = docs.columns
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "secret_rows")
-    rows = numbered.select(
-        F.col("__row").alias("row"),
-        column(id_col).alias("doc_id"),
-        column(text_col).alias("text"),
+    row, spans, hashes, judged = (
+        free_name(docs, name) for name in ("__row", "__spans", "__candidates", "__judged")
+    )
+    whole = _with_spans(
+        docs.withColumn(row, F.monotonically_increasing_id()), text_col, True, (spans, hashes),
+        "secret_rows",
+    )
+    verdicts = _verdicts(whole.select(
+        F.col(row).alias("row"),
         column(owner_col).alias("owner"),
         column(repository_col).alias("repository"),
-    )
-    spans = stored(
-        _scanned(rows, max_owners)
-        .filter(F.size("spans") > 0).select(F.col("row").alias("__row"), F.col("spans").alias("__spans")),
-        "secret_verdicts",
+        F.col(hashes).alias("candidates"),
+    ), max_owners, max_repositories).select(F.col("row").alias(row), F.col("judged").alias(judged))
+    hit = F.size(spans) > 0
+    met = whole.filter(hit).join(verdicts, row, "left").select(
+        *[column(c) for c in order],
+        F.concat(spans, F.coalesce(judged, _none())).alias(spans),
     )
 
-    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            hit = pa.array([bool(t) and bool(find_spans(t)) for t in texts])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, hit], names=[*batch.schema.names, "__hit"]
-            )
-
-    schema = T.StructType([*numbered.schema.fields, T.StructField("__hit", T.BooleanType())])
-    flagged = numbered.mapInArrow(flag, schema)
-    length = [f.dataType for f in docs.schema.fields if f.name == length_col]
-
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text_col)
+            at = order.index(text_col)
             texts = [
                 _mask(text, found)
                 for text, found in zip(
-                    batch.column(at).to_pylist(),
-                    batch.column(batch.schema.get_field_index("__spans")).to_pylist(),
-                    strict=True,
+                    batch.column(at).to_pylist(), batch.column(len(order)).to_pylist(), strict=True
                 )
             ]
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in order]
-            columns[order.index(text_col)] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=order)
+            columns = [*batch.columns[:at], pa.array(texts, pa.string()), *batch.columns[at + 1:]]
+            yield pa.RecordBatch.from_arrays(columns[:len(order)], names=order)
 
-    masked = flagged.filter("__hit").join(spans, "__row").mapInArrow(apply, docs.schema)
+    masked = met.mapInArrow(apply, docs.schema)
+    length = [f.dataType for f in docs.schema.fields if f.name == length_col]
     if length:
         masked = masked.withColumn(
             length_col, F.when(column(length_col).isNotNull(), F.length(column(text_col)))
             .cast(length[0])
         ).select(*[column(c) for c in order])
-    return flagged.filter("NOT __hit").select(*[column(c) for c in order]).unionByName(masked)
+    return whole.filter(~hit).select(*[column(c) for c in order]).unionByName(masked)

@@ -84,3 +84,36 @@ def test_values_leave_tasks_only_as_hashes(frame):
     batches = S._scan(iter(frame(DOCS).selectExpr("doc_id AS row", "text").toArrow().to_batches()))
     hashes = {c["hash"] for b in batches for row in b.to_pylist() for c in row["candidates"]}
     assert hashlib.sha256(KEY.encode()).digest()[:16] in hashes
+
+
+def test_many_repositories_of_one_owner_make_an_example(frame):
+    """A value in more documents than the bound is widely copied, also within one owner."""
+    many = [(i, f"secret={KEY}", "a") for i in range(S.MAX_REPOSITORIES + 1)]
+    few = [(100 + i, "secret=Zz81hQ0pLk3Mn5Rt", "a") for i in range(S.MAX_REPOSITORIES)]
+    rows = S.scan(frame(many + few)).select("doc_id", S.spans_text(F.col("spans")).alias("s"))
+    spans = {r["doc_id"]: r["s"] for r in rows.collect()}
+    assert all("example:" in spans[i] for i, *_ in many)
+    assert all("live:" in spans[i] for i, *_ in few)
+
+
+def test_hot_hashes_and_all_others_get_the_same_verdicts(frame):
+    rows = [(i, f"secret={KEY}", f"s{i % 5}") for i in range(60)]
+    rows += [(100 + i, f"token=ab{i}Cd{i * 7}Ef{i * 13}", "a") for i in range(60)]
+    found = S._with_spans(
+        frame(rows).selectExpr("doc_id AS row", "source AS owner", "doc_id AS repository", "text"),
+        "text", False, ("spans", "candidates"), "secret_test")
+    said = [
+        sorted((r["row"], sorted(map(tuple, r["judged"])))
+               for r in S._verdicts(found, 2, 20, hot=hot).collect())
+        for hot in (1, 3, 10**6)
+    ]
+    assert said[0] == said[1] == said[2] and len(said[0]) >= 60
+
+
+def test_columns_of_the_same_names_stay(spark):
+    schema = "doc_id bigint, text string, source string, `__row` string, __spans int, __JUDGED int"
+    docs = spark.createDataFrame([(1, f"token={KEY}", "a", "r", 5, 6), (2, "x", None, None, 7, 8)], schema)
+    masked = S.mask(docs)
+    assert masked.schema == docs.schema
+    assert sorted(map(tuple, masked.collect())) == [
+        (1, "[SECRET]", "a", "r", 5, 6), (2, "x", None, None, 7, 8)]
