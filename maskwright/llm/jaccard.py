@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskwright.llm.common import (
-    chunks, column, fits, per_process, release_memory, small_batches, stored,
+    MEMO_KEY, chunks, column, fits, free_name, per_process, release_memory, small_batches, stored,
 )
 from maskwright.llm.components import components
 
@@ -42,14 +42,16 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class _Words(dict):
-    """8-byte hashes of words, remembered up to a bound."""
+    """8-byte hashes of words, remembered up to a bound; long words are not."""
 
     def __missing__(self, word: bytes) -> bytes:
         import xxhash
 
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_digest(word)
+        value = xxhash.xxh3_64_digest(word)
+        if len(word) <= MEMO_KEY:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -425,13 +427,15 @@ def _joined(numbered: DataFrame, percent: int, size: int) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of every component: that with the smallest id (null last), and of
-    equal ids the first.  Rows without shingles are components of their own.  Columns stay."""
+    equal ids the first.  Rows without shingles are components of their own.  Columns stay, of
+    whatever names."""
     small_batches(docs.sparkSession)
+    number = free_name(docs, "__row")
     numbered = stored(
-        docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard_rows"
+        docs.withColumn(number, F.monotonically_increasing_id()), "jaccard_rows"
     )
     texts = numbered.select(
-        F.col("__row").alias("row"),
+        F.col(number).alias("row"),
         column(id_col).cast("bigint").alias("doc_id"),
         column(text_col).alias("text"),
     )
@@ -439,8 +443,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     kept = (
         joined.groupBy("component").agg(F.min(order).alias("first"))
-        .select(F.col("first.row").alias("__row"))
+        .select(F.col("first.row").alias(number))
     )
     ids = stored(kept, "jaccard_kept")
     chosen = F.broadcast(ids) if fits(ids, BROADCAST_ROWS) else ids
-    return numbered.join(chosen, "__row", "left_semi").drop("__row")
+    return numbered.join(chosen, number, "left_semi").drop(number)
