@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.llm import jaccard, langid, packing, secret_scan
-from maskwright.llm.common import stored
+from maskwright.llm.common import free_name, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 # A text of at least so many characters whose cosine stays below this fits no known language.
@@ -23,9 +23,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Short texts have too few n-grams for a cosine to mean much; with a letter, they stay.
     """
     prototypes = langid.train_on_folds(docs)
-    judged = langid.predict(docs, prototypes, lang_out="__lang", score_out="__score")
-    unlike = (F.length("text") >= MIN_CHARS) & (F.col("__score") < MIN_SCORE)
-    return judged.filter((F.col("__lang") != langid.UNKNOWN) & ~unlike).drop("__lang", "__score")
+    lang, score = free_name(docs, "__lang"), free_name(docs, "__score")
+    judged = langid.predict(docs, prototypes, lang_out=lang, score_out=score)
+    unlike = (F.length("text") >= MIN_CHARS) & (F.col(score) < MIN_SCORE)
+    return judged.filter((F.col(lang) != langid.UNKNOWN) & ~unlike).drop(lang, score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
