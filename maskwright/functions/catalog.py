@@ -1,8 +1,10 @@
 """The catalogue of built-in entity types.
 
-Every detector is a Java regular expression over ASCII classes.  Repeats have no upper bound,
-so a long value is found whole.  A search starts only where a run of its characters starts (or
-where the last match ended), so that one long token cannot make matching quadratic.
+Every detector is a Java regular expression.  Repeats of values that can be long have no upper
+bound, so such a value is found whole.  A search starts only where a run of its characters starts
+(or where the last match ended), so that one long token cannot make matching quadratic.  Only
+single characters, groups of one length and possessive groups are repeated without a bound: the
+engine loops over those, where it would call itself for others and overflow the stack.
 
 Each pattern carries a *gate*: a cheap test that every match of the pattern
 implies.  Rows that fail the gate never run the pattern.
@@ -37,7 +39,9 @@ class Detector:
     gate: str
     gate_is_literal: bool = False
     generator: str = "Scramble"
-    luhn: bool = False
+    # Checksum of the values: "luhn", "mod97" or none.  It raises the score; values of the loose
+    # forms (see ``spans.candidates``) are dropped without it.
+    check: str = ""
 
     def gate_column(self, text: Column) -> Column:
         if self.gate_is_literal:
@@ -45,41 +49,59 @@ class Detector:
         return F.rlike(text, F.lit(self.gate))
 
 
+_HEX4 = "[0-9A-Fa-f]{1,4}"
+_IPV4 = r"\d{1,3}(?:\.\d{1,3}){3}"
+_MONTH = (
+    r"(?:Jan(?:uary|\.)?|Feb(?:ruary|\.)?|Mar(?:ch|\.)?|Apr(?:il|\.)?|May|June?|July?"
+    r"|Aug(?:ust|\.)?|Sept?(?:ember|\.)?|Oct(?:ober|\.)?|Nov(?:ember|\.)?|Dec(?:ember|\.)?)"
+)
+_ROAD = (
+    "(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Dr|Court|Ct|Way)"
+)
+# Capitalised words that do not end an address, then one that does.
+_TO_ROAD = rf"(?:(?!{_ROAD}\b)[A-Z][a-z]++ )*+{_ROAD}\b"
+
 # Label, family, pattern, gate, default generator.
 BUILT_INS: tuple[Detector, ...] = (
     Detector(
         "EMAIL_ADDRESS", "contact",
-        r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+        r"(?:\G|(?<![\p{L}\p{M}\p{N}._%+-]))[\p{L}\p{M}\p{N}._%+-]++@"
+        r"[\p{L}\p{M}\p{N}.-]+\.\p{L}{2,}",
         "@", gate_is_literal=True, generator="Email",
     ),
     Detector(
         "PHONE_NUMBER", "contact",
         r"(?:(?:\+\d{1,3} )?\(\d{3}\) ?|\b\d{3}[-.])\d{3}[-.]\d{4}\b"
-        r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}\b",
-        r"\d{3}[-.]\d{4}|\+\d", generator="PhoneNumber",
+        r"|\+\d(?:[ .()-]{0,2}\d){6,}+"
+        r"|\b0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}\b|\b0\d(?:[ .-]\d{2}){4}\b",
+        r"\d{3}[-.]\d{4}|\+\d|0\d{1,4}[ .-]\d\d", generator="PhoneNumber",
     ),
     Detector(
-        "URL", "network", r"https?://[^ \t\r\n<>\"]+",
-        "://", gate_is_literal=True, generator="Url",
+        "URL", "network", r"(?:https?://|\bwww\.)[^ \t\r\n<>\"]+",
+        r"://|www\.", generator="Url",
     ),
     Detector(
         "IP_ADDRESS", "network",
-        r"\b\d{1,3}(?:\.\d{1,3}){3}\b|\b(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\b"
-        r"|\b(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}\b",
-        r"\d\.\d{1,3}\.\d|[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:", generator="IpAddress",
+        rf"\B::(?:{_HEX4}:){{0,5}}{_IPV4}\b|\b(?:{_HEX4}:){{1,5}}:(?:{_HEX4}:){{0,4}}{_IPV4}\b"
+        rf"|\b(?:{_HEX4}:){{6}}{_IPV4}\b|\b{_IPV4}\b|\b(?:{_HEX4}:){{7}}{_HEX4}\b"
+        rf"|\b(?:{_HEX4}:){{1,6}}(?::{_HEX4}){{1,6}}\b|\B::(?:{_HEX4}:){{0,6}}{_HEX4}\b"
+        rf"|\b(?:{_HEX4}:){{2,7}}:\B",
+        r"\d\.\d{1,3}\.\d|[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:|::[0-9A-Fa-f]", generator="IpAddress",
     ),
     Detector(
         "MAC_ADDRESS", "network", r"\b(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}\b",
         r"[0-9A-Fa-f]{2}:[0-9A-Fa-f]{2}:",
     ),
     Detector(
-        "CREDIT_CARD", "financial", r"\b\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}\b",
-        r"\d{4}[ -]?\d{4}", generator="CreditCard", luhn=True,
+        "CREDIT_CARD", "financial",
+        r"\b\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}\b|\b\d{4}[ -]?\d{6}[ -]?\d{5}\b|\b[2-6]\d{12,18}\b",
+        r"\d{4}[ -]?\d{4}", generator="CreditCard", check="luhn",
     ),
     Detector(
         "IBAN_CODE", "financial",
-        r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,}|(?: [A-Z0-9]{4}){2,}(?: [A-Z0-9]{1,3})?)\b",
-        r"[A-Z]{2}\d{2} ?[A-Z0-9]",
+        r"\b(?:[A-Z]{2}\d{2}(?:[A-Z0-9]{11,}|(?: [A-Z0-9]{4}){2,}(?: [A-Z0-9]{1,3})?)"
+        r"|[a-z]{2}\d{2}(?:[a-z0-9]{11,30}| [a-z0-9]{4}(?: \d[a-z0-9]{3}){1,6}(?: \d[a-z0-9]{0,2})?))\b",
+        r"[A-Z]{2}\d{2} ?[A-Z0-9]|[a-z]{2}\d{2} ?[a-z0-9]", check="mod97",
     ),
     Detector(
         "US_SSN", "government", r"\b\d{3}-\d{2}-\d{4}\b",
@@ -91,22 +113,32 @@ BUILT_INS: tuple[Detector, ...] = (
         r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-",
     ),
     Detector(
-        "SECRET_TOKEN", "secret", r"\b[0-9a-f]{40}\b", r"[0-9a-f]{16}",
+        "SECRET_TOKEN", "secret", r"\b(?:[0-9a-f]{32,}|[0-9A-F]{32,})\b",
+        r"[0-9a-f]{16}|[0-9A-F]{16}",
     ),
     Detector(
-        "DATE_TIME", "time", r"\b\d{4}-\d{2}-\d{2}\b|\b\d{1,2}[/.]\d{1,2}[/.]\d{4}\b",
-        r"\d{4}-\d{2}-\d{2}|\d[/.]\d{1,2}[/.]\d{4}", generator="DateTime",
+        "DATE_TIME", "time",
+        r"\b\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?: ?(?:Z|[+-]\d{2}:?\d{2}))?)?\b"
+        r"|\b\d{1,2}[/.]\d{1,2}[/.]\d{4}\b"
+        rf"|\b\d{{1,2}}(?:st|nd|rd|th|\.)? {_MONTH},? \d{{4}}\b"
+        rf"|\b{_MONTH} \d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}}\b",
+        r"\d{4}-\d{2}-\d{2}|\d[/.]\d{1,2}[/.]\d{4}"
+        r"|(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*+[.,]*+ \d",
+        generator="DateTime",
     ),
     Detector(
         "STREET_ADDRESS", "contact",
-        r"\b\d{1,6} (?:[A-Z][a-z]+ )+(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln"
-        r"|Drive|Dr|Court|Ct|Way)\b",
-        r"\d [A-Z][a-z]+ ",
+        rf"\b\d{{1,6}} [A-Z][a-z]++ {_TO_ROAD}(?: {_TO_ROAD})*+"
+        r"|\b\d{1,5}(?: bis| ter)?,? (?:rue|avenue|boulevard|place|chemin|impasse|quai)"
+        r"(?: (?:des|du|de|les|le|la))*+(?:[ '-][A-Z]\p{L}*+)++"
+        r"|\b[A-Z]\p{L}+(?:straße|strasse|weg|platz|gasse) \d{1,4}[a-z]?\b",
+        r"\d [A-Z][a-z]+ |\d (?:bis,? |ter,? )?(?:rue|ave|bou|pla|che|imp|qua)"
+        r"|\d, (?:rue|ave|bou|pla|che|imp|qua)|(?:e|eg|tz) \d",
     ),
 )
 
-# Implied by every built-in pattern: each needs a digit, '@', ':' or eight hex letters.
-ANY_BUILT_IN_GATE = r"[0-9@:]|[A-Fa-f]{8}"
+# Implied by every built-in pattern: each needs a digit, '@', ':', 'www.' or eight hex letters.
+ANY_BUILT_IN_GATE = r"[0-9@:]|[A-Fa-f]{8}|www\."
 
 # Entity types without a pattern of their own: found by dictionary, list or trained model.
 LISTED_TYPES: tuple[tuple[str, str, str], ...] = (

@@ -136,11 +136,13 @@ def phone_number(h: Column) -> Column:
 
 
 def date_time(key: str, label: Column, value: Column, h: Column) -> Column:
-    """Shifts an ISO date by up to 30 days either way; anything else is scrambled."""
-    day = value.try_cast("date")
+    """Shifts an ISO date by up to 30 days either way, and keeps the time after it; anything else
+    is scrambled."""
+    day = F.substring(value, 1, 10).try_cast("date")
     return F.when(
         day.isNotNull(),
-        F.date_format(F.date_add(day, (h % 61 - 30).cast("int")), "yyyy-MM-dd"),
+        F.concat(F.date_format(F.date_add(day, (h % 61 - 30).cast("int")), "yyyy-MM-dd"),
+                 F.substring(value, F.lit(11), F.length(value))),
     ).otherwise(scramble(key, label, value))
 
 

@@ -106,8 +106,26 @@ def locate(matches: Column, gaps: Column) -> Column:
     return let(matches, starts)
 
 
+def digits_of(value: Column) -> Column:
+    return F.regexp_replace(value, "[^0-9]", "")
+
+
 def luhn_valid(value: Column) -> Column:
-    return F.call_function("luhn_check", F.regexp_replace(value, "[^0-9]", ""))
+    return F.call_function("luhn_check", digits_of(value))
+
+
+def mod97_valid(value: Column) -> Column:
+    """Whether an IBAN's check digits fit: letters count as 10 to 35, the first four come last."""
+
+    def step(rest: Column, ch: Column) -> Column:
+        return F.when(
+            ch.between("0", "9"), (rest * 10 + F.ascii(ch) - 48) % 97
+        ).otherwise((rest * 100 + F.ascii(ch) - 55) % 97)
+
+    bare = F.upper(F.regexp_replace(value, " ", ""))
+    turned = F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, 1, 4))
+    return F.aggregate(F.split(turned, ""), F.lit(0), lambda rest, ch: F.when(ch == "", rest).otherwise(
+        step(rest, ch))) == 1
 
 
 @dataclass(frozen=True)
@@ -118,7 +136,7 @@ class Pattern:
     label: str
     precedence: int
     score: float = SCORE_PATTERN
-    luhn: bool = False
+    check: str = ""
     gate: Callable[[Column], Column] | None = None
 
     def matches(self, text: Column, also: Column | None = None) -> Column:
@@ -141,7 +159,7 @@ class Pattern:
             F.lit(self.label).alias("label"),
             F.lit(self.precedence).alias("precedence"),
             F.lit(self.score).cast("double").alias("score"),
-            F.lit(self.luhn).alias("luhn"),
+            F.lit(self.check).alias("check"),
             matches.alias("matches"),
             gaps.alias("gaps"),
         )
@@ -149,27 +167,38 @@ class Pattern:
 
 def built_in_patterns(detectors: Sequence[Detector]) -> list[Pattern]:
     return [
-        Pattern(d.pattern, d.label, BUILT_IN, luhn=d.luhn, gate=d.gate_column) for d in detectors
+        Pattern(d.pattern, d.label, BUILT_IN, check=d.check, gate=d.gate_column) for d in detectors
     ]
 
 
 def candidates(groups: Sequence[Column]) -> Column:
-    """Candidates of several patterns from their matches and gaps."""
+    """Candidates of several patterns from their matches and gaps.
+
+    A valid checksum raises the score.  Without one, card numbers of other than 16 digits and
+    IBANs in small letters are no candidates.
+    """
 
     def place(g: Column) -> Column:
         def build(start: Column, value: Column) -> Column:
-            checked = F.when(g["luhn"], F.coalesce(luhn_valid(value), F.lit(False)))
+            valid = F.when(g["check"] == "luhn", luhn_valid(value)).when(
+                g["check"] == "mod97", mod97_valid(value))
+            strict = F.when(g["check"] == "luhn", F.length(digits_of(value)) == 16).otherwise(
+                value == F.upper(value))
+            score = F.when(g["check"] == "", g["score"]).when(valid, F.lit(SCORE_CHECKED)).when(
+                strict, g["score"])
             return F.struct(
                 start.alias("start"),
                 (start + F.length(value)).alias("end"),
                 g["precedence"].alias("precedence"),
                 g["label"].alias("label"),
                 value.alias("text"),
-                F.when(checked, F.lit(SCORE_CHECKED)).otherwise(g["score"]).alias("score"),
+                score.alias("score"),
                 F.lit(None).cast("string").alias("swap"),
             )
 
-        return F.zip_with(locate(g["matches"], g["gaps"]), g["matches"], build)
+        built = F.zip_with(locate(g["matches"], g["gaps"]), g["matches"], build)
+        return F.when(g["check"] == "", built).otherwise(
+            F.filter(built, lambda c: c["score"].isNotNull()))
 
     hit = F.filter(F.array(*groups), lambda g: F.size(g["matches"]) > 0)
     return F.flatten(F.transform(hit, place))

@@ -32,7 +32,15 @@ CANDIDATES = "__candidates"
 
 
 def _name(column: str) -> Column:
-    return F.col(f"`{column}`")
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def refuse_clashes(df: DataFrame, outputs: Sequence[str]) -> None:
+    """A table that has a column of an output's name already is refused."""
+    taken = {c.lower() for c in df.columns}
+    clashes = [name for name in outputs if name.lower() in taken]
+    if clashes:
+        raise ValueError(f"the table has columns of the outputs' names: {', '.join(clashes)}")
 
 
 def enabled(options: RedactOptions) -> list[Detector]:
@@ -143,13 +151,21 @@ def detect(
     dictionary: DataFrame | None = None,
     out: str = "spans",
 ) -> DataFrame:
-    """Add the resolved candidate spans of every text; no policy is applied yet."""
+    """Add the resolved candidate spans of every text; no policy is applied yet.
+
+    Columns go by their place meanwhile, so that their names cannot clash with others.
+    """
+    refuse_clashes(df, [out])
+    order = df.columns
+    placed = df.toDF(*[f"__c{i}" for i in range(len(order))])
+    text = f"__c{order.index(text_col)}"
     found = _with_tables(
-        with_candidates(df, text_col, options), text_col, options,
+        with_candidates(placed, text, options), text, options,
         swaps, blocks, replacements, dictionary,
     )
-    keep = [_name(c) for c in df.columns]
-    return found.select(*keep, sp.once(sp.resolve(F.col(CANDIDATES))).alias(out))
+    return found.select(
+        *[_name(c) for c in placed.columns], sp.once(sp.resolve(F.col(CANDIDATES))).alias(out)
+    ).toDF(*order, out)
 
 
 def transform_spans(
@@ -166,7 +182,9 @@ def transform_spans(
     Detection and transformation are separate, so stored spans can be transformed again
     under another policy without another pass of the patterns.
     """
-    keep = [_name(c) for c in df.columns if c != spans_col]
+    kept = [c for c in df.columns if c != spans_col]
+    refuse_clashes(df.select(*[_name(c) for c in kept]), [out, "entities", "entities_found", "usage"])
+    keep = [_name(c) for c in kept]
     language = _name(language_col) if language_col else F.lit(None)
     spans = _name(spans_col)
     entities = df.select(
@@ -205,14 +223,16 @@ def redact(
     Adds ``out``, ``entities``, ``entities_found`` and ``usage``.  Tables of any size may join in:
     ``swaps`` (label, original, replacement), ``blocks`` (label, pattern: the blocked value),
     ``replacements`` (label, position, replacement: pools of ReplacementSynthesis) and
-    ``dictionary`` (label, word).
+    ``dictionary`` (label, word).  A table that has a column of an output's name is refused.
     """
+    refuse_clashes(df, [out, "entities", "entities_found", "usage"])
+    spans = "__spans" + "_" * sum(c.lower().startswith("__spans") for c in df.columns)
     found = detect(
         df, text_col, options, swaps=swaps, blocks=blocks, replacements=replacements,
-        dictionary=dictionary, out="__spans",
+        dictionary=dictionary, out=spans,
     )
     return transform_spans(
-        found, text_col, options, spans_col="__spans", language_col=language_col, out=out
+        found, text_col, options, spans_col=spans, language_col=language_col, out=out
     )
 
 
@@ -220,7 +240,9 @@ def redact_array(
     df: DataFrame, texts_col: str, options: RedactOptions = RedactOptions(), **kwargs: str
 ) -> DataFrame:
     """Bulk form: one row per array item, with its position in ``index``."""
-    keep = [_name(c) for c in df.columns if c != texts_col]
+    kept = [c for c in df.columns if c != texts_col]
+    refuse_clashes(df.select(*[_name(c) for c in kept]), ["index", "text"])
+    keep = [_name(c) for c in kept]
     items = df.select(*keep, F.posexplode(_name(texts_col)).alias("index", "text"))
     return redact(items, "text", options, **kwargs)
 

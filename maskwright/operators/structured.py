@@ -21,8 +21,52 @@ from maskwright.operators.policy import RedactOptions
 from maskwright.operators.redact import _name, text_spans
 from maskwright.sources.walkers import json_leaves_udf, xml_leaves_udf
 
+# What parts a tag's pieces, and elements whose content is code, or text.
+_GAP, _AFTER_NAME = r"[\t\n\f\r ]*+", r"(?=[\t\n\f\r />])"
+_CODE, _TEXT = "script|style", "title|textarea|xmp|iframe|noembed|noframes"
+
+
+def _attributes(end: str) -> str:
+    """What follows a tag's name: names, and values in quotes, without quotes or missing.
+
+    ``end`` is what closes a quote that nothing closes.
+    """
+    value = (
+        rf"(?:\"[^\"]*+(?:\"{end})|'[^']*+(?:'{end})|[^\t\n\f\r >\"'][^\t\n\f\r >]*+|(?=>){end})"
+    )
+    name = r"[^\t\n\f\r />][^\t\n\f\r />=]*+"
+    return rf"(?:[\t\n\f\r /]++|{name}(?:{_GAP}={_GAP}{value}|(?!{_GAP}=)))*+"
+
+
+def _markup(end: str) -> dict[str, str]:
+    """The forms of markup as the tokeniser of the HTML standard reads them.
+
+    ``end`` closes what nothing else does.  Every repeat is possessive or lazy over single
+    characters, so a text is read in linear time and without recursion.
+    """
+    closing = rf"{_attributes(end)}(?:>{end})"
+    return {
+        "comment": rf"<!--(?:-?>|.*?(?:--!?>{end}))",
+        "code": rf"<(?<code>{_CODE}){_AFTER_NAME}{_attributes('')}>"
+                rf".*?(?:</\k<code>{_AFTER_NAME}{closing}{end})",
+        "tag": rf"</?[A-Za-z][^\t\n\f\r />]*+{closing}",
+        "bogus": rf"<(?:!(?!--)|\?)[^>]*+(?:>{end})|</(?![A-Za-z])[^>]*+(?:>{end})",
+    }
+
+
+_OPEN_TEXT = rf"<(?<text>{_TEXT}){_AFTER_NAME}{_attributes('')}>"
+_FORMS = _markup(r"|\z")
+# Where a text element opens, its content comes in the same token, and is cut off later.
 HTML_TOKEN = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|[^<]+|<"
+    rf"(?is){_FORMS['comment']}|{_FORMS['code']}"
+    rf"|{_OPEN_TEXT}.*?(?=</\k<text>{_AFTER_NAME}|\z)"
+    rf"|{_FORMS['tag']}|{_FORMS['bogus']}|(?:[^<]++|<(?![A-Za-z/!?]))++"
+)
+# (A tag that opens code is closed with its code only.)
+_FORMS = _markup("")
+_CLOSED = (
+    rf"(?is)^(?:{_FORMS['comment']}|{_FORMS['code']}|(?!<(?:{_CODE}){_AFTER_NAME}){_FORMS['tag']}"
+    rf"|{_FORMS['bogus']})\z"
 )
 _HTML_REFERENCE = r"&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]+|#[xX][0-9A-Fa-f]+);"
 # Named character references that are decoded in text content.
@@ -333,8 +377,29 @@ def redact_xml(
 
 
 def html_tokens(html: Column) -> Column:
-    """Tags, comments, scripts, styles and text runs; their concatenation is the input."""
-    return F.regexp_extract_all(html, F.lit(HTML_TOKEN), F.lit(0))
+    """Markup and text runs as structs (raw, is_text); the raw parts joined are the input.
+
+    Tags, comments, scripts and styles are markup, as the HTML standard reads them: a quoted
+    ``>`` does not end a tag, a ``<`` that opens nothing is text, and so is the content of titles
+    and text areas.  Markup that nothing closes before the text ends is taken for text.
+    """
+    def kinds(tokens: Column) -> Column:
+        def cut(token: Column, i: Column) -> Column:
+            markup = F.rlike(token, F.lit("^<[A-Za-z/!?]"))
+            unclosed = (i == F.size(tokens) - 1) & ~F.rlike(token, F.lit(_CLOSED))
+            head = F.regexp_extract(token, f"(?is)^{_OPEN_TEXT}", 0)
+            parts = F.array(
+                F.struct(head.alias("raw"), F.lit(False).alias("is_text")),
+                F.struct(F.substring(token, F.length(head) + 1, F.length(token)).alias("raw"),
+                         F.lit(True).alias("is_text")),
+            )
+            opens_text = markup & F.rlike(token, F.lit(f"(?i)^<(?:{_TEXT})[\t\n\f\r />]")) & (head != "")
+            return F.when(opens_text, F.filter(parts, lambda p: p["raw"] != "")).otherwise(
+                F.array(F.struct(token.alias("raw"), (~markup | unclosed).alias("is_text"))))
+
+        return F.flatten(F.transform(tokens, cut))
+
+    return sp.let(F.regexp_extract_all(html, F.lit(HTML_TOKEN), F.lit(0)), kinds)
 
 
 def html_token_table(df: DataFrame, id_cols: Sequence[str], html_col: str) -> DataFrame:
@@ -342,9 +407,10 @@ def html_token_table(df: DataFrame, id_cols: Sequence[str], html_col: str) -> Da
     keys = [_name(c) for c in id_cols]
     return (
         df.select(*keys, sp.once(html_tokens(_name(html_col))).alias("__tokens"))
-        .select(*keys, F.posexplode("__tokens").alias("ord", "token"))
-        .filter(~F.startswith("token", F.lit("<")))
-        .select(*keys, "ord", "token", html_decode(F.col("token")).alias("value"))
+        .select(*keys, F.posexplode("__tokens").alias("ord", "__token"))
+        .filter("__token.is_text")
+        .select(*keys, "ord", F.col("__token.raw").alias("token"),
+                html_decode(F.col("__token.raw")).alias("value"))
     )
 
 
@@ -362,17 +428,17 @@ def redact_html(
     """
     text, language = _name(html_col), _name(language_col) if language_col else F.lit(None)
     keep = [_name(c) for c in df.columns]
-    tokens = df.select(*keep, html_tokens(text).alias("__tokens"))
+    tokens = df.select(*keep, sp.once(html_tokens(text)).alias("__tokens"))
 
     def run(token: Column, i: Column) -> Column:
         return sp.let(
-            html_decode(token),
+            html_decode(token["raw"]),
             lambda value: F.struct(
                 i.alias("token"),
-                token.alias("raw"),
+                token["raw"].alias("raw"),
                 value.alias("value"),
                 F.when(
-                    F.startswith(token, F.lit("<")),
+                    ~token["is_text"],
                     F.array().cast(f"array<{sp.ENTITY_TYPE}>"),
                 ).otherwise(_leaf_entities(value, options, language)).alias("entities"),
             ),

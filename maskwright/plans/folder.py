@@ -28,12 +28,13 @@ SKIP_PATTERN = "Matched skip pattern"
 SKIP_EXTENSION = "Extension not in filter list"
 SKIP_TYPE = "Unsupported file type"
 SKIP_BINARY = "Binary format without a text reader"
-CSV_HEAD = r'^((?:"(?:[^"]|"")*"|[^"\r\n])*)'
+# Repeats are possessive: the regex engine loops over them and never calls itself.
+CSV_HEAD = r'^((?:"(?:[^"]++|"")*+"|[^"\r\n]++)*+)'
 
 
 def csv_token(separator: str) -> str:
     """Quoted cells, plain cells, separators with line ends, and stray quotes."""
-    return rf'"(?:[^"]|"")*"|[^{separator}\r\n"]+|[{separator}\r\n]+|"'
+    return rf'"(?:[^"]++|"")*+"|[^{separator}\r\n"]++|[{separator}\r\n]++|"'
 
 
 def matches_pattern(path: Column, patterns: Sequence[str]) -> Column:

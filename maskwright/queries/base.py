@@ -12,24 +12,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 KEY = "maskwright"
 # The built-in entity types as SQL sees them, written from their rules: label -> pattern.
+_H, _V4 = "[0-9A-Fa-f]{1,4}", r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
+_MONTHS = (
+    r"(?:January|Jan\.?|February|Feb\.?|March|Mar\.?|April|Apr\.?|May|June?|July?|August|Aug\.?"
+    r"|September|Sept\.?|Sep\.?|October|Oct\.?|November|Nov\.?|December|Dec\.?)"
+)
 SQL_PATTERNS = {
-    "EMAIL_ADDRESS": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "EMAIL_ADDRESS": r"[\p{L}\p{M}\p{N}._%+-]+@[\p{L}\p{M}\p{N}.-]+\.\p{L}{2,}",
     "PHONE_NUMBER": r"(?:(?:\+\d{1,3} )?\(\d{3}\) ?|\b\d{3}[-.])\d{3}[-.]\d{4}\b"
-        r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}\b",
+        r"|\+\d(?:[ .()-]{0,2}\d){6,}|\b0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}\b"
+        r"|\b0\d[ .-]\d\d[ .-]\d\d[ .-]\d\d[ .-]\d\d\b",
     # U+E010 to U+E012 stand for references of characters that end a URL, see t5_redact_html.
-    "URL": r"https?://[^ \t\r\n<>\"\x{E010}-\x{E012}]+",
-    "IP_ADDRESS": r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b"
-        r"|\b[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}\b"
-        r"|\b(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}\b",
+    "URL": r"(?:https?://|\bwww\.)[^ \t\r\n<>\"\x{E010}-\x{E012}]+",
+    "IP_ADDRESS": rf"\B::(?:{_H}:){{0,5}}{_V4}\b|\b(?:{_H}:){{1,5}}:(?:{_H}:){{0,4}}{_V4}\b"
+        rf"|\b(?:{_H}:){{6}}{_V4}\b|\b{_V4}\b|\b{_H}(?::{_H}){{7}}\b"
+        rf"|\b(?:{_H}:){{1,6}}(?::{_H}){{1,6}}\b|\B:(?::{_H}){{1,7}}\b|\b{_H}:(?:{_H}:){{1,6}}:\B",
     "MAC_ADDRESS": r"\b[0-9A-Fa-f]{2}(?::[0-9A-Fa-f]{2}){5}\b",
-    "CREDIT_CARD": r"\b(?:\d{4}[ -]?){3}\d{4}\b",
-    "IBAN_CODE": r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,}|(?: [A-Z0-9]{4}){2,}(?: [A-Z0-9]{1,3})?)\b",
+    "CREDIT_CARD": r"\b(?:\d{4}[ -]?){3}\d{4}\b|\b\d{4}[ -]?\d{6}[ -]?\d{5}\b|\b[2-6]\d{12,18}\b",
+    "IBAN_CODE": r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,}|(?: [A-Z0-9]{4}){2,}(?: [A-Z0-9]{1,3})?)\b"
+        r"|\b[a-z]{2}\d{2}(?:[a-z0-9]{11,30}| [a-z0-9]{4}(?: \d[a-z0-9]{3}){1,6}(?: \d[a-z0-9]{0,2})?)\b",
     "US_SSN": r"\b\d{3}-\d{2}-\d{4}\b",
     "UUID": r"\b[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}\b",
-    "SECRET_TOKEN": r"\b[0-9a-f]{40}\b",
-    "DATE_TIME": r"\b\d{4}-\d{2}-\d{2}\b|\b\d{1,2}[/.]\d{1,2}[/.]\d{4}\b",
+    "SECRET_TOKEN": r"\b[0-9a-f]{32,}\b|\b[0-9A-F]{32,}\b",
+    "DATE_TIME": r"\b\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?"
+        r"(?: ?(?:Z|[+-]\d{2}:?\d{2}))?)?\b|\b\d{1,2}[/.]\d{1,2}[/.]\d{4}\b"
+        rf"|\b\d{{1,2}}(?:st|nd|rd|th|\.)? {_MONTHS},? \d{{4}}\b"
+        rf"|\b{_MONTHS} \d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}}\b",
     "STREET_ADDRESS": r"\b\d{1,6}(?: [A-Z][a-z]+)+ (?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd"
-        r"|Lane|Ln|Drive|Dr|Court|Ct|Way)\b",
+        r"|Lane|Ln|Drive|Dr|Court|Ct|Way)\b"
+        r"|\b\d{1,5}(?: bis| ter)?,? (?:rue|avenue|boulevard|place|chemin|impasse|quai)"
+        r"(?: (?:des|du|de|les|le|la))*(?:[ '-][A-Z]\p{L}*)+"
+        r"|\b[A-Z]\p{L}+(?:straße|strasse|weg|platz|gasse) \d{1,4}[a-z]?\b",
 }
 
 
@@ -65,18 +78,32 @@ def text_literal(value: str) -> str:
 
 def sql_matches(
     source: str, key: str, text: str, label: str, pattern: str, precedence: int = 2,
-    score: str = "0.9", luhn: bool = False, where: str = "true",
+    score: str = "0.9", check: str = "", where: str = "true",
 ) -> str:
     """SELECT of all matches of one pattern with their offsets."""
     p = text_literal(pattern)
-    if luhn:
+    keep = "true"
+    if check == "luhn":
         digits = "regexp_replace(m[i], '[^0-9]', '', 'g')"
-        score = (
-            f"CASE WHEN list_sum(list_transform(range(1, 17), lambda j: "
-            f"CASE WHEN j % 2 = 1 THEN substr({digits}, j, 1)::INT * 2 "
-            f"- CASE WHEN substr({digits}, j, 1)::INT > 4 THEN 9 ELSE 0 END "
-            f"ELSE substr({digits}, j, 1)::INT END)) % 10 = 0 THEN 0.99 ELSE 0.9 END"
+        digit = f"substr(reverse({digits}), j, 1)::INT"
+        valid = (
+            f"list_sum(list_transform(range(1, length({digits}) + 1), lambda j: CASE WHEN j % 2 = 0 "
+            f"THEN {digit} * 2 - CASE WHEN {digit} > 4 THEN 9 ELSE 0 END ELSE {digit} END)) % 10 = 0"
         )
+        keep = f"({valid} OR length({digits}) = 16)"
+    if check == "mod97":
+        bare = "upper(replace(m[i], ' ', ''))"
+        number = (
+            f"list_transform(string_split(substr({bare}, 5) || substr({bare}, 1, 4), ''), lambda c: "
+            f"CASE WHEN c BETWEEN '0' AND '9' THEN c::INT ELSE ord(c) - 55 END)"
+        )
+        valid = (
+            f"list_reduce(list_concat([0], {number}), lambda a, d: "
+            f"(a * CASE WHEN d > 9 THEN 100 ELSE 10 END + d) % 97) = 1"
+        )
+        keep = f"({valid} OR m[i] = upper(m[i]))"
+    if check:
+        score = f"CASE WHEN {valid} THEN 0.99 ELSE 0.9 END"
     return f"""
       SELECT k, {precedence} AS precedence, {text_literal(label)} AS label, m[i] AS text,
         ({score})::DOUBLE AS score,
@@ -84,7 +111,7 @@ def sql_matches(
          + coalesce(list_sum(list_transform(m[1:i-1], lambda z: length(z))), 0))::INT AS "start"
       FROM (SELECT {key} AS k, regexp_extract_all({text}, {p}) AS m,
                    string_split_regex({text}, {p}) AS g FROM {source} WHERE {where}) x,
-           unnest(range(1, len(m) + 1)) AS u(i)"""
+           unnest(range(1, len(m) + 1)) AS u(i) WHERE {keep}"""
 
 
 def sql_candidates(
@@ -94,7 +121,7 @@ def sql_candidates(
     """CTE of candidates: built-in labels plus further SELECTs of the same shape."""
     chosen = BUILT_INS if labels is None else [DETECTORS[label] for label in labels]
     parts = [
-        sql_matches(source, key, text, d.label, SQL_PATTERNS[d.label], luhn=d.luhn, where=where)
+        sql_matches(source, key, text, d.label, SQL_PATTERNS[d.label], check=d.check, where=where)
         for d in chosen
     ]
     union = "\n      UNION ALL".join([*parts, *extra])
@@ -214,10 +241,10 @@ def sql_generator(generator: str, label: str = "label", value: str = "text") ->
         )
         return f"{payload} || ((10 - {total} % 10) % 10)::BIGINT::VARCHAR"
     if generator == "DateTime":
-        day = f"try_strptime({value}, '%Y-%m-%d')"
+        day = f"try_strptime(substr({value}, 1, 10), '%Y-%m-%d')"
         return (
             f"CASE WHEN {day} IS NOT NULL THEN "
-            f"strftime({day}::DATE + (({h} % 61)::INT - 30), '%Y-%m-%d') "
+            f"strftime({day}::DATE + (({h} % 61)::INT - 30), '%Y-%m-%d') || substr({value}, 11) "
             f"ELSE {sql_scramble(label, value)} END"
         )
     if generator == "Name":
