@@ -1,177 +1,315 @@
-"""Tables of any size, looked up inside the row.
-
-A table is cut into blocks of bounded size by a hash of its keys.  Each block is broadcast and
-applied to the candidates by one Arrow function over the span column, so texts are never shuffled
-and no document key is needed: rows with a NULL or repeated key are treated like all others.
+"""Tables of any size that meet the candidates of texts: swaps, blocked values, pools, phrases.
+
+Texts do not travel to a table.  They are written once with row numbers; the distinct values of
+their candidates are counted and meet the table by a shuffle join; what was found meets the
+candidates, and comes back to the rows by number.  A value that many candidates share would be a
+hot key in the second join: the few values that hold more than 1 / ``HOT`` of all candidates go by
+broadcast instead.  No table passes the driver, and rows with a NULL or repeated key are treated
+like all others.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from hashlib import blake2b
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.functions.catalog import ALLOW, CUSTOM, SCORE_PATTERN
+from maskwright.functions.generators import keyed_hash
+from maskwright.operators.sizing import broadcast_if_bounded, lookup_join
+from maskwright.sources.shared import stored
+
+# Values held by more than 1 / HOT of the candidates are broadcast; there are fewer than HOT.
+HOT = 2000
+ROW, AT = "__row", "__at"
+# Bits of the filter of phrases, at most (64 MB), and bits and probes of a phrase.
+FILTER_BITS, BITS_EACH, PROBES = 1 << 29, 16, 4
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+# Words remembered while texts are hashed, and the longest of them.
+MEMO_WORDS, MEMO_LENGTH = 100_000, 64
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The rows with their numbers, written once: every later pass reads the same numbers."""
+    if df.isStreaming:
+        raise ValueError("tables are looked up in batches: use foreachBatch on a stream")
+    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), "lookup_rows")
+
+
+def value_lookup(
+    cells: DataFrame, keys: Sequence[str], find: Callable[[DataFrame], DataFrame], value: str,
+    hot: int = HOT,
+) -> DataFrame:
+    """``cells`` with what was found for their ``keys``; cells without are left out.
 
-# Rows of one broadcast block.
-BLOCK_ROWS = 200_000
-
+    ``find`` gives distinct keys (with a count ``__n``) their ``value``, and keeps every one.
+    """
+    keys = list(keys)
+    known = stored(
+        find(cells.groupBy(*keys).agg(F.count("*").alias("__n"))).select(*keys, "__n", value),
+        "lookup_values",
+    )
+    total = known.agg(F.sum("__n")).first()[0] or 0
+    often = F.broadcast(known.filter(F.col("__n") * hot > total).drop("__n"))
+    seldom = known.filter((F.col("__n") * hot <= total) & F.col(value).isNotNull()).drop("__n")
+    return (
+        cells.join(often, keys).filter(F.col(value).isNotNull())
+        .unionByName(cells.join(often.select(*keys), keys, "left_anti").join(seldom, keys))
+    )
 
-def blocks(table: DataFrame, keys: list[str], rows: int = BLOCK_ROWS) -> Iterator[list]:
-    """The rows of a table, in blocks of about ``rows`` rows with all rows of a key together."""
-    n = max(1, -(-table.count() // rows))
-    part = F.pmod(F.xxhash64(*keys), F.lit(n))
-    for i in range(n):
-        yield table.filter(part == i).collect()
 
+def _cells(df: DataFrame, spans: str) -> DataFrame:
+    """(row, place, label, text) of every candidate."""
+    slim = F.transform(spans, lambda c: F.struct(c["label"].alias("label"), c["text"].alias("text")))
+    return df.select(ROW, F.posexplode(slim).alias(AT, "__c")).select(
+        ROW, AT, "__c.label", "__c.text"
+    )
 
-def _each_span(lookup) -> Column:
-    """A function of (labels, texts) arrays that yields one array of strings per row."""
 
-    def run(labels: pd.Series, texts: pd.Series) -> pd.Series:
-        return pd.Series([
-            None if label is None else [lookup(a, b) for a, b in zip(label, text)]
-            for label, text in zip(labels, texts)
-        ])
+def _back(df: DataFrame, found: DataFrame, spans: str, change: Callable[[Column], Column]) -> DataFrame:
+    """The rows with changed candidates; ``found`` are rows (row, found).
 
-    return F.pandas_udf(run, "array<string>").asNondeterministic()
+    Only rows with candidates meet what was found.
+    """
+    order = df.columns
+    hit = F.coalesce(F.size(spans) > 0, F.lit(False))
+    met = df.filter(hit).join(found, ROW, "left").withColumn(
+        spans, F.when(F.col("__found").isNull(), F.col(spans)).otherwise(change(F.col("__found")))
+    )
+    return met.select(*order).unionByName(df.filter(~hit).select(*order))
 
 
-def _found(lookup, spans: Column) -> Column:
-    none = F.lit(None).cast("array<string>")
-    return F.when(
-        F.size(spans) > 0,
-        _each_span(lookup)(F.transform(spans, lambda c: c["label"]),
-                           F.transform(spans, lambda c: c["text"])),
-    ).otherwise(none)
+def _by_place(hits: DataFrame, value: str) -> DataFrame:
+    """(row, found): per row, a map from the place of a candidate to its value."""
+    entry = F.struct(AT, value)
+    return hits.groupBy(ROW).agg(F.map_from_entries(F.collect_list(entry)).alias("__found"))
 
 
-def _with_swap(df: DataFrame, spans: str, found: Column, keep: bool = True) -> DataFrame:
-    """Put what was found into ``swap``; with ``keep`` only where nothing is there yet."""
-    order = df.columns
+def _swap_in(spans: str) -> Callable[[Column], Column]:
+    """Put what was found into ``swap``, where nothing is there yet."""
     fields = ("start", "end", "precedence", "label", "text", "score")
 
-    def one(c: Column, i: Column) -> Column:
-        new = F.get(F.col("__found"), i)
-        return F.struct(
+    def change(found: Column) -> Column:
+        return F.transform(spans, lambda c, i: F.struct(
             *[c[f].alias(f) for f in fields],
-            (F.coalesce(c["swap"], new) if keep else new).alias("swap"),
-        )
+            F.coalesce(c["swap"], F.try_element_at(found, i)).alias("swap"),
+        ))
 
-    staged = df.withColumn("__found", found)
-    changed = F.when(F.col("__found").isNull(), F.col(spans)).otherwise(
-        F.transform(F.col(spans), one)
-    )
-    return staged.withColumn(spans, changed).select(*[F.col(f"`{c}`") for c in order])
+    return change
 
 
-def swapped(df: DataFrame, spans: str, swaps: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
+def swapped(df: DataFrame, spans: str, swaps: DataFrame, hot: int = HOT) -> DataFrame:
     """Candidates with the replacement that swaps(label, original, replacement) names; of
-    several the smallest."""
-    table = swaps.filter("label IS NOT NULL AND original IS NOT NULL").groupBy(
-        "label", "original").agg(F.min("replacement").alias("replacement"))
-    context = df.sparkSession.sparkContext
-    for block in blocks(table, ["label", "original"], rows):
-        held = context.broadcast({(r[0], r[1]): r[2] for r in block})
-        df = _with_swap(df, spans, _found(lambda a, b, held=held: held.value.get((a, b)),
-                                          F.col(spans)))
-    return df
-
-
-def unblocked(df: DataFrame, spans: str, listed: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
+    several the smallest.  ``df`` are numbered rows."""
+    table = swaps.select("label", F.col("original").alias("text"), "replacement").filter(
+        "label IS NOT NULL AND text IS NOT NULL").groupBy("label", "text").agg(
+        F.min("replacement").alias("replacement"))
+    hits = value_lookup(
+        _cells(df, spans), ["label", "text"],
+        lambda values: values.join(table, ["label", "text"], "left"), "replacement", hot,
+    )
+    return _back(df, _by_place(hits, "replacement"), spans, _swap_in(spans))
+
+
+def unblocked(df: DataFrame, spans: str, listed: DataFrame, hot: int = HOT) -> DataFrame:
     """Candidates without those whose (label, text) is in blocks(label, pattern); forced ones
-    stay."""
+    stay.  ``df`` are numbered rows."""
     table = listed.select("label", F.col("pattern").alias("text")).filter(
-        "label IS NOT NULL AND text IS NOT NULL").distinct()
-    context, order = df.sparkSession.sparkContext, df.columns
-    for block in blocks(table, ["label", "text"], rows):
-        held = context.broadcast({(r[0], r[1]) for r in block})
-        found = _found(lambda a, b, held=held: "x" if (a, b) in held.value else None, F.col(spans))
-        left = F.filter(
-            F.col(spans),
-            lambda c, i: (c["precedence"] == ALLOW) | F.get(F.col("__found"), i).isNull(),
-        )
-        df = (
-            df.withColumn("__found", found)
-            .withColumn(spans, F.when(F.col("__found").isNull(), F.col(spans)).otherwise(left))
-            .select(*[F.col(f"`{c}`") for c in order])
+        "label IS NOT NULL AND text IS NOT NULL").distinct().withColumn("__listed", F.lit(True))
+    hits = value_lookup(
+        _cells(df, spans), ["label", "text"],
+        lambda values: values.join(table, ["label", "text"], "left"), "__listed", hot,
+    )
+
+    def change(found: Column) -> Column:
+        return F.filter(
+            spans, lambda c, i: (c["precedence"] == ALLOW) | F.try_element_at(found, i).isNull()
         )
-    return df
 
+    return _back(df, _by_place(hits, "__listed"), spans, change)
 
-def drawn(
-    df: DataFrame, spans: str, pools: DataFrame, key: str, rows: int = BLOCK_ROWS
-) -> DataFrame:
+
+def drawn(df: DataFrame, spans: str, pools: DataFrame, key: str, hot: int = HOT) -> DataFrame:
     """Candidates with a replacement drawn from pools(label, position, replacement).
 
     The positions of a label are 0, 1, 2, ...; a value draws the position that its keyed hash
-    leaves on division by the size of the pool.
+    leaves on division by the size of the pool.  ``df`` are numbered rows.
     """
-    sizes = {r["label"]: r["n"] for r in pools.groupBy("label").agg(
-        F.count("*").alias("n")).collect()}
-
-    def place(label: str, text: str) -> int:
-        digest = hashlib.sha256(f"{key}|{label}|{text}".encode()).hexdigest()
-        return int(digest[:15], 16) % sizes[label]
-
-    context = df.sparkSession.sparkContext
-    for block in blocks(pools.select("label", "position", "replacement"), ["label", "position"],
-                        rows):
-        held = context.broadcast({(r[0], r[1]): r[2] for r in block})
-        df = _with_swap(df, spans, _found(
-            lambda a, b, held=held: held.value.get((a, place(a, b))) if a in sizes else None,
-            F.col(spans),
-        ))
-    return df
+    sizes = pools.groupBy("label").agg(F.count("*").alias("__size"))
 
+    def find(values: DataFrame) -> DataFrame:
+        placed = lookup_join(values, sizes, ["label"], "left", ["text"]).withColumn(
+            "position", keyed_hash(key, F.col("label"), F.col("text")) % F.col("__size")
+        )
+        named = pools.select("label", F.col("position").cast("long").alias("position"), "replacement")
+        # A place of a small pool is drawn by many values: those places are few.
+        tiny = sizes.filter(F.col("__size") <= hot).select("label")
+        few = broadcast_if_bounded(named.join(F.broadcast(tiny), "label"))
+        small = F.coalesce(F.col("__size") <= hot, F.lit(False))
+        columns = [*values.columns, "replacement"]
+        return (
+            placed.filter(small).join(few, ["label", "position"], "left").select(*columns)
+            .unionByName(placed.filter(~small).join(named, ["label", "position"], "left").select(*columns))
+        )
 
-def _words_of(held) -> Column:
-    """A function that finds the listed words of a text, with their labels."""
+    hits = value_lookup(_cells(df, spans), ["label", "text"], find, "replacement", hot)
+    return _back(df, _by_place(hits, "replacement"), spans, _swap_in(spans))
 
-    def run(texts: pd.Series) -> pd.Series:
-        find, table = re.compile(r"[^\W_]+").finditer, held.value
-        return pd.Series([
-            [] if t is None else [
-                {"start": m.start(), "end": m.end(), "label": label, "text": m[0]}
-                for m in find(t) for label in table.get(m[0], ())
-            ]
-            for t in texts
-        ])
 
-    kind = "array<struct<start:int,end:int,label:string,text:string>>"
-    return F.pandas_udf(run, kind).asNondeterministic()
+# --- phrases --------------------------------------------------------------------------------
+
+_WORD = re.compile(r"[^\W_]+")
+
+
+class _Hashes(dict):
+    """64-bit hashes of words; short ones are remembered, up to a bound."""
+
+    def __missing__(self, word: str) -> int:
+        value = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest())
+        if len(word) <= MEMO_LENGTH:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = value
+        return value
+
+
+def _rolled(words: np.ndarray, length: int) -> np.ndarray:
+    """The hashes of all runs of ``length`` words."""
+    n = max(0, len(words) - length + 1)
+    out = np.full(n, np.uint64(length))
+    for i in range(length):
+        out = (out ^ words[i:i + n]) * _MIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _bits(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The places of each hash in a filter of ``size`` bits (a power of two), a row per probe."""
+    step = (hashes >> np.uint64(32)) | np.uint64(1)
+    return np.stack([(hashes + np.uint64(i) * step) & np.uint64(size - 1) for i in range(PROBES)])
+
+
+def phrases_of(dictionary: DataFrame) -> DataFrame:
+    """(phrase, labels, words): the distinct phrases of dictionary(label, word), their words
+    parted by one space."""
+
+    def run(phrases: pd.Series) -> pd.Series:
+        return phrases.map(lambda p: " ".join(_WORD.findall(p)))
+
+    plain = F.pandas_udf(run, "string")
+    return (
+        dictionary.filter("label IS NOT NULL AND word IS NOT NULL")
+        .select("label", plain("word").alias("phrase")).filter("phrase <> ''")
+        .groupBy("phrase").agg(F.sort_array(F.collect_set("label")).alias("labels"))
+        .withColumn("words", F.size(F.split("phrase", " ")))
+    )
+
+
+def phrase_filter(phrases: DataFrame, bits: int | None = None) -> tuple[np.ndarray, list[int]]:
+    """A Bloom filter of phrases, and the numbers of words that they have.
+
+    Tasks name the bits; the filter has at most ``FILTER_BITS`` of them, whatever the table.
+    """
+    lengths = [r["words"] for r in phrases.select("words").distinct().collect()]
+    if bits is None:
+        wanted = BITS_EACH * max(1, phrases.count())
+        bits = min(FILTER_BITS, max(1 << 16, 1 << (wanted - 1).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            one = [
+                _rolled(np.array([hashes[w] for w in phrase.split(" ")], dtype=np.uint64), n)[0]
+                for phrase, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            ]
+            places = _bits(np.array(one, dtype=np.uint64), bits).ravel()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((places >> np.uint64(6)).astype(np.int64)),
+                 pa.array((np.uint64(1) << (places & np.uint64(63))).view(np.int64))],
+                names=["at", "word"],
+            )
+
+    with np.errstate(over="ignore"):
+        set_words = phrases.select("phrase", "words").mapInArrow(run, "at bigint, word bigint")
+    # As many rows as the filter has words of 64 bits, at most; sent as whole columns.
+    table = set_words.groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    out[table.column("at").to_numpy()] = table.column("word").to_numpy().view(np.uint64)
+    return out, sorted(lengths)
+
+
+def _runs_of(text: str, hashes: _Hashes, bits: np.ndarray, lengths: Sequence[int]) -> list[dict]:
+    """The runs of words, parted by white space, that the filter may hold."""
+    found = list(_WORD.finditer(text))
+    words = np.array([hashes[m[0]] for m in found], dtype=np.uint64)
+    joined = np.array([text[a.end():b.start()].isspace() for a, b in zip(found, found[1:])], dtype=bool)
+    parted = np.concatenate(([0], np.cumsum(~joined))) if len(joined) else np.zeros(1, dtype=np.int64)
+    out, size = [], np.uint64(64 * len(bits))
+    for length in lengths:
+        if length > len(found):
+            break
+        rolled = _rolled(words, length)
+        places = _bits(rolled, int(size))
+        held = (bits[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1)
+        whole = parted[length - 1:] == parted[:len(rolled)]
+        for i in np.flatnonzero(held.all(axis=0) & whole).tolist():
+            run = found[i:i + length]
+            out.append({"start": run[0].start(), "end": run[-1].end(), "phrase": " ".join(m[0] for m in run)})
+    return out
 
 
 def dictionary_candidates(
-    df: DataFrame, text: str, spans: str, words: DataFrame, rows: int = BLOCK_ROWS
+    df: DataFrame, text: str, spans: str, dictionary: DataFrame, hot: int = HOT,
+    bits: int | None = None,
 ) -> DataFrame:
-    """Candidates joined by the words (runs of letters and digits) of the text that are in
-    words(label, word)."""
-    context, order = df.sparkSession.sparkContext, df.columns
-    table = words.select("label", "word").filter("label IS NOT NULL AND word IS NOT NULL").distinct()
-    for block in blocks(table, ["word"], rows):
-        listed: dict[str, list[str]] = {}
-        for label, word in block:
-            listed.setdefault(word, []).append(label)
-        held = context.broadcast(listed)
-
-        hits = _words_of(held)(F.col(f"`{text}`"))
-        more = F.transform(
-            F.col("__found"),
-            lambda c: F.struct(
-                c["start"].alias("start"), c["end"].alias("end"),
-                F.lit(CUSTOM).alias("precedence"), c["label"].alias("label"),
-                c["text"].alias("text"), F.lit(SCORE_PATTERN).alias("score"),
-                F.lit(None).cast("string").alias("swap"),
-            ),
-        )
-        df = (
-            df.withColumn("__found", hits)
-            .withColumn(spans, F.concat(F.col(spans), more))
-            .select(*[F.col(f"`{c}`") for c in order])
+    """Candidates joined by the phrases of the text that are in dictionary(label, word).
+
+    A phrase is a run of words (runs of letters and digits) parted by white space; all places
+    where one occurs are candidates, also overlapping ones, of which the longest is chosen later.
+    A broadcast filter of bounded size names the runs that may be phrases; those, and no others,
+    leave their text and meet the table.  ``df`` are numbered rows.
+    """
+    phrases = stored(phrases_of(dictionary), "lookup_phrases")
+    held, lengths = phrase_filter(phrases, bits)
+    shared = df.sparkSession.sparkContext.broadcast(held)
+
+    def run(texts: pd.Series) -> pd.Series:
+        hashes = _Hashes()
+        with np.errstate(over="ignore"):
+            return pd.Series([
+                [] if t is None else _runs_of(t, hashes, shared.value, lengths) for t in texts
+            ])
+
+    kind = "array<struct<start:int,end:int,phrase:string>>"
+    runs = F.pandas_udf(run, kind).asNondeterministic()
+    places = stored(
+        df.select(ROW, F.explode(runs(F.col(text))).alias("__c")).select(ROW, "__c.*"), "lookup_runs"
+    )
+    hits = value_lookup(
+        places, ["phrase"], lambda values: values.join(phrases.drop("words"), "phrase", "left"), "labels", hot,
+    )
+    # The value of a candidate is the text itself, whatever white space parts its words.
+    one = F.struct("start", "end", "label")
+    found = (
+        hits.select(ROW, "start", "end", F.explode("labels").alias("label"))
+        .groupBy(ROW).agg(F.array_sort(F.collect_list(one)).alias("__found"))
+    )
+
+    def candidate(c: Column) -> Column:
+        return F.struct(
+            c["start"].alias("start"), c["end"].alias("end"),
+            F.lit(CUSTOM).alias("precedence"), c["label"].alias("label"),
+            F.substring(F.col(text), c["start"] + 1, c["end"] - c["start"]).alias("text"),
+            F.lit(SCORE_PATTERN).alias("score"), F.lit(None).cast("string").alias("swap"),
         )
-    return df
+
+    met = df.join(found, ROW, "left")
+    more = F.when(F.col("__found").isNull(), F.col(spans)).otherwise(
+        F.concat(spans, F.transform("__found", candidate)))
+    return met.withColumn(spans, more).select(*df.columns)

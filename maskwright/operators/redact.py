@@ -1,7 +1,7 @@
 """Redaction of a text column: detect, resolve, transform, rebuild.
 
 With inline policies the whole job is a chain of projections: no shuffle, no Python.  Tables
-of swaps, blocked values, replacements or words are looked up inside the rows.
+of swaps, blocked values, replacements or phrases meet the values of the candidates.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from maskwright.functions.catalog import (
     Detector,
 )
 from maskwright.functions.jsonpath import literal
-from maskwright.operators import lookups
+from maskwright.operators import lookups, pattern_tables
 from maskwright.operators.detectors import WORD, detector
 from maskwright.operators.policy import RedactOptions
 from maskwright.operators.sizing import lookup_join
@@ -121,14 +121,21 @@ def _with_tables(
     blocks: DataFrame | None,
     replacements: DataFrame | None,
     dictionary: DataFrame | None,
+    allow_patterns: DataFrame | None,
+    block_patterns: DataFrame | None,
 ) -> DataFrame:
-    """Apply tables of any size to the candidates, inside their rows."""
+    """Apply tables to the candidates of all rows."""
+    if allow_patterns is not None:
+        df = pattern_tables.forced(df, text_col, CANDIDATES, allow_patterns)
     if dictionary is not None:
-        df = lookups.dictionary_candidates(df, text_col, CANDIDATES, dictionary)
+        df = lookups.dictionary_candidates(lookups.numbered(df), text_col, CANDIDATES, dictionary)
+        df = df.drop(lookups.ROW)
+    if block_patterns is not None:
+        df = pattern_tables.unmatched(df, CANDIDATES, block_patterns)
     if blocks is not None:
-        df = lookups.unblocked(df, CANDIDATES, blocks)
+        df = lookups.unblocked(lookups.numbered(df), CANDIDATES, blocks).drop(lookups.ROW)
     if swaps is not None:
-        df = lookups.swapped(df, CANDIDATES, swaps)
+        df = lookups.swapped(lookups.numbered(df), CANDIDATES, swaps).drop(lookups.ROW)
     if replacements is not None:
         # Pools serve those labels only that are drawn from pools.
         pooled = [x for x in options.known_labels()
@@ -136,7 +143,9 @@ def _with_tables(
         by_default = options.handling_of("") == "ReplacementSynthesis"
         known = F.col("label").isin(*options.known_labels())
         wanted = F.col("label").isin(*pooled) | (~known if by_default else F.lit(False))
-        df = lookups.drawn(df, CANDIDATES, replacements.filter(wanted), options.surrogate_key())
+        pools = replacements.filter(wanted)
+        df = lookups.drawn(lookups.numbered(df), CANDIDATES, pools, options.surrogate_key())
+        df = df.drop(lookups.ROW)
     return df
 
 
@@ -149,6 +158,8 @@ def detect(
     blocks: DataFrame | None = None,
     replacements: DataFrame | None = None,
     dictionary: DataFrame | None = None,
+    allow_patterns: DataFrame | None = None,
+    block_patterns: DataFrame | None = None,
     out: str = "spans",
 ) -> DataFrame:
     """Add the resolved candidate spans of every text; no policy is applied yet.
@@ -161,7 +172,7 @@ def detect(
     text = f"__c{order.index(text_col)}"
     found = _with_tables(
         with_candidates(placed, text, options), text, options,
-        swaps, blocks, replacements, dictionary,
+        swaps, blocks, replacements, dictionary, allow_patterns, block_patterns,
     )
     return found.select(
         *[_name(c) for c in placed.columns], sp.once(sp.resolve(F.col(CANDIDATES))).alias(out)
@@ -216,20 +227,26 @@ def redact(
     blocks: DataFrame | None = None,
     replacements: DataFrame | None = None,
     dictionary: DataFrame | None = None,
+    allow_patterns: DataFrame | None = None,
+    block_patterns: DataFrame | None = None,
     out: str = "redacted_text",
 ) -> DataFrame:
     """Redact a text column.
 
     Adds ``out``, ``entities``, ``entities_found`` and ``usage``.  Tables of any size may join in:
     ``swaps`` (label, original, replacement), ``blocks`` (label, pattern: the blocked value),
-    ``replacements`` (label, position, replacement: pools of ReplacementSynthesis) and
-    ``dictionary`` (label, word).  A table that has a column of an output's name is refused.
+    ``replacements`` (label, position, replacement: pools of ReplacementSynthesis),
+    ``dictionary`` (label, word: words or phrases), ``allow_patterns`` and ``block_patterns``
+    (label, pattern: regular expressions, as Python reads them).  Values that a table allows are
+    not blocked.  With tables the rows are written once, with row numbers.  A table that has a
+    column of an output's name is refused.
     """
     refuse_clashes(df, [out, "entities", "entities_found", "usage"])
     spans = "__spans" + "_" * sum(c.lower().startswith("__spans") for c in df.columns)
     found = detect(
         df, text_col, options, swaps=swaps, blocks=blocks, replacements=replacements,
-        dictionary=dictionary, out=spans,
+        dictionary=dictionary, allow_patterns=allow_patterns, block_patterns=block_patterns,
+        out=spans,
     )
     return transform_spans(
         found, text_col, options, spans_col=spans, language_col=language_col, out=out

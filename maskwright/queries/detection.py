@@ -361,7 +361,7 @@ def r15_named_generators(t: Tables) -> DataFrame:
 
 
 _SWAPS = """swaps AS (
-  SELECT 'EMAIL_ADDRESS' AS label, 'User.' || c_custkey || '@Mail.example.com' AS original,
+  SELECT 'EMAIL_ADDRESS' AS label, 'User.' || c_custkey || '@Mail.example.comé' AS original,
          lower(c_mktsegment) || c_custkey || '@swap.example.org' AS replacement
   FROM customer WHERE c_acctbal > 0)"""
 
@@ -387,7 +387,7 @@ def r16_swaps(t: Tables) -> DataFrame:
     swaps = t.customer.filter("c_acctbal > 0").select(
         F.lit("EMAIL_ADDRESS").alias("label"),
         F.concat(
-            F.lit("User."), F.col("c_custkey").cast("string"), F.lit("@Mail.example.com")
+            F.lit("User."), F.col("c_custkey").cast("string"), F.lit("@Mail.example.comé")
         ).alias("original"),
         F.concat(
             F.lower("c_mktsegment"), F.col("c_custkey").cast("string"), F.lit("@swap.example.org")
@@ -437,8 +437,9 @@ _BLOCK_SQL = """kept AS (SELECT * FROM cand WHERE NOT (
 @query(
     "r18_block_lists",
     with_ctes(
-        """blocked AS (SELECT DISTINCT unnest(regexp_extract_all(text, '\\b[0-9a-f]{40}\\b'))
-           AS pattern FROM documents WHERE doc_id % 2 = 0)""",
+        """blocked AS (SELECT DISTINCT pattern FROM (
+             SELECT unnest(regexp_extract_all(text, '\\b[0-9a-f]{32,}\\b')) AS pattern
+             FROM documents) x WHERE pattern[-1] < '8')""",
         sql_candidates("documents", "doc_id", "text"), _BLOCK_SQL, sql_resolved("kept"),
         select=SPAN_SELECT + " FROM spans",
     ),
@@ -451,12 +452,12 @@ def r18_block_lists(t: Tables) -> DataFrame:
             "EMAIL_ADDRESS": LabelList(regexes=["mail[0-4]@?"]),
         }
     )
-    # The list holds the tokens of every other document.
-    blocked = t.documents.filter("doc_id % 2 = 0").select(
+    # The list holds about half of the tokens of all documents.
+    blocked = t.documents.select(
         F.lit("SECRET_TOKEN").alias("label"),
-        F.explode(F.regexp_extract_all("text", F.lit(r"\b[0-9a-f]{40}\b"), F.lit(0)))
+        F.explode(F.regexp_extract_all("text", F.lit(r"\b[0-9a-f]{32,}\b"), F.lit(0)))
         .alias("pattern"),
-    )
+    ).filter(F.right("pattern", F.lit(1)) < "8")
     found = detect(docs(t), "text", options, blocks=blocked)
     return flat_candidates(found, ["doc_id"]).select("doc_id", "label", "text", "start", "end")
 
@@ -572,12 +573,16 @@ def r12_replacement_table(t: Tables) -> DataFrame:
     return spans_of(done, ["doc_id"]).select("doc_id", "text", "new_text")
 
 
+_PLAIN_NOTES = "asked AS (SELECT doc_id, translate(text, 'ÄÖÜäöüß', '.......') AS note FROM documents)"
+
+
 @query(
     "r23_dictionary_table",
     with_ctes(
-        """words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS word
-           FROM documents WHERE doc_id % 10 = 0)""",
-        """asked AS (SELECT doc_id, translate(text, 'ÄÖÜäöüß', '.......') AS note FROM documents)""",
+        """words AS (SELECT word FROM (
+             SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS word FROM documents) x
+           GROUP BY word HAVING count(DISTINCT doc_id) BETWEEN 2 AND 20)""",
+        _PLAIN_NOTES,
         """found AS (SELECT doc_id, unnest(regexp_extract_all(note, '[\\p{L}\\p{N}]+')) AS word
            FROM asked)""",
         select="""SELECT doc_id, count(*) AS entities_found FROM found
@@ -585,11 +590,11 @@ def r12_replacement_table(t: Tables) -> DataFrame:
     ),
 )
 def r23_dictionary_table(t: Tables) -> DataFrame:
-    """A dictionary of all words of every tenth document, as a table."""
-    words = t.documents.filter("doc_id % 10 = 0").select(
-        F.lit("ORGANIZATION").alias("label"),
-        F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9]+"), F.lit(0))).alias("word"),
-    )
+    """A dictionary of all words that 2 to 20 documents hold, as a table."""
+    held = t.documents.select(
+        "doc_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9]+"), F.lit(0))).alias("word")
+    ).groupBy("word").agg(F.count_distinct("doc_id").alias("n"))
+    words = held.filter("n BETWEEN 2 AND 20").select(F.lit("ORGANIZATION").alias("label"), "word")
     asked = docs(t).select("doc_id", F.translate("text", "ÄÖÜäöüß", ".......").alias("note"))
     found = detect(asked, "note", RedactOptions(labels=[]), dictionary=words)
     return found.select("doc_id", F.size("spans").cast("bigint").alias("entities_found")).filter(
@@ -597,6 +602,92 @@ def r23_dictionary_table(t: Tables) -> DataFrame:
     )
 
 
+# Runs of 1, 2, 3, 5 and 8 words that begin a sentence; a label per number of words.
+_RUNS = (1, 2, 3, 5, 8)
+_FIRST_WORDS = " UNION ".join(
+    f"""SELECT '{'ORGANIZATION' if n % 2 else 'NAME_FAMILY'}' AS label, array_to_string(w[1:{n}], ' ') AS phrase,
+        {n} AS n FROM sentences WHERE len(w) >= {n}""" for n in _RUNS
+)
+
+
+@query(
+    "r23_phrase_dictionary",
+    with_ctes(
+        _PLAIN_NOTES,
+        """sentences AS (SELECT regexp_extract_all(unnest(string_split(text, '.')), '[A-Za-z0-9]+') AS w
+           FROM documents)""",
+        f"phrases AS ({_FIRST_WORDS})",
+        r"""cut AS (SELECT doc_id, regexp_extract_all(note, '[\p{L}\p{N}]+') AS m,
+             string_split_regex(note, '[\p{L}\p{N}]+') AS g FROM asked)""",
+        f"""runs AS (SELECT doc_id, n, i, m, g FROM cut, (SELECT unnest([{', '.join(map(str, _RUNS))}]) AS n) l,
+             unnest(range(1, len(m) - n + 2)) AS u(i)
+           WHERE len(list_filter(g[i + 1:i + n - 1], lambda z: NOT regexp_full_match(z, '\\s+'))) = 0)""",
+        """cand AS (SELECT doc_id AS k, 1 AS precedence, p.label, 0.9::DOUBLE AS score, r.s AS "start",
+             r.s + length(r.text) AS "end", r.text FROM (
+               SELECT doc_id, n, array_to_string(m[i:i + n - 1], ' ') AS phrase,
+                 (list_sum(list_transform(g[1:i], lambda z: length(z)))
+                   + coalesce(list_sum(list_transform(m[1:i - 1], lambda z: length(z))), 0))::INT AS s,
+                 m[i] || coalesce(array_to_string(list_transform(range(i + 1, i + n), lambda j: g[j] || m[j]), ''), '')
+                   AS text
+               FROM runs) r JOIN phrases p ON p.phrase = r.phrase AND p.n = r.n)""",
+        sql_resolved(),
+        select=SPAN_SELECT + " FROM spans",
+    ),
+)
+def r23_phrase_dictionary(t: Tables) -> DataFrame:
+    """A dictionary of the runs of up to eight words that begin a sentence; the longest of
+    overlapping phrases is found."""
+    words = t.documents.select(F.explode(F.split("text", r"\.")).alias("s")).select(
+        F.regexp_extract_all("s", F.lit("[A-Za-z0-9]+"), F.lit(0)).alias("w")
+    )
+    phrases = None
+    for n in _RUNS:
+        label = "ORGANIZATION" if n % 2 else "NAME_FAMILY"
+        part = words.filter(F.size("w") >= n).select(
+            F.lit(label).alias("label"), F.array_join(F.slice("w", 1, n), " ").alias("word"))
+        phrases = part if phrases is None else phrases.unionByName(part)
+    asked = docs(t).select("doc_id", F.translate("text", "ÄÖÜäöüß", ".......").alias("note"))
+    found = detect(asked, "note", RedactOptions(labels=[]), dictionary=phrases.distinct())
+    return flat_candidates(found, ["doc_id"]).select("doc_id", "label", "text", "start", "end")
+
+
+@query(
+    "r19_pattern_tables",
+    with_ctes(
+        fx.NOTES,
+        """listed AS (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""",
+        sql_candidates(
+            "notes", "id", "note", ["EMAIL_ADDRESS", "URL", "DATE_TIME"],
+            extra=[sql_matches("(SELECT * FROM notes WHERE id IN (SELECT o_orderkey FROM orders "
+                               "WHERE o_totalprice > 100000))",
+                               "id", "note", "ORGANIZATION", r"Order \d+ on \d{4}", 0, "1.0")],
+        ),
+        """kept AS (SELECT c.* FROM cand c JOIN notes n ON n.id = c.k WHERE precedence = 0 OR NOT (
+             (label = 'EMAIL_ADDRESS' AND n.custkey IN (SELECT c_custkey FROM listed))
+             OR (label = 'DATE_TIME' AND text LIKE '%-01-%')))""",
+        sql_resolved("kept"),
+        select='SELECT k AS id, label, text, "start", score FROM spans',
+    ),
+)
+def r19_pattern_tables(t: Tables) -> DataFrame:
+    """Allow and block lists as tables of thousands of patterns."""
+    allowed = t.orders.filter("o_totalprice > 100000").select(
+        F.lit("ORGANIZATION").alias("label"),
+        F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(r" on \d{4}")).alias("pattern"),
+    )
+    blocked = t.customer.filter("c_acctbal > 0").select(
+        F.lit("EMAIL_ADDRESS").alias("label"),
+        F.concat(F.lit(r"^User\."), F.col("c_custkey").cast("string"), F.lit("@")).alias("pattern"),
+    ).unionByName(
+        t.spark.range(1).select(F.lit("DATE_TIME").alias("label"), F.lit(r"^\d+-01-").alias("pattern"))
+    )
+    found = detect(
+        spread(fx.notes(t)), "note", RedactOptions(labels=["EMAIL_ADDRESS", "URL", "DATE_TIME"]),
+        allow_patterns=allowed, block_patterns=blocked,
+    )
+    return flat_candidates(found, ["id"]).select("id", "label", "text", "start", "score")
+
+
 @query(
     "r20_entity_counts",
     with_ctes(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,3 +22,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: its lineage ends there."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,11 +1,15 @@
-"""Tables looked up inside the row, shared folders, deep pages, exact percentiles."""
+"""Tables that meet candidates, shared folders, deep pages, exact percentiles."""
+
+import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from maskwright import RedactOptions, detect, redact
-from maskwright.operators import lookups
+from maskwright.functions import spans as sp
+from maskwright.operators import lookups, pattern_tables
 from maskwright.operators.audit import exact_percentile
 from maskwright.operators.evaluate import saved_ground_truth
 from maskwright.operators.listing import ListQuery, deep_page
@@ -17,26 +21,138 @@ from maskwright.sources.tables import redact_columns
 SYNTHESIS = RedactOptions(generator_default="Synthesis", key="k")
 
 
-@pytest.mark.parametrize("rows", [1, 100_000])
-def test_tables_do_not_need_a_key(spark, monkeypatch, rows):
-    cut = lookups.blocks
-    monkeypatch.setattr(lookups, "blocks", lambda table, keys, _: cut(table, keys, rows))
-    texts = [(None, "a@b.com x"), (1, "c@d.com"), (1, "e@f.com"), (1, None), (2, "")]
+@pytest.mark.parametrize("hot", [1, 3, 2000])
+def test_tables_do_not_need_a_key(spark, monkeypatch, hot):
+    """All values by broadcast, some, or none: the result is the same."""
+    whole = lookups.value_lookup
+    monkeypatch.setattr(
+        lookups, "value_lookup", lambda cells, keys, find, value, _: whole(cells, keys, find, value, hot))
+    texts = [(None, "a@b.com x"), (1, "c@d.com"), (1, "e@f.com a@b.com"), (1, None), (2, "")]
     df = spark.createDataFrame(texts, "id int, text string")
     swaps = spark.createDataFrame(
         [("EMAIL_ADDRESS", f"{c}@{d}.com", f"{c}.swapped") for c, d in ("ab", "cd", "ef", "gh")]
-        + [(None, "x", "y"), ("EMAIL_ADDRESS", None, "y")],
+        + [(None, "x", "y"), ("EMAIL_ADDRESS", None, "y"), ("EMAIL_ADDRESS", "a@b.com", "z")],
         "label string, original string, replacement string",
     )
     got = redact(df, "text", SYNTHESIS, swaps=swaps).select("id", "redacted_text").collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, [
-        (None, "a.swapped x"), (1, "c.swapped"), (1, "e.swapped"), (1, None), (2, "")]))
+        (None, "a.swapped x"), (1, "c.swapped"), (1, "e.swapped a.swapped"), (1, None), (2, "")]))
     blocks = swaps.select("label", F.col("original").alias("pattern"))
     found = detect(df, "text", blocks=blocks).select(F.size("spans")).collect()
     assert {r[0] for r in found} <= {0, None, -1}
     words = spark.createDataFrame([("NAME_GIVEN", "x"), ("ORGANIZATION", "x")], "label string, word string")
     row = detect(df.limit(1), "text", RedactOptions(labels=[]), dictionary=words).first()
     assert [(s["label"], s["start"], s["end"]) for s in row["spans"]] == [("NAME_GIVEN", 8, 9)]
+    none = swaps.limit(0)
+    assert redact(df, "text", SYNTHESIS, swaps=none).count() == 5
+    empty = detect(df, "text", RedactOptions(labels=[]), dictionary=words.limit(0))
+    assert empty.filter(F.size("spans") > 0).count() == 0
+
+
+def test_a_value_of_a_third_of_all_spans_is_broadcast(spark):
+    """Only values above the bound are broadcast, and the shuffle sees none of them."""
+    df = spark.range(3000).selectExpr(
+        "concat(if(id % 3 = 0, 'hot', concat('u', id)), '@b.com') AS text").repartition(8)
+    swaps = spark.range(3000).selectExpr(
+        "'EMAIL_ADDRESS' AS label", "concat('u', id, '@b.com') AS original", "concat('s', id) AS replacement"
+    ).unionByName(spark.createDataFrame(
+        [("EMAIL_ADDRESS", "hot@b.com", "cool")], "label string, original string, replacement string"))
+    done = redact(df, "text", SYNTHESIS, swaps=swaps)
+    got = done.groupBy("redacted_text").count().collect()
+    assert {r[0]: r[1] for r in got} == {"cool": 1000} | {f"s{i}": 1 for i in range(3000) if i % 3}
+    plan = lookups.swapped(lookups.numbered(detect(df, "text")), "spans", swaps)
+    assert "LeftAnti" in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def brute_phrases(text, dictionary):
+    found = list(re.finditer(r"[^\W_]+", text))
+    out = set()
+    for label, phrase in dictionary:
+        words = re.findall(r"[^\W_]+", phrase)
+        for i in range(len(found) - len(words) + 1):
+            run = found[i:i + len(words)]
+            if words and [m[0] for m in run] == words and all(
+                    text[a.end():b.start()].isspace() for a, b in zip(run, run[1:])):
+                out.add((run[0].start(), run[-1].end(), label))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bits", [64, None])
+def test_phrases_equal_brute_force(spark, bits):
+    """Phrases of one to eight words, overlapping, of several labels; also with a full filter."""
+    rng = random.Random(4)
+    words = "a b c New York Ünï 日本 x1".split()
+    gaps = [" ", " ", "  ", "\n", "-", ", ", "_"]
+    texts = ["".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    texts += [None, "", " ", "New York", "word " * 20_000 + "New York"]
+    dictionary = [(rng.choice("LMN"), rng.choice([" ", "  ", "-"]).join(
+        rng.choice(words) for _ in range(rng.randint(1, 8)))) for _ in range(200)]
+    dictionary += [("L", "New York"), ("M", "New York"), ("L", "--"), ("L", None), (None, "a")]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").withColumn(
+        "spans", F.array().cast(f"array<{sp.CANDIDATE_TYPE}>"))
+    table = spark.createDataFrame(dictionary, "label string, word string")
+    got = lookups.dictionary_candidates(
+        lookups.numbered(df), "text", "spans", table, bits=bits).select("id", "text", "spans").collect()
+    assert len(got) == len(texts)
+    listed = [(label, phrase) for label, phrase in dictionary if label and phrase]
+    for row in got:
+        spans = sorted((s["start"], s["end"], s["label"]) for s in row["spans"])
+        assert spans == (brute_phrases(row["text"], listed) if row["text"] else [])
+        assert all(row["text"][s["start"]:s["end"]] == s["text"] for s in row["spans"])
+
+
+def test_the_longest_of_overlapping_phrases_is_found(spark):
+    df = spark.createDataFrame([("in New York City Hall, not New-York",)], "text string")
+    words = spark.createDataFrame(
+        [("A", "New York"), ("B", "York City Hall"), ("C", "New York City"), ("D", "City")],
+        "label string, word string")
+    found = detect(df, "text", RedactOptions(labels=[]), dictionary=words).first()["spans"]
+    # Both three-word phrases are candidates; the longer text wins.
+    assert [(s["label"], s["text"]) for s in found] == [("B", "York City Hall")]
+
+
+@pytest.mark.parametrize("pattern,part", [
+    ("abc", "abc"), (r"^User\.12@", "User.12@"), ("ab|cd", ""), ("(?i)abc", ""), ("ab?cd", "cd"),
+    ("(?:ab)+c", "ab"), ("x(yz)w", "xyzw"), (r"\d+", ""), ("a(?i:b)cde", "cde"), (r"Order 7 on \d{4}", "Order 7 on "),
+    ("a{0}bc", "bc"), ("(?=abc)d", "d"), ("(a|b)xy", "xy"), ("a.b", "a"), ("ab{2,}", "a"),
+])
+def test_literal_parts_are_in_every_match(pattern, part):
+    assert pattern_tables.literal_part(pattern) == part
+
+
+def test_ten_thousand_patterns(spark):
+    """Many patterns from tables; a value that is allowed is not blocked."""
+    df = spark.range(3000).selectExpr("id", "concat('mail u', id, '@b.com from 10.0.0.', id % 250) AS text")
+    allowed = spark.range(10_000).selectExpr(
+        "'PERSON' AS label", r"concat('\\bu', id * 2, '@b') AS pattern")
+    blocked = spark.range(10_000).selectExpr(
+        "'EMAIL_ADDRESS' AS label", "concat('^u', id * 3, '@') AS pattern").unionByName(
+        spark.createDataFrame([("IP_ADDRESS", r"\.(?:7|8)$"), ("PERSON", "u"), (None, "x"), ("URL", None)],
+                              "label string, pattern string"))
+    got = detect(df, "text", allow_patterns=allowed, block_patterns=blocked).select(
+        "id", F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["text"])).alias("s")).collect()
+    for r in got:
+        i, want = r["id"], []
+        if i % 2 == 0:
+            want.append(f"PERSON:u{i}@b")
+        elif i % 3:
+            want.append(f"EMAIL_ADDRESS:u{i}@b.com")
+        if i % 250 not in (7, 8):
+            want.append(f"IP_ADDRESS:10.0.0.{i % 250}")
+        assert r["s"] == want
+    with pytest.raises(ValueError, match="empty string"):
+        detect(df, "text", block_patterns=allowed.selectExpr("label", "'x*' AS pattern"))
+    with pytest.raises(ValueError, match="not a pattern"):
+        detect(df, "text", block_patterns=allowed.selectExpr("label", "'(x' AS pattern"))
+
+
+def test_patterns_without_the_automaton(monkeypatch):
+    rows = [("A", "abc"), ("A", "bcd"), ("B", "x|y"), ("A", "zz+")]
+    with_it = pattern_tables.Patterns(rows)
+    monkeypatch.setattr(pattern_tables, "ahocorasick", None)
+    without = pattern_tables.Patterns(rows)
+    for text in ("abcd", "xabczzz", "", "q"):
+        assert with_it.found(text) == without.found(text)
 
 
 def test_pools_of_replacements_as_a_table(spark):
@@ -125,5 +241,7 @@ def test_every_label_keeps_its_pool(spark):
     pools = spark.createDataFrame(
         [(label, i, f"{label}{i}") for label in ("EMAIL_ADDRESS", "IP_ADDRESS") for i in range(3)],
         "label string, position long, replacement string")
-    found = lookups.drawn(detect(df, "text"), "spans", pools, "k", rows=1).first()["spans"]
-    assert [s["swap"][:-1] for s in found] == ["EMAIL_ADDRESS", "IP_ADDRESS"]
+    for hot in (1, 2, 2000):
+        rows = lookups.numbered(detect(df, "text"))
+        found = lookups.drawn(rows, "spans", pools, "k", hot=hot).first()["spans"]
+        assert [s["swap"][:-1] for s in found] == ["EMAIL_ADDRESS", "IP_ADDRESS"]
