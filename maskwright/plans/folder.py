@@ -1,8 +1,8 @@
 """De-identification of a whole file tree.
 
 Everything that depends on the path alone - skipping, filtering, routing, output names - is
-decided on metadata.  Contents are then read by four scans, one per route, whose path filters
-prune files at listing time, and redacted by the operator of the route.
+decided on metadata.  The tree is listed once, by the tasks; the files that are left are read once
+and redacted by the operator of their route.
 """
 
 from __future__ import annotations
@@ -14,14 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.functions import spans as sp
-from maskwright.functions.catalog import FILE_TYPES
+from maskwright.functions.catalog import BUILT_INS, FILE_TYPES
 from maskwright.functions.text import base_name, extension
 from maskwright.operators.ordinals import ordinal_within
 from maskwright.operators.policy import RedactOptions
 from maskwright.operators.redact import redact, text_spans
-from maskwright.operators.sizing import broadcast_if_bounded
 from maskwright.operators.structured import redact_html, redact_json, redact_xml
-from maskwright.sources.files import describe, list_tree, read_whole
+from maskwright.sources.files import describe, listing, read_listed
+from maskwright.sources.shared import stored
 
 # Why a file is skipped.
 SKIP_PATTERN = "Matched skip pattern"
@@ -76,8 +76,15 @@ def in_extensions(name: Column, extensions: Sequence[str]) -> Column:
 
 
 def name_options(options: RedactOptions) -> RedactOptions:
-    """Names are synthesised unless the caller set a default handling."""
-    return replace(options, generator_default=options.generator_default or "Synthesis")
+    """Names are synthesised unless the caller set a default handling.
+
+    A segment of a path holds no URL, and the surrogate of one would bring slashes into names.
+    """
+    labels = options.labels if options.labels is not None else [d.label for d in BUILT_INS]
+    return replace(
+        options, generator_default=options.generator_default or "Synthesis",
+        labels=[label for label in labels if label != "URL"],
+    )
 
 
 def redacted_name(name: Column, options: RedactOptions) -> Column:
@@ -153,7 +160,11 @@ def with_outputs(work: DataFrame) -> DataFrame:
 
     A target that ends like a numbered one is set apart first, so all paths are different.
     """
-    routed = work.filter(F.col("reason").isNull()).withColumn("target", unnumbered(F.col("target")))
+    # Written once: the targets are used four times, and names are costly to redact.
+    routed = stored(
+        work.filter(F.col("reason").isNull()).withColumn("target", unnumbered(F.col("target"))),
+        "folder_targets",
+    )
     # Only targets that more than one file claims are numbered.
     clashes = routed.groupBy("target").agg(F.count("*").alias("n")).filter("n > 1").select("target")
     clashing = routed.join(clashes, "target", "left_semi")
@@ -242,14 +253,16 @@ def redact_routes(
 ) -> DataFrame:
     """Redact contents(path, text) by the route of each path.
 
-    Each route is a separate branch, so its filter on the path reaches the scan.
+    Each route is a separate branch; where the contents have a column ``route``, by which they are
+    written, a branch reads its part only.
     """
-    route = route_of(base_name(F.col("path")))
+    known = "route" in contents.columns
+    route = F.col("route") if known else route_of(base_name(F.col("path")))
 
     tabs = F.endswith(F.lower("path"), F.lit(".tsv"))
 
     def branch(name: str) -> DataFrame:
-        return contents.filter(route == name)
+        return contents.filter(route == name).select("path", "text")
 
     plain = redact(branch("text"), "text", options).select(
         "path", "redacted_text", "entities_found",
@@ -329,25 +342,15 @@ def deidentify_folder(
     folder: FolderOptions = FolderOptions(),
 ) -> FolderJob:
     """Redact a file tree: outputs(output_path, redacted_text), results and summary."""
-    work = plan_work(list_tree(spark, source, max_depth=None).select("path", "size"), options, folder)
-    name = base_name(F.col("path"))
-    contents = read_whole(spark, source).filter(
-        skipped_at(F.col("path"), folder.skip_patterns).isNull()
-        & in_extensions(name, folder.file_extensions)
-    )
-    done = redact_routes(contents, options, folder)
+    # Listed, and planned, once: names are redacted here and nowhere else.
+    work = stored(plan_work(listing(spark, source, None), options, folder), "folder_work")
+    wanted = work.filter(F.col("reason").isNull())
+    # Texts are written by route, so that each route reads its own files only.
+    route = route_of(base_name(F.col("path")))
+    texts = stored(read_listed(wanted, source).withColumn("route", route), "folder_texts", ["route"])
+    done = redact_routes(texts, options, folder)
     if folder.deidentify_names:
-        # The target is computed in the row; only renamed files are looked up, so that the
-        # contents are not shuffled to find their names.
-        renamed = with_outputs(work).filter("renamed").select(
-            "path", F.col("output_path").alias("__renamed")
-        )
-        target = unnumbered(redacted_path(F.col("path"), name_options(options)))
-        placed = (
-            done.join(broadcast_if_bounded(renamed), "path", "left")
-            .withColumn("output_path", F.coalesce("__renamed", target))
-            .drop("__renamed")
-        )
+        placed = done.join(with_outputs(work).select("path", "output_path"), "path")
     else:
         placed = done.withColumn("output_path", F.col("path"))
     outputs = placed.filter(F.col("status") == "success").select(

@@ -80,7 +80,7 @@ def s1_inventory(t: Tables) -> DataFrame:
 
 @query(
     "s5_written_tree",
-    f"SELECT {_DOCUMENT_PATH} AS path, coalesce(text, '') AS text FROM documents WHERE text <> ''",
+    f"SELECT {_DOCUMENT_PATH} AS path, coalesce(text, '') AS text FROM documents",
 )
 def s5_written_tree(t: Tables) -> DataFrame:
     """A tree written file by file, and read back whole."""
@@ -91,10 +91,10 @@ def s5_written_tree(t: Tables) -> DataFrame:
     "f10_folder_job",
     with_ctes(
         sql_candidates("documents", "doc_id", "text"), sql_resolved(), sql_shifted(REDACTED),
-        sql_rebuilt("documents", "doc_id", "text"),
+        sql_rebuilt("(SELECT doc_id, coalesce(text, '') AS text FROM documents)", "doc_id", "text"),
         select=f"""SELECT {_DOCUMENT_PATH} AS path,
             source || '/d' || doc_id || '.txt' AS output_path, r.redacted_text, r.entities_found
-          FROM documents d JOIN rebuilt r ON r.k = d.doc_id WHERE text <> ''""",
+          FROM documents d JOIN rebuilt r ON r.k = d.doc_id""",
     ),
 )
 def f10_folder_job(t: Tables) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +25,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: its lineage ends there."""
+def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write a frame to the shared folder and read it back: its lineage ends there.
+
+    With ``by`` it is parted by those columns, and filters on them prune files.
+    """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -20,6 +20,7 @@ from maskwright.operators.registry import jobs_since
 from maskwright.operators.structured import redact_html, redact_json, redact_xml
 from maskwright.plans.folder import FolderOptions, deidentify_folder, plan_work, redacted_name, with_outputs
 from maskwright.sources.files import list_tree, read_whole, write_tree
+from maskwright.sources.shared import stored
 
 
 def one(spark, text, fn, **kwargs):
@@ -200,3 +201,66 @@ def test_empty_files_are_files(spark, tmp_path):
     assert set(results) == set(texts) and results["é.log"] == "skipped"
     summary = job.summary.first()
     assert summary["total_processed"] == 4 and summary["skipped"] == 1
+
+
+def test_failed_and_repeated_tasks_leave_each_file_once(spark, tmp_path, monkeypatch):
+    """Attempts write under names of their own; what lost attempts wrote is gone."""
+    from maskwright.sources import files
+
+    root, twice = str(tmp_path / "out"), []
+
+    def again(df, name, by=()):
+        # The staging pass runs twice, as for a task that is repeated; one result wins.
+        twice.append(df.collect())
+        return stored(df, name, by)
+
+    monkeypatch.setattr(files, "stored", again)
+    rows = [(f"d{i % 3}/f {i}%41.txt", f"text {i} é\r\n") for i in range(40)] + [("e.txt", ""), ("n.txt", None)]
+    outputs = spark.createDataFrame(rows, "output_path string, redacted_text string").repartition(5)
+    write_tree(outputs, f"file://{root}")
+    write_tree(outputs, root)
+    assert len(twice) == 2 and len(twice[0]) == 42
+    got = {os.path.relpath(os.path.join(d, f), root): open(os.path.join(d, f), newline="").read()
+           for d, _, names in os.walk(root) for f in names}
+    assert got == {path: text or "" for path, text in rows}
+    with pytest.raises(Exception, match="leaves the output directory"):
+        write_tree(spark.createDataFrame([("a/../../x", "t")], outputs.schema), root)
+    assert sorted(os.listdir(root)) == ["d0", "d1", "d2", "e.txt", "n.txt"]
+
+
+def test_a_move_that_was_done_before_is_no_fault(spark, tmp_path, monkeypatch):
+    from maskwright.sources import files
+
+    def moved_once(df, name, by=()):
+        done = stored(df, name, by)
+        first = done.first()
+        target = tmp_path / "out" / first["target"]
+        os.rename(first["staged"], target)
+        return done
+
+    monkeypatch.setattr(files, "stored", moved_once)
+    rows = [("a.txt", "1"), ("b.txt", "2")]
+    write_tree(spark.createDataFrame(rows, "output_path string, redacted_text string"), str(tmp_path / "out"))
+    assert {f: (tmp_path / "out" / f).read_text() for f in os.listdir(tmp_path / "out")} == dict(rows)
+
+
+def test_trees_are_listed_by_tasks(spark, tmp_path):
+    """Odd names, depths, hidden names and empty folders; no path passes the driver."""
+    names = ["a/b/c/d/e.txt", "a/x y%41+é.txt", "a/b/z.txt", "top.txt", "a/.hidden", "_skip/x.txt", "q#?/r.txt"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    (tmp_path / "empty").mkdir()
+    seen = [n for n in names if "hidden" not in n and "_skip" not in n]
+    for root in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/"):
+        assert {r["path"]: r["size"] for r in list_tree(spark, root, None).collect()} == {
+            n: len(n.encode()) for n in seen}
+        assert {r["path"]: r["text"] for r in read_whole(spark, root).collect()} == {n: n for n in seen}
+    for depth in range(5):
+        assert {r["path"] for r in list_tree(spark, str(tmp_path), depth).collect()} == {
+            n for n in seen if n.count("/") <= depth}
+    with pytest.raises(ValueError):
+        list_tree(spark, str(tmp_path), -1)
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad/x.txt").write_bytes(b"a\xffb")
+    assert read_whole(spark, str(tmp_path / "bad")).first()["text"] == "a\ufffdb"
