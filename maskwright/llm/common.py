@@ -101,10 +101,10 @@ class Memo:
             del self.young[key]
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
-        wanted = set().union(*lists)
-        wanted.difference_update(self.young)
-        unknown = []
-        for key in wanted:
+        young, unknown = self.young, []
+        for key in set().union(*lists):
+            if key in young:
+                continue
             value = self.old.get(key)
             if value is None:
                 unknown.append(key)
@@ -115,6 +115,24 @@ class Memo:
         self.passing = [key for key in unknown if len(key) > self.key_length]
         return self.young
 
+    def joined(self, lists: list[list], make: Callable[[list], Iterable]) -> list[bytes]:
+        """The joined values of the keys of every list.
+
+        Most lists hold known keys only; those are joined at once, without a look at each key.
+        """
+        out, waiting, known = [], [], self.young.__getitem__
+        for i, keys in enumerate(lists):
+            try:
+                out.append(b"".join(map(known, keys)))
+            except KeyError:
+                out.append(b"")
+                waiting.append(i)
+        if waiting:
+            known = self.fill([lists[i] for i in waiting], make).__getitem__
+            for i in waiting:
+                out[i] = b"".join(map(known, lists[i]))
+        return out
+
 
 def chunks(
     batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_CHARS

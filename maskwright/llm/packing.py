@@ -21,7 +21,7 @@ LIMIT = 2048
 EOS = 1
 TOKENIZER = "word_bpe_49k.json"
 # Words remembered per Python worker and generation.
-MEMO_WORDS = 100_000
+MEMO_WORDS = 300000
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
     "sequence_id bigint, offset bigint, bucket int"
@@ -33,7 +33,7 @@ _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-įı-ȹȻ-Ƚȿ-ʯ‐-‧‰-›€]*")
 _LATIN = "a-zªµºß-öø-ʯ"
 # Words of the tokenizer's pre-tokenizer, for plain texts in lower case.
 _WORDS = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9²³¹¼-¾]|[^\\s{_LATIN}0-9²³¹¼-¾]+"
+    f"[{_LATIN}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9²³¹¼-¾]|[^\\s{_LATIN}0-9²³¹¼-¾]+"
 )
 
 
@@ -75,8 +75,7 @@ class WordEncoder:
                 words.append(())
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 whole[i] = np.array(ids, dtype="<u4").tobytes()
-        known = self.memo.fill(words, self._words)
-        out = [b"".join(map(known.__getitem__, w)) for w in words]
+        out = self.memo.joined(words, self._words)
         for i, ids in whole.items():
             out[i] = ids
         return out
