@@ -71,9 +71,9 @@ BUILT_INS: tuple[Detector, ...] = (
     ),
     Detector(
         "PHONE_NUMBER", "contact",
-        r"(?:(?:\+\d{1,3} )?\(\d{3}\) ?|\b\d{3}[-.])\d{3}[-.]\d{4}\b"
+        r"(?=[+(0-9])(?:(?:(?:\+\d{1,3} )?\(\d{3}\) ?|\b\d{3}[-.])\d{3}[-.]\d{4}\b"
         r"|\+\d(?:[ .()-]{0,2}\d){6,}+"
-        r"|\b0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}\b|\b0\d(?:[ .-]\d{2}){4}\b",
+        r"|\b0\d(?:\d{1,3}[ -]\d{3,4}[ -]\d{3,4}|(?:[ .-]\d{2}){4})\b)",
         r"\d{3}[-.]\d{4}|\+\d|0\d{1,4}[ .-]\d\d", generator="PhoneNumber",
     ),
     Detector(
@@ -82,10 +82,10 @@ BUILT_INS: tuple[Detector, ...] = (
     ),
     Detector(
         "IP_ADDRESS", "network",
-        rf"\B::(?:{_HEX4}:){{0,5}}{_IPV4}\b|\b(?:{_HEX4}:){{1,5}}:(?:{_HEX4}:){{0,4}}{_IPV4}\b"
-        rf"|\b(?:{_HEX4}:){{6}}{_IPV4}\b|\b{_IPV4}\b|\b(?:{_HEX4}:){{7}}{_HEX4}\b"
-        rf"|\b(?:{_HEX4}:){{1,6}}(?::{_HEX4}){{1,6}}\b|\B::(?:{_HEX4}:){{0,6}}{_HEX4}\b"
-        rf"|\b(?:{_HEX4}:){{2,7}}:\B",
+        rf"(?=[0-9A-Fa-f]|::)(?:\B::(?:{_HEX4}:){{0,5}}{_IPV4}\b|\b(?:(?=[0-9A-Fa-f]{{0,4}}:)"
+        rf"(?:(?:{_HEX4}:){{1,5}}:(?:{_HEX4}:){{0,4}}{_IPV4}\b|(?:{_HEX4}:){{6}}{_IPV4}\b"
+        rf"|(?:{_HEX4}:){{7}}{_HEX4}\b|(?:{_HEX4}:){{1,6}}(?::{_HEX4}){{1,6}}\b"
+        rf"|(?:{_HEX4}:){{2,7}}:\B)|{_IPV4}\b)|\B::(?:{_HEX4}:){{0,6}}{_HEX4}\b)",
         r"\d\.\d{1,3}\.\d|[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:|::[0-9A-Fa-f]", generator="IpAddress",
     ),
     Detector(
@@ -118,20 +118,20 @@ BUILT_INS: tuple[Detector, ...] = (
     ),
     Detector(
         "DATE_TIME", "time",
-        r"\b\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?: ?(?:Z|[+-]\d{2}:?\d{2}))?)?\b"
-        r"|\b\d{1,2}[/.]\d{1,2}[/.]\d{4}\b"
-        rf"|\b\d{{1,2}}(?:st|nd|rd|th|\.)? {_MONTH},? \d{{4}}\b"
-        rf"|\b{_MONTH} \d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}}\b",
+        r"(?=[0-9JFMASOND])\b(?:\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?: ?(?:Z|[+-]\d{2}:?\d{2}))?)?\b"
+        r"|\d{1,2}[/.]\d{1,2}[/.]\d{4}\b"
+        rf"|\d{{1,2}}(?:st|nd|rd|th|\.)? {_MONTH},? \d{{4}}\b"
+        rf"|{_MONTH} \d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}}\b)",
         r"\d{4}-\d{2}-\d{2}|\d[/.]\d{1,2}[/.]\d{4}"
         r"|(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*+[.,]*+ \d",
         generator="DateTime",
     ),
     Detector(
         "STREET_ADDRESS", "contact",
-        rf"\b\d{{1,6}} [A-Z][a-z]++ {_TO_ROAD}(?: {_TO_ROAD})*+"
-        r"|\b\d{1,5}(?: bis| ter)?,? (?:rue|avenue|boulevard|place|chemin|impasse|quai)"
+        rf"(?=[0-9A-Z])\b(?:\d{{1,6}} [A-Z][a-z]++ {_TO_ROAD}(?: {_TO_ROAD})*+"
+        r"|\d{1,5}(?: bis| ter)?,? (?:rue|avenue|boulevard|place|chemin|impasse|quai)"
         r"(?: (?:des|du|de|les|le|la))*+(?:[ '-][A-Z]\p{L}*+)++"
-        r"|\b[A-Z]\p{L}+(?:straße|strasse|weg|platz|gasse) \d{1,4}[a-z]?\b",
+        r"|[A-Z]\p{L}++(?<=\p{L}\p{L}(?:straße|strasse|weg|platz|gasse)) \d{1,4}[a-z]?\b)",
         r"\d [A-Z][a-z]+ |\d (?:bis,? |ter,? )?(?:rue|ave|bou|pla|che|imp|qua)"
         r"|\d, (?:rue|ave|bou|pla|che|imp|qua)|(?:e|eg|tz) \d",
     ),

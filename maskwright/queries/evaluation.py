@@ -15,6 +15,7 @@ from maskwright.operators.policy import RedactOptions
 from maskwright.operators.redact import detect, flat_candidates, redact
 from maskwright.operators.registry import upsert
 from maskwright.operators.sizing import spread
+from maskwright.operators.span_store import SpanStore
 from maskwright.queries import fixtures as fx
 from maskwright.queries.base import (
     REDACTED,
@@ -409,3 +410,38 @@ def r17_dataset_detectors(t: Tables) -> DataFrame:
     return spans.groupBy("label").agg(
         F.count("*").alias("spans"), F.countDistinct("text").alias("variants")
     )
+
+
+_CHANGED = "CASE WHEN lang = 'de' THEN text || ' or 10.9.8.7' ELSE text END"
+
+
+@query(
+    "m4_forced_prediction",
+    with_ctes(
+        f"before AS (SELECT doc_id, {_CHANGED} AS text FROM documents)",
+        sql_candidates("documents", "doc_id", "text"), sql_resolved(),
+        sql_candidates("before", "doc_id", "text", name="cand_2"), sql_resolved("cand_2", "spans_2"),
+        """counts AS (SELECT
+             (SELECT count(DISTINCT text) FROM before) AS n_before,
+             (SELECT count(DISTINCT text) FROM documents) AS n_now,
+             (SELECT count(DISTINCT text) FROM documents WHERE text NOT IN (
+                SELECT text FROM before WHERE text IS NOT NULL)) AS n_changed,
+             (SELECT count(*) FROM spans) AS s_now, (SELECT count(*) FROM spans_2) AS s_before)""",
+        select="""SELECT 1 AS run, n_before AS scanned, s_before AS spans FROM counts
+          UNION ALL SELECT 2, n_changed, s_now FROM counts
+          UNION ALL SELECT 3, 0, s_now FROM counts
+          UNION ALL SELECT 4, n_now, s_now FROM counts""",
+    ),
+)
+def m4_forced_prediction(t: Tables) -> DataFrame:
+    """Only changed texts are scanned again, none in a second run, and all by force."""
+    store = SpanStore(t.spark, f"{scratch(t.spark, 'span_store')}/spans")
+    now = spread(t.documents.select("doc_id", "text", "lang"))
+    before = now.withColumn("text", F.expr(_CHANGED))
+    done = None
+    for run, (docs, force) in enumerate([(before, False), (now, False), (now, False), (now, True)], 1):
+        told = store.predict(docs, "text", run=run, force=force)
+        one = told.rows.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("spans")).select(
+            F.lit(run).alias("run"), F.lit(told.scanned).cast("long").alias("scanned"), "spans")
+        done = one if done is None else done.unionByName(one)
+    return done

@@ -22,6 +22,7 @@ from maskwright.operators.registry import (
     tombstones,
     upsert,
 )
+from maskwright.operators.snapshots import SnapshotRegistry
 from maskwright.queries import fixtures as fx
 from maskwright.queries.base import Tables, query, with_ctes
 from maskwright.streaming.streams import scratch
@@ -342,3 +343,27 @@ def w1_latest_row(t: Tables) -> DataFrame:
     return latest_per_key(
         fx.entity_versions(t), ["entity_id"], [F.col(c) for c in ("version_number", "seq", "id")]
     ).select("entity_id", "id", "version_number")
+
+
+@query(
+    "s8_snapshots",
+    """SELECT user_id, event_id, event_type, value FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+         AND event_type <> 'error'""",
+)
+def s8_snapshots(t: Tables) -> DataFrame:
+    """State from a sorted snapshot and the batches after it."""
+    events = t.events.select(
+        "user_id", "event_id", "event_type", "value", "ts",
+        (F.col("event_type") == "error").alias("deleted"),
+    )
+    registry = SnapshotRegistry(
+        f"{scratch(t.spark, 'registry')}/users", events.schema, ["user_id"], ["ts", "event_id"]
+    )
+    # Batches by a hash: later batches bring older events, too.
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    for batch in range(4):
+        registry.append(events.filter(part == batch), batch)
+        if batch in (0, 2):
+            registry.compact(t.spark)
+    return registry.current(t.spark).select("user_id", "event_id", "event_type", "value")
