@@ -128,24 +128,28 @@ URL_RULES = (
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
     ("net/es/", "block"), ("net/fr/", "block"),
 )
-# The list of the query: hosts with one of these words between dots or hyphens.
+# The list of the query: hosts with one of these words between dots or hyphens, and hosts with a
+# page whose html has a SHA-256 that begins so.
 LISTED_HOSTS = r"(^|[.-])(spam|casino|pills)([.-]|$)"
+LISTED_PAGES = "0"
 
 
 @_query
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    """Every url by the rules, or else by the cascade of listed hosts."""
-    return url_filter.filter_urls(
-        _table(spark, folder, "pages"), F.col("host").rlike(LISTED_HOSTS), URL_RULES
-    )
+    """Every url by the rules, or else by the cascade of a table of listed hosts."""
+    pages = _table(spark, folder, "pages")
+    host = url_filter.host_of(F.coalesce("url", F.lit("")))
+    bad = F.startswith(F.sha2(F.coalesce("html", F.lit("")), 256), F.lit(LISTED_PAGES))
+    listed = pages.filter(bad | host.rlike(LISTED_HOSTS)).select(host.alias("key")).distinct()
+    return url_filter.filter_urls(pages, listed, URL_RULES)
 
 
 ORACLES["op3_url_filter"] = """
 WITH cut AS (
-  SELECT page_id, CASE WHEN strpos(url, '://') > 0
+  SELECT page_id, sha256(coalesce(html, '')) AS digest, CASE WHEN strpos(url, '://') > 0
     THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parsed AS (
-  SELECT page_id,
+  SELECT page_id, digest,
     translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
               'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
@@ -159,7 +163,8 @@ fitting AS (
     ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, tail)
   GROUP BY page_id)
 SELECT p.page_id, host, path, f.rule,
-  coalesce(f.verdict, CASE WHEN regexp_matches(host, '(^|[.-])(spam|casino|pills)([.-]|$)')
+  coalesce(f.verdict, CASE WHEN host IN (SELECT host FROM parsed WHERE starts_with(digest, '0')
+      OR regexp_matches(host, '(^|[.-])(spam|casino|pills)([.-]|$)'))
     THEN 'block' ELSE 'allow' END) AS verdict
 FROM parsed p LEFT JOIN fitting f ON p.page_id = f.page_id"""
 

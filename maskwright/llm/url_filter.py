@@ -232,7 +232,7 @@ def _judge(held, shards: int, key_col: str, out: str):
 
 def filter_urls(
     pages: DataFrame,
-    listed: Column,
+    listed: DataFrame | Column,
     rules: Sequence[tuple[str, str]],
     id_col: str = "page_id",
     url_col: str = "url",
@@ -240,9 +240,10 @@ def filter_urls(
     """(page_id, host, path, rule, verdict) of every url.
 
     ``rules`` are pairs such as ``("net/es/", "block")``; the longest that fits decides.  Other
-    urls are judged by the cascade: their host is a key, ``listed`` (a condition on the columns
-    ``host`` and ``path``) says which keys the list names, and the universe are all hosts of
-    ``pages``.  ``pages`` is read twice.
+    urls are judged by the cascade: their host is a key, and the universe are all hosts of
+    ``pages``.  ``listed`` is a table of listed keys (``key``: hosts; repeated and null ones, and
+    hosts that no page has, do no harm), or a condition on the columns ``host`` and ``path``.
+    List and universe are united by aggregation, not joined.  ``pages`` is read twice.
 
     A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed
     unless the empty host is listed.  Every row is judged, repeated rows and ids included.  No
@@ -252,7 +253,12 @@ def filter_urls(
     parsed = pages.select(
         column(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path")
     )
-    filters, shards = build(parsed.select(F.col("host").alias("key"), listed.alias("listed")))
+    if isinstance(listed, DataFrame):
+        universe = parsed.select(F.col("host").alias("key"), F.lit(False).alias("listed")).unionByName(
+            listed.select(F.col("key").cast("string").alias("key"), F.lit(True).alias("listed")))
+    else:
+        universe = parsed.select(F.col("host").alias("key"), listed.alias("listed"))
+    filters, shards = build(universe)
     ruled = parsed.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     by_rule = F.lit(None).cast("string")
     for rule, verdict in rules:

@@ -74,3 +74,24 @@ def test_equal_hashes_of_both_sides_are_refused():
     same = np.ones(2, dtype=np.uint64)
     with pytest.raises(ValueError):
         U.build_levels(same, same, np.array([True, False]))
+
+
+def test_a_table_of_listed_hosts(frame, spark):
+    """The table names the keys; odd rows of it do no harm, other hosts stay."""
+    pages = frame(URLS, "page_id bigint, url string, html string, key string")
+    keys = [("spam.net",), ("spam.net",), (None,), ("never.seen",), ("b.net",), ("com",)]
+    listed = spark.createDataFrame(keys, "key string")
+    got = {str(r["page_id"]): r["verdict"] for r in U.filter_urls(pages, listed, RULES).collect()}
+    assert got["11"] == "block" and got["None"] == "block"
+    assert got["4"] == got["3"] == got["5"] == "block"  # /de/ by the list, /es/ by the rule
+    assert got["6"] == "allow" and got["10"] == "allow" and got["7"] == "allow"
+    none = U.filter_urls(pages, listed.limit(0), ()).collect()
+    assert len(none) == len(URLS) and {r["verdict"] for r in none} == {"allow"}
+
+
+def test_the_query_lists_some_hosts_and_not_others(spark, folder):
+    from maskwright.llm.queries import QUERIES
+
+    done = QUERIES["op3_url_filter"](spark, folder).filter("rule IS NULL")
+    by_list = done.groupBy("verdict").count().collect()
+    assert {r["verdict"] for r in by_list} == {"allow", "block"}
