@@ -8,7 +8,8 @@ passes under every order:
 1. a random order (the hash): the prefix with l of about a tenth of the set is the set's sample.
    A set of which too few sample shingles occur in any other set is similar to none;
 2. the samples' own order, rarest first: similar sets share a shingle of the sample's prefix;
-3. two further random orders, whose prefixes must meet before a pair is verified.
+3. two further random orders: of every pair that is compared, with the leader of a group or
+   within it, the prefixes must meet under each before all shingles are.
 
 Equal sets are one class.  The candidates of a class that leads a bucket form a group; groups are
 compared in blocks of bounded size, within tasks, and only links that connect something are
@@ -37,6 +38,8 @@ BLOCK = 512
 # Row numbers that are broadcast at most (some 70 MB as a hash table); more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 MEMO_WORDS = 150_000
+# The random orders beside that of the hashes and the rarest-first one.
+FURTHER_ORDERS = (1, 2)
 SET_SCHEMA = "row bigint, doc_id bigint, n bigint, fingerprint binary, sample array<bigint>"
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -175,53 +178,85 @@ def candidate_groups(classes: DataFrame, percent: int) -> DataFrame:
     return buckets.join(leaders, "token").select("leader", "cid").distinct()
 
 
-class _Block:
-    """Sets of one block, with an index from shingles to the sets that hold them."""
-
-    def __init__(self, rows: list[tuple[int, np.ndarray]]) -> None:
-        self.cids = np.array([cid for cid, _ in rows], dtype=np.int64)
-        self.sets = [s for _, s in rows]
-        self.sizes = np.array([len(s) for s in self.sets], dtype=np.int64)
-        tokens = np.concatenate(self.sets)
-        owners = np.repeat(np.arange(len(rows)), self.sizes)
-        order = np.argsort(tokens, kind="stable")
-        self.owners = owners[order]
-        self.tokens, self.begins, self.counts = np.unique(
-            tokens[order], return_index=True, return_counts=True
-        )
-
-    def similar(self, shingles: np.ndarray, percent: int) -> np.ndarray:
-        """Indexes of the sets that are similar to the given one, exactly."""
-        at = np.searchsorted(self.tokens, shingles)
-        at[at == len(self.tokens)] = 0
-        at = at[self.tokens[at] == shingles]
-        counts, begins = self.counts[at], self.begins[at]
-        total = int(counts.sum())
-        steps = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
-        both = np.bincount(
-            self.owners[np.repeat(begins, counts) + steps], minlength=len(self.cids)
-        )
-        return np.flatnonzero(100 * both >= percent * (self.sizes + len(shingles) - both))
-
-
 def _prefix(shingles: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The prefix under a random order, as the keys of that order."""
+    """The prefix under a random order, as the keys of that order (0: the hashes themselves)."""
+    length = len(shingles) - overlap(len(shingles), percent) + 1
+    if order == 0:
+        return shingles[:length]
     with np.errstate(over="ignore"):
         keys = _mixed(shingles * np.uint64(2 * order + 1) + _M2)
-    length = len(keys) - overlap(len(keys), percent) + 1
     return np.partition(keys, length - 1)[:length] if length < len(keys) else keys
 
 
+def similar_sets(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets are similar, by all their shingles."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def verified(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sets are similar: prefixes under two more orders first, then all shingles."""
+    """Whether two sets are similar: prefixes under the further orders first, then all shingles."""
     if percent * max(len(a), len(b)) > 100 * min(len(a), len(b)):
         return False
-    for order in (1, 2):
+    for order in FURTHER_ORDERS:
         mine, other = _prefix(a, order, percent), _prefix(b, order, percent)
         if not np.isin(mine, other, assume_unique=True).any():
             return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+    return similar_sets(a, b, percent)
+
+
+class _Index:
+    """The sets of a block by the keys of their prefixes under one order."""
+
+    def __init__(self, prefixes: list[np.ndarray]) -> None:
+        keys = np.concatenate(prefixes)
+        owners = np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes])
+        order = np.argsort(keys, kind="stable")
+        self.owners = owners[order]
+        self.keys, self.begins, self.counts = np.unique(
+            keys[order], return_index=True, return_counts=True
+        )
+
+    def meeting(self, prefix: np.ndarray) -> np.ndarray:
+        """The places of the sets whose prefix shares a key with the given one."""
+        at = np.searchsorted(self.keys, prefix)
+        at[at == len(self.keys)] = 0
+        at = at[self.keys[at] == prefix]
+        counts, begins = self.counts[at], self.begins[at]
+        steps = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        return np.unique(self.owners[np.repeat(begins, counts) + steps])
+
+
+class _Block:
+    """Sets of one block, with an index of their prefixes under every further order.
+
+    Only sets that meet under all orders, and have fitting sizes, are compared in full.
+    """
+
+    def __init__(self, rows: list[tuple[int, np.ndarray]], percent: int) -> None:
+        self.percent = percent
+        self.cids = np.array([cid for cid, _ in rows], dtype=np.int64)
+        self.sets = [s for _, s in rows]
+        self.sizes = np.array([len(s) for s in self.sets], dtype=np.int64)
+        self.indexes = {
+            order: _Index([_prefix(s, order, percent) for s in self.sets])
+            for order in (0, *FURTHER_ORDERS)
+        }
+        self.compared = 0
+
+    def similar(self, shingles: np.ndarray) -> list[int]:
+        """Places of the sets that are similar to the given one, exactly."""
+        n, percent = len(shingles), self.percent
+        fits = percent * np.maximum(self.sizes, n) <= 100 * np.minimum(self.sizes, n)
+        places = np.flatnonzero(fits)
+        for order, index in self.indexes.items():
+            if not len(places):
+                return []
+            places = np.intersect1d(
+                places, index.meeting(_prefix(shingles, order, percent)), assume_unique=True
+            )
+        self.compared += len(places)
+        return [i for i in places.tolist() if similar_sets(self.sets[i], shingles, percent)]
 
 
 class _Forest:
@@ -275,10 +310,10 @@ def _with_leader(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
             else:
                 lonely.append((cid, shingles))
         if lonely and len(rest) > 1:
-            block = _Block(rest)
+            block = _Block(rest, percent)
             for cid, shingles in lonely:
-                for other in block.cids[block.similar(shingles, percent)].tolist():
-                    if forest.join(cid, other):
+                for other in block.cids[block.similar(shingles)].tolist():
+                    if other != cid and forest.join(cid, other):
                         found.append((cid, other))
         if found or lonely:
             yield _links(found, [(leader, cid) for cid, _ in lonely])
@@ -295,8 +330,8 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                 continue
             if not lonely:
                 break  # no lonely member fell into this block
-            block = block or _Block(lonely)
-            for other in block.cids[block.similar(shingles, percent)].tolist():
+            block = block or _Block(lonely, percent)
+            for other in block.cids[block.similar(shingles)].tolist():
                 if other != cid and forest.join(cid, other):
                     found.append((cid, other))
         if found:

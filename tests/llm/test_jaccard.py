@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from maskwright.llm import jaccard
@@ -146,3 +147,46 @@ def test_components_of_links(spark):
                 root[a] = root[b] = min(root[a], root[b])
     assert got == root
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_a_shared_passage_makes_few_comparisons():
+    """Of 5,000 sets that share a tenth and nothing else, hardly any pair is compared in full."""
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 2**63, 12).astype(np.uint64)
+    rows = [
+        (i, np.unique(np.concatenate([passage, rng.integers(0, 2**63, 108).astype(np.uint64)])))
+        for i in range(5000)
+    ]
+    near = [(5000 + i, np.sort(np.concatenate([rows[i][1][2:], passage[:1] + np.uint64(i + 1)])))
+            for i in range(20)]
+    compared = 0
+    for k in range(0, 5000, 1000):
+        block = jaccard._Block(rows[k:k + 1000], 90)
+        for cid, shingles in rows[::10]:
+            assert [int(block.cids[i]) for i in block.similar(shingles)] == (
+                [cid] if k <= cid < k + 1000 else [])
+        compared += block.compared
+    # 500 sets against 5,000 are 2,500,000 pairs.
+    assert compared < 25_000
+    block = jaccard._Block(rows[:1000], 90)
+    for cid, shingles in near:
+        want = [i for i in range(1000) if jaccard.similar_sets(rows[i][1], shingles, 90)]
+        assert block.similar(shingles) == want == [cid - 5000]
+
+
+def test_blocks_equal_brute_force():
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(40):
+        base = np.unique(rng.integers(0, 2**63, rng.integers(1, 80)).astype(np.uint64))
+        for _ in range(6):
+            keep = base[rng.random(len(base)) > rng.choice([0, 0.03, 0.08])]
+            more = rng.integers(0, 2**63, rng.integers(0, 4)).astype(np.uint64)
+            one = np.unique(np.concatenate([keep, more]))
+            if len(one):
+                sets.append(one)
+    for percent in (50, 80, 90, 100):
+        block = jaccard._Block(list(enumerate(sets)), percent)
+        for s in sets:
+            assert block.similar(s) == [
+                i for i, other in enumerate(sets) if jaccard.similar_sets(other, s, percent)]
