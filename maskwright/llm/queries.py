@@ -340,6 +340,68 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _sql_leaf(columns: list[str]) -> str:
+    parts = [f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in columns]
+    return f"sha256({' || '.join(parts)})"
+
+
+# The CRC-32 of the decimal id, bit by bit.
+_SQL_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 1, 2, 3, 4, 5, 6, 7]),
+      lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+_SQL_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _sql_levels(name: str, base: str) -> str:
+    """All nodes of trees (tree, level, idx, h, n): n is the number of nodes of the level."""
+    return f"""{name} AS (
+  {base}
+  UNION ALL SELECT tree, level + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16
+  FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 16, n)"""
+
+
+def _sql_siblings(rows: str, nodes: str, offset: int) -> str:
+    """The siblings before and after the node above each row, per level."""
+    own = "(l.idx >> (4 * s.level))"
+    return f"""SELECT l.k, s.level + {offset} AS lev,
+      coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx < {own}), '') AS before,
+      coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx > {own}), '') AS after
+    FROM {rows} l JOIN {nodes} s ON s.tree = l.tree AND s.n > 1
+      AND s.idx // 16 = (l.idx >> (4 * s.level + 4)) GROUP BY l.k, s.level"""
+
+
+_OWN = ["doc_id", "source", "lang", "n_chars"]
+_BASE = "SELECT tree, 0::BIGINT AS level, idx, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM leaves"
+_TOP = "SELECT '' AS tree, 0::BIGINT AS level, idx, h, count(*) OVER () AS n FROM subroots"
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS tree, {_sql_leaf([*_OWN, "text"])} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_SQL_CRC} % 5 = 0 THEN {_sql_leaf([*_OWN, _SQL_LOWER])} END AS claimed
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER () AS k,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM hashed),
+{_sql_levels("nodes", _BASE)},
+subroots AS (SELECT tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS idx FROM nodes WHERE n = 1),
+{_sql_levels("tops", _TOP)},
+root AS (SELECT h AS root FROM tops WHERE n = 1),
+upper AS (SELECT k, '' AS tree, s.idx FROM leaves l JOIN subroots s ON s.name = l.tree),
+steps AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY lev) AS step FROM (
+    {_sql_siblings("leaves", "nodes", 0)} UNION ALL {_sql_siblings("upper", "tops", 1000)}) x),
+folded AS (
+  SELECT k, 0::BIGINT AS step, coalesce(claimed, leaf) AS h FROM leaves
+  UNION ALL SELECT f.k, s.step, sha256(s.before || f.h || s.after) FROM folded f
+    JOIN steps s ON s.k = f.k AND s.step = f.step + 1),
+told AS (
+  SELECT k, max(step) AS last, string_agg(before || after, '' ORDER BY step) AS proof FROM steps GROUP BY k)
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.root, sha256(coalesce(t.proof, '')) AS proof_sha256,
+  f.h AS folded_root, f.h = r.root AS verified
+FROM leaves l JOIN subroots s ON s.name = l.tree CROSS JOIN root r LEFT JOIN told t ON t.k = l.k
+JOIN folded f ON f.k = l.k AND f.step = coalesce(t.last, 0)"""
+
+
 @_query
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The row of equal texts that stays, for every document."""

@@ -2,9 +2,10 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import pytest
 from maskwright.llm import merkle
-from maskwright.llm.queries import QUERIES
+from maskwright.llm.queries import ORACLES, QUERIES
 from pyspark.sql import functions as F
 
 FANOUT = 16
@@ -144,3 +145,11 @@ def test_query_equals_the_definition(spark, folder):
     assert got.columns == [
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+
+
+def test_the_sql_equals_the_definition():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, source VARCHAR, lang VARCHAR, n_chars BIGINT, text VARCHAR)")
+    rows = made(random.Random(16), [(None, 1), ("a", 16), ("", 17), ("é", 300), ("b", 2)])
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", rows)
+    assert sorted(con.execute(ORACLES["op12_merkle_manifest"]).fetchall(), key=str) == brute(rows)
