@@ -178,14 +178,20 @@ def candidate_groups(classes: DataFrame, percent: int) -> DataFrame:
     return buckets.join(leaders, "token").select("leader", "cid").distinct()
 
 
+def needed(n: int, percent: int) -> int:
+    """How many shingles the prefixes of a set of n and any similar set share, at least."""
+    return min(slack(n), overlap(n, percent))
+
+
 def _prefix(shingles: np.ndarray, order: int, percent: int) -> np.ndarray:
     """The prefix under a random order, as the keys of that order (0: the hashes themselves)."""
-    length = len(shingles) - overlap(len(shingles), percent) + 1
+    n = len(shingles)
+    length = n - overlap(n, percent) + needed(n, percent)
     if order == 0:
         return shingles[:length]
     with np.errstate(over="ignore"):
         keys = _mixed(shingles * np.uint64(2 * order + 1) + _M2)
-    return np.partition(keys, length - 1)[:length] if length < len(keys) else keys
+    return np.partition(keys, length - 1)[:length] if length < n else keys
 
 
 def similar_sets(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -198,9 +204,10 @@ def verified(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sets are similar: prefixes under the further orders first, then all shingles."""
     if percent * max(len(a), len(b)) > 100 * min(len(a), len(b)):
         return False
+    least = min(needed(len(a), percent), needed(len(b), percent))
     for order in FURTHER_ORDERS:
         mine, other = _prefix(a, order, percent), _prefix(b, order, percent)
-        if not np.isin(mine, other, assume_unique=True).any():
+        if len(np.intersect1d(mine, other, assume_unique=True)) < least:
             return False
     return similar_sets(a, b, percent)
 
@@ -217,20 +224,20 @@ class _Index:
             keys[order], return_index=True, return_counts=True
         )
 
-    def meeting(self, prefix: np.ndarray) -> np.ndarray:
-        """The places of the sets whose prefix shares a key with the given one."""
+    def shared(self, prefix: np.ndarray, n: int) -> np.ndarray:
+        """How many keys of a prefix each of the n sets shares."""
         at = np.searchsorted(self.keys, prefix)
         at[at == len(self.keys)] = 0
         at = at[self.keys[at] == prefix]
         counts, begins = self.counts[at], self.begins[at]
         steps = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-        return np.unique(self.owners[np.repeat(begins, counts) + steps])
+        return np.bincount(self.owners[np.repeat(begins, counts) + steps], minlength=n)
 
 
 class _Block:
     """Sets of one block, with an index of their prefixes under every further order.
 
-    Only sets that meet under all orders, and have fitting sizes, are compared in full.
+    Only sets of fitting sizes whose prefixes share enough under all orders are compared in full.
     """
 
     def __init__(self, rows: list[tuple[int, np.ndarray]], percent: int) -> None:
@@ -242,19 +249,19 @@ class _Block:
             order: _Index([_prefix(s, order, percent) for s in self.sets])
             for order in (0, *FURTHER_ORDERS)
         }
+        self.needed = np.array([needed(len(s), percent) for s in self.sets], dtype=np.int64)
         self.compared = 0
 
     def similar(self, shingles: np.ndarray) -> list[int]:
         """Places of the sets that are similar to the given one, exactly."""
         n, percent = len(shingles), self.percent
-        fits = percent * np.maximum(self.sizes, n) <= 100 * np.minimum(self.sizes, n)
-        places = np.flatnonzero(fits)
+        meets = percent * np.maximum(self.sizes, n) <= 100 * np.minimum(self.sizes, n)
+        least = np.minimum(self.needed, needed(n, percent))
         for order, index in self.indexes.items():
-            if not len(places):
+            if not meets.any():
                 return []
-            places = np.intersect1d(
-                places, index.meeting(_prefix(shingles, order, percent)), assume_unique=True
-            )
+            meets &= index.shared(_prefix(shingles, order, percent), len(self.sets)) >= least
+        places = np.flatnonzero(meets)
         self.compared += len(places)
         return [i for i in places.tolist() if similar_sets(self.sets[i], shingles, percent)]
 
