@@ -12,6 +12,7 @@ from maskwright.operators.detectors import pattern_detector, register_detector
 from maskwright.operators.listing import Listing, ListQuery, page
 from maskwright.operators.models import train
 from maskwright.operators.policy import RedactOptions
+from maskwright.operators.projections import trained_models, version_summaries
 from maskwright.operators.redact import detect, flat_candidates, redact
 from maskwright.operators.registry import upsert
 from maskwright.operators.sizing import spread
@@ -445,3 +446,77 @@ def m4_forced_prediction(t: Tables) -> DataFrame:
             F.lit(run).alias("run"), F.lit(told.scanned).cast("long").alias("scanned"), "spans")
         done = one if done is None else done.unionByName(one)
     return done
+
+
+# Files of models and versions, one per line of an order, with counts of their spans.
+_LINE_FILES = """files AS (
+  SELECT l_orderkey AS owner, l_linenumber AS file_id, 'file ' || l_partkey AS file_name,
+    CASE WHEN l_linestatus = 'F' THEN 'Ready' ELSE 'Analyzing' END AS status,
+    l_quantity::BIGINT AS num_entities, l_quantity::BIGINT AS predicted,
+    l_quantity::BIGINT + l_linenumber AS gold, (l_quantity::BIGINT * 3) // 4 AS hits FROM lineitem),
+rated AS (
+  SELECT *, hits / nullif(predicted, 0) AS p, hits / nullif(gold, 0) AS r FROM (
+    SELECT owner, sum(num_entities)::BIGINT AS entity_count, count(*) AS file_count,
+      avg((status = 'Ready')::INT) AS progress, sum(hits) AS hits, sum(predicted) AS predicted,
+      sum(gold) AS gold FROM files GROUP BY owner) x)"""
+
+
+def _line_files(t: Tables, key: str) -> DataFrame:
+    quantity = F.col("l_quantity").cast("long")
+    hits = F.call_function("div", quantity * 3, F.lit(4))
+    return t.lineitem.select(
+        F.col("l_orderkey").alias(key), F.col("l_linenumber").alias("file_id"),
+        F.concat(F.lit("file "), F.col("l_partkey").cast("string")).alias("file_name"),
+        F.when(F.col("l_linestatus") == "F", "Ready").otherwise("Analyzing").alias("status"),
+        quantity.alias("num_entities"), quantity.alias("predicted"),
+        (quantity + F.col("l_linenumber")).alias("gold"), hits.alias("pred_hits"), hits.alias("gold_hits"),
+    )
+
+
+@query(
+    "m9_trained_models",
+    with_ctes(
+        _LINE_FILES,
+        """last AS (SELECT o_custkey AS entity_id, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS active
+           FROM orders GROUP BY o_custkey)""",
+        select="""SELECT o_orderkey AS model_id, o_orderkey % 7 AS model_number, o_custkey AS entity_id,
+            o_orderpriority AS version_id, o_orderstatus AS status, active = o_orderkey AS is_active,
+            progress, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) END AS benchmark_score,
+            coalesce(entity_count, 0) AS entity_count, coalesce(file_count, 0) AS file_count
+          FROM orders o LEFT JOIN rated f ON f.owner = o.o_orderkey JOIN last l ON l.entity_id = o.o_custkey""",
+    ),
+)
+def m9_trained_models(t: Tables) -> DataFrame:
+    """All models with progress, benchmark score, counts and whether they are active."""
+    models = t.orders.select(
+        F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 7).alias("number"),
+        F.col("o_custkey").alias("entity_id"), F.col("o_orderpriority").alias("version_id"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    activations = t.orders.select(
+        F.col("o_custkey").alias("entity_id"), F.col("o_orderkey").alias("model_id"),
+        F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("event_id"),
+    )
+    return trained_models(models, _line_files(t, "model_id"), activations)
+
+
+@query(
+    "g15_version_counts",
+    with_ctes(
+        _LINE_FILES,
+        select="""SELECT o_orderkey AS version_id, o_custkey AS entity_id, o_orderkey % 7 AS version_number,
+            o_orderstatus AS status, coalesce(entity_count, 0) AS entity_count,
+            CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) END AS f1_score, r AS recall_score,
+            p AS precision_score, coalesce(file_count, 0) AS file_count, o_orderpriority AS guidelines
+          FROM orders o LEFT JOIN rated f ON f.owner = o.o_orderkey""",
+    ),
+)
+def g15_version_counts(t: Tables) -> DataFrame:
+    """Versions with counts and scores of their files, guidelines included, errors not."""
+    none = F.lit(None).cast("string")
+    versions = t.orders.select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("entity_id"),
+        (F.col("o_orderkey") % 7).alias("version_number"), F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("guidelines"), none.alias("error_type"), none.alias("error_details"),
+    )
+    return version_summaries(versions, _line_files(t, "version_id"), guidelines=True, errors=False)

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from maskwright import LabelList, RedactOptions, detect
+from maskwright.operators.projections import trained_models, version_files, version_summaries
 from maskwright.operators.snapshots import SnapshotRegistry
 from maskwright.operators.span_store import SpanStore, detector_version
 from pyspark.sql import functions as F
@@ -82,3 +83,36 @@ def test_the_state_reads_the_snapshot_and_newer_batches_only(spark, tmp_path):
     # A snapshot or batch that was not finished does not count.
     (tmp_path / "r/snapshots/upto=9").mkdir()
     assert registry.current(spark).count() == 100
+
+
+def test_models_and_versions_without_files(spark):
+    """Counts are 0 and scores NULL without files; one entity or one model can be asked for."""
+    models = spark.createDataFrame(
+        [("m1", 1, "e", "v", "Ready"), ("m2", 2, "e", "v", "Training"), ("m3", 1, "f", "w", "Failed")],
+        "id string, number int, entity_id string, version_id string, status string")
+    counts = "status string, num_entities int, predicted int, gold int, pred_hits int, gold_hits int"
+    files = spark.createDataFrame(
+        [("m1", "Ready", 3, 4, 2, 2, 2), ("m1", "Failed", None, 0, 2, 0, 0), ("m2", "Ready", 0, 0, 0, 0, 0)],
+        f"model_id string, {counts}")
+    activations = spark.createDataFrame(
+        [("e", "m2", 1, 1), ("e", "m1", 2, 2), ("g", "m9", 1, 3)],
+        "entity_id string, model_id string, at int, event_id int")
+    got = {r["model_id"]: r for r in trained_models(models, files, activations).collect()}
+    assert {k: (r["is_active"], r["progress"], r["entity_count"], r["file_count"]) for k, r in got.items()} == {
+        "m1": (True, 0.5, 3, 2), "m2": (False, 1.0, 0, 1), "m3": (False, None, 0, 0)}
+    assert got["m1"]["benchmark_score"] == 0.5 and got["m2"]["benchmark_score"] is None
+    assert trained_models(models, files, activations, entity_id="f").count() == 1
+    one = trained_models(models, files, activations, entity_id="e", model_id="m2").collect()
+    assert [r["model_id"] for r in one] == ["m2"]
+    versions = spark.createDataFrame(
+        [("m1", "e", 1, "Ready", "g", None, None), ("x", "e", 2, "Failed", "g", "T", "d")],
+        "id string, entity_id string, version_number int, status string, guidelines string, "
+        "error_type string, error_details string")
+    own = files.withColumnRenamed("model_id", "version_id")
+    plain = version_summaries(versions, own)
+    assert plain.columns[-2:] == ["error_type", "error_details"] and "guidelines" not in plain.columns
+    rows = {r["version_id"]: r for r in version_summaries(versions, own, guidelines=True, errors=False).collect()}
+    assert (rows["m1"]["file_count"], rows["m1"]["f1_score"], rows["m1"]["guidelines"]) == (2, 0.5, "g")
+    assert (rows["x"]["file_count"], rows["x"]["entity_count"], rows["x"]["f1_score"]) == (0, 0, None)
+    named = own.withColumns({"file_id": F.lit(1), "file_name": F.lit("f")})
+    assert version_files(named, errors=False).filter("f1_score IS NOT NULL").count() == 1
