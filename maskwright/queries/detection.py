@@ -619,17 +619,21 @@ _FIRST_WORDS = " UNION ".join(
         f"phrases AS ({_FIRST_WORDS})",
         r"""cut AS (SELECT doc_id, regexp_extract_all(note, '[\p{L}\p{N}]+') AS m,
              string_split_regex(note, '[\p{L}\p{N}]+') AS g FROM asked)""",
-        f"""runs AS (SELECT doc_id, n, i, m, g FROM cut, (SELECT unnest([{', '.join(map(str, _RUNS))}]) AS n) l,
-             unnest(range(1, len(m) - n + 2)) AS u(i)
-           WHERE len(list_filter(g[i + 1:i + n - 1], lambda z: NOT regexp_full_match(z, '\\s+'))) = 0)""",
-        """cand AS (SELECT doc_id AS k, 1 AS precedence, p.label, 0.9::DOUBLE AS score, r.s AS "start",
-             r.s + length(r.text) AS "end", r.text FROM (
-               SELECT doc_id, n, array_to_string(m[i:i + n - 1], ' ') AS phrase,
-                 (list_sum(list_transform(g[1:i], lambda z: length(z)))
-                   + coalesce(list_sum(list_transform(m[1:i - 1], lambda z: length(z))), 0))::INT AS s,
-                 m[i] || coalesce(array_to_string(list_transform(range(i + 1, i + n), lambda j: g[j] || m[j]), ''), '')
-                   AS text
-               FROM runs) r JOIN phrases p ON p.phrase = r.phrase AND p.n = r.n)""",
+        """tokens AS (SELECT doc_id, unnest(m) AS word, unnest(g[1:len(m)]) AS gap,
+             unnest(range(1, len(m) + 1)) AS i FROM cut)""",
+        """placed AS (SELECT *, (sum(length(gap) + length(word)) OVER (
+             PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING))::INT AS e FROM tokens)""",
+        """following AS (SELECT doc_id, e - length(word) AS s, list(word) OVER w AS w, list(gap) OVER w AS g,
+             list(e) OVER w AS e FROM placed WINDOW w AS (
+               PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING))""",
+        f"""runs AS (SELECT doc_id, n, s, e[n] AS e, array_to_string(w[1:n], ' ') AS phrase
+             FROM following, (SELECT unnest([{', '.join(map(str, _RUNS))}]) AS n) l
+             WHERE len(w) >= n
+               AND len(list_filter(g[2:n], lambda z: NOT regexp_full_match(z, '\\s+'))) = 0)""",
+        """cand AS (SELECT r.doc_id AS k, 1 AS precedence, p.label, 0.9::DOUBLE AS score, s AS "start",
+             e AS "end", substr(a.note, s + 1, e - s) AS text
+             FROM runs r JOIN phrases p ON p.phrase = r.phrase AND p.n = r.n
+             JOIN asked a ON a.doc_id = r.doc_id)""",
         sql_resolved(),
         select=SPAN_SELECT + " FROM spans",
     ),
