@@ -64,7 +64,7 @@ def test_stages_keep_the_columns(spark, folder):
 def test_all_queries_are_registered(folder):
     names = set(entry.queries())
     assert {"pipeline", *QUERIES} <= names
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(entry.oracle_sql())
 
 
