@@ -216,3 +216,33 @@ def test_entity_table(docs):
     assert [(r.ord, r.label, r.start, r.new_start) for r in rows] == [
         (0, "EMAIL_ADDRESS", 0, 0), (1, "IP_ADDRESS", 8, 16)
     ]
+
+
+def test_texts_are_searched_once(spark):
+    """One search of a text finds the matches and the pieces between them, also where the text
+    holds the mark that parts them."""
+    texts = ["a1b22c", "1", "", "\x01" + "1\x01x2", "x" + "7 " * 200, "\x01", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    word = sp.Pattern("[0-9]+", "N", 1, once=True)
+    plan = df.select(word.pieces(F.col("text")))._jdf.queryExecution().analyzed().toString()
+    assert "ELSE split(regexp_replace(" in plan
+    rows = df.select("text", sp.pattern_candidates(F.col("text"), [word]).alias("c")).collect()
+    for text, found in rows:
+        want = [(m.start(), m.end(), m[0]) for m in re.finditer("[0-9]+", text or "")]
+        assert [(c.start, c.end, c.text) for c in found] == want
+
+
+def test_check_digits_of_ibans(spark):
+    rng = random.Random(5)
+    values = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "fr14 2004 1010 0505 0001 3M02 606"]
+    for n in (4, 6, 18, 34, 35, 60):
+        values += ["".join(rng.choices("ABXYZ", k=2)) + "".join(rng.choices("0123456789", k=n))
+                   for _ in range(200)]
+
+    def valid(value):
+        bare = value.replace(" ", "").upper()
+        return int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
+
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = df.select("v", sp.mod97_valid(F.col("v")).alias("ok")).collect()
+    assert [r.ok for r in got] == [valid(r.v) for r in got] and any(r.ok for r in got[3:])
