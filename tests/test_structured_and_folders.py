@@ -17,7 +17,7 @@ from maskwright.operators.ordinals import ordinal_within
 from maskwright.operators.redact import flat_candidates, detect
 from maskwright.operators.detectors import register_detector
 from maskwright.operators.registry import jobs_since
-from maskwright.operators.structured import redact_html, redact_json, redact_xml
+from maskwright.operators.structured import json_leaf_table, redact_html, redact_json, redact_xml
 from maskwright.plans.folder import FolderOptions, deidentify_folder, plan_work, redacted_name, with_outputs
 from maskwright.sources.files import list_tree, read_whole, write_tree
 from maskwright.sources.shared import stored
@@ -264,3 +264,11 @@ def test_trees_are_listed_by_tasks(spark, tmp_path):
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad/x.txt").write_bytes(b"a\xffb")
     assert read_whole(spark, str(tmp_path / "bad")).first()["text"] == "a\ufffdb"
+
+
+def test_documents_reach_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    df = spark.createDataFrame([('{"a": "b@c.de"}',)], "j string")
+    for run in (lambda: redact_json(df, "j"), lambda: json_leaf_table(df, [], "j")):
+        spark.conf.set(name, "10000")
+        assert run().count() == 1 and int(spark.conf.get(name)) <= 2048
