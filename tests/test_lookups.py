@@ -245,3 +245,37 @@ def test_every_label_keeps_its_pool(spark):
         rows = lookups.numbered(detect(df, "text"))
         found = lookups.drawn(rows, "spans", pools, "k", hot=hot).first()["spans"]
         assert [s["swap"][:-1] for s in found] == ["EMAIL_ADDRESS", "IP_ADDRESS"]
+
+
+def test_patterns_are_compiled_when_they_are_tried(spark):
+    listed = spark.createDataFrame([("A", "abc[0-9]"), ("A", "xyz+")], "label string, pattern string")
+    [block] = pattern_tables.pattern_blocks(listed)
+    assert block == [("A", "abc[0-9]", "abc"), ("A", "xyz+", "xy")]
+    patterns = pattern_tables.Patterns(block)
+    assert not patterns.compiled and [f["text"] for f in patterns.found("abc1")] == ["abc1"]
+    assert list(patterns.compiled) == [0]
+
+
+def test_delimited_files_are_read_by_all_slots(spark, tmp_path, monkeypatch):
+    from maskwright.sources import tables
+
+    monkeypatch.setattr(tables, "FILE_ROWS", 10)
+    rows = spark.range(0, 95, 1, 1).selectExpr("id", "'a\nb' AS text")
+    tables.write_delimited(rows, f"{tmp_path}/many")
+    assert len(list((tmp_path / "many").glob("*.csv"))) == 10
+    rows.coalesce(1).write.option("header", "true").option("escape", '"').csv(f"{tmp_path}/one")
+    for name in ("many", "one"):
+        read = tables.read_delimited(spark, f"{tmp_path}/{name}")
+        assert read.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        assert sorted(int(r.id) for r in read.collect()) == list(range(95))
+        assert {r.text for r in read.collect()} == {"a\nb"}
+
+
+def test_the_dictionary_holds_words_of_any_frequency(spark, tmp_path):
+    from maskwright.queries import QUERIES
+
+    texts = ["common"] * 30 + ["rare common", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.entities_found for r in QUERIES["r23_dictionary_table"](spark, str(tmp_path)).collect()}
+    assert got == {i: 1 for i in range(30)} | {30: 2}
