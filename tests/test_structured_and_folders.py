@@ -12,7 +12,7 @@ from maskwright.functions.jsonpath import to_regex
 from maskwright.functions.text import extension, normalize_duration
 from maskwright.operators import evaluate as ev
 from maskwright.operators.listing import Listing, ListQuery, page
-from maskwright.operators.models import train
+from maskwright.operators.models import token_features, train, training_rows
 from maskwright.operators.ordinals import ordinal_within
 from maskwright.operators.redact import flat_candidates, detect
 from maskwright.operators.detectors import register_detector
@@ -181,6 +181,21 @@ def test_trained_detector_learns(spark):
     assert [(g.label, g.text) for g in got] == [("AGENT", "K777")]
 
 
+def test_equal_tokens_are_trained_on_once(spark):
+    text = "écrit K007 ou İ K007"
+    files = spark.createDataFrame(
+        [(i, text) for i in range(30)] + [(1, None), (2, ""), (None, "K007")], "file_id int, content string")
+    spans = spark.createDataFrame([(i, 6, 8) for i in range(10)] + [(0, 9, 10)], "file_id int, start int, end int")
+    rows = training_rows(files, spans).collect()
+    # Five tokens, the second one with either target, and a lone one.
+    assert len(rows) == 7 and sum(r.n for r in rows) == 151
+    assert sorted(r.n for r in rows if r.target == 1) == [10]
+    assert all(r.vector["indices"] == sorted(set(r.vector["indices"])) for r in rows)
+    tokens = spark.createDataFrame([(["écrit", "K007", "ou", "İ", "K007"],)], "t array<string>")
+    want = {tuple(f) for f in tokens.select(token_features(F.col("t"))).first()[0]}
+    assert want <= {tuple(r.vector["indices"]) for r in rows}
+
+
 def test_empty_files_are_files(spark, tmp_path):
     texts = {"a/x.txt": "mail a@b.com", "a/em+pty %41.txt": "", "b/c/empty.json": "", "é.log": ""}
     for path, text in texts.items():
