@@ -279,3 +279,18 @@ def test_the_dictionary_holds_words_of_any_frequency(spark, tmp_path):
         f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.entities_found for r in QUERIES["r23_dictionary_table"](spark, str(tmp_path)).collect()}
     assert got == {i: 1 for i in range(30)} | {30: 2}
+
+
+def test_phrases_keep_the_white_space_of_their_text(spark):
+    texts = ["Big \n Apple, big Big Apple", "Apple Apple", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    words = spark.createDataFrame(
+        [("ORGANIZATION", "Big  Apple"), ("NAME_FAMILY", "Apple"), ("ORGANIZATION", "Apple")], "label string, word string")
+    found = detect(df, "text", RedactOptions(labels=[]), dictionary=words)
+    # Values come along with their places; none is cut out of the whole text again.
+    assert "substring(" not in found._jdf.queryExecution().analyzed().toString()
+    got = {r.id: [(c.start, c.end, c.label, c.text) for c in r.spans] for r in found.collect()}
+    assert got == {
+        0: [(0, 11, "ORGANIZATION", "Big \n Apple"), (17, 26, "ORGANIZATION", "Big Apple")],
+        1: [(0, 5, "NAME_FAMILY", "Apple"), (6, 11, "NAME_FAMILY", "Apple")], 2: [], 3: [],
+    }
