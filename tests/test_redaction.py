@@ -246,3 +246,21 @@ def test_check_digits_of_ibans(spark):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     got = df.select("v", sp.mod97_valid(F.col("v")).alias("ok")).collect()
     assert [r.ok for r in got] == [valid(r.v) for r in got] and any(r.ok for r in got[3:])
+
+
+def test_long_texts_are_cut_into_words_once(spark):
+    from pyspark.sql import types as T
+
+    from maskwright.operators.redact import dictionary_spans
+
+    texts = [("a", "é two_two  two"), (None, "two"), ("a", "é two_two  two"), ("b", None), ("c", "İ𝒳two two"), ("d", "")]
+    df = spark.createDataFrame(texts, "key string, text string")
+    words = spark.createDataFrame([("two",), ("two",), (None,)], "word string")
+    found = dictionary_spans(df, "key", "text", words, "ORGANIZATION")
+    # Words leave by Arrow batches, no row holds an array of them.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "arrays_zip" not in plan
+    assert found.schema["key"].dataType == T.StringType()
+    got = sorted((r.key or "", r.text, r.start, r.end) for r in found.collect())
+    twice = [("a", "two", s, s + 3) for s in (2, 2, 6, 6, 11, 11)]
+    assert got == [("", "two", 0, 3), *twice, ("c", "two", 6, 9)]
