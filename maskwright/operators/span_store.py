@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.functions import spans as sp
-from maskwright.operators.lookups import value_lookup
+from maskwright.operators.lookups import HOT
 from maskwright.operators.ordinals import latest_per_key
 from maskwright.operators.policy import RedactOptions
 from maskwright.operators.redact import _name, detect, enabled, refuse_clashes
@@ -77,25 +77,35 @@ class SpanStore:
         placed = df.toDF(*[f"__c{i}" for i in range(len(order))])
         text = f"__c{order.index(text_col)}"
         keyed = placed.withColumn("__content", content_of(F.col(text)))
-        contents = keyed.select(F.col("__content").alias("content")).filter("content IS NOT NULL").distinct()
-        wanted = contents if force else contents.join(
+        key = F.col("__content").alias("content")
+        # One pass for what there is and how often; texts are written nowhere.
+        counted = keyed.filter("__content IS NOT NULL").groupBy(key).agg(F.count("*").alias("n"))
+        contents = stored(counted, "span_store_contents")
+        wanted = contents.select("content") if force else contents.select("content").join(
             self._known(version).select("content"), "content", "left_anti")
         wanted = stored(wanted, "span_store_wanted")
         scanned = wanted.count()
         if scanned:
             # One text of each content: the others do not leave their tasks.
-            texts = keyed.select(F.col("__content").alias("content"), F.col(text).alias("text")).join(
+            texts = keyed.select(key, F.col(text).alias("text")).join(
                 wanted, "content", "left_semi").dropDuplicates(["content"])
             found = detect(texts, "text", options).select(
                 "content", F.lit(version).alias("version"), F.lit(run).cast("long").alias("run"), "spans")
             found.write.mode("append").parquet(self.path)
-        known = self._known(version)
-        numbered = stored(keyed.withColumn("__row", F.monotonically_increasing_id()), "span_store_rows")
-        cells = numbered.filter("__content IS NOT NULL").select("__row", F.col("__content").alias("content"))
-        # A text that many rows hold is a hot key: it goes by broadcast.
-        hits = value_lookup(
-            cells, ["content"], lambda values: values.join(known, "content", "left"), "spans")
-        rows = numbered.join(hits.select("__row", "spans"), "__row", "left").select(
-            *[_name(c) for c in placed.columns], F.coalesce("spans", sp.empty_candidates()),
-        ).toDF(*order, "spans")
+        spans = F.coalesce("spans", sp.empty_candidates()).alias("spans")
+        known = stored(
+            contents.join(self._known(version), "content", "left").select(
+                F.col("content").alias("__content"), "n", spans), "span_store_known")
+        # A text that many rows hold is a hot key: there are fewer than HOT, which go by broadcast.
+        total = contents.agg(F.sum("n")).first()[0] or 0
+        often = F.broadcast(known.filter(F.col("n") * HOT > total).drop("n"))
+        seldom = known.filter(F.col("n") * HOT <= total).drop("n")
+        present = keyed.filter("__content IS NOT NULL")
+        met = (
+            present.join(often, "__content")
+            .unionByName(present.join(often.select("__content"), "__content", "left_anti").join(
+                seldom, "__content", "left"))
+            .unionByName(keyed.filter("__content IS NULL").withColumn("spans", sp.empty_candidates()))
+        )
+        rows = met.select(*[_name(c) for c in placed.columns], spans).toDF(*order, "spans")
         return Prediction(rows, scanned)

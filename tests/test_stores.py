@@ -116,3 +116,21 @@ def test_models_and_versions_without_files(spark):
     assert (rows["x"]["file_count"], rows["x"]["entity_count"], rows["x"]["f1_score"]) == (0, 0, None)
     named = own.withColumns({"file_id": F.lit(1), "file_name": F.lit("f")})
     assert version_files(named, errors=False).filter("f1_score IS NOT NULL").count() == 1
+
+
+def test_predictions_write_no_texts(spark, tmp_path, monkeypatch):
+    from maskwright.operators import span_store
+
+    written = []
+    whole = span_store.stored
+    monkeypatch.setattr(span_store, "stored", lambda df, name: written.append(df.columns) or whole(df, name))
+    texts = ["mail a@b.com"] * 5 + [f"mail a{i}@b.com" for i in range(3000)] + [None, None, ""]
+    df = spark.createDataFrame([(i % 7 or None, t) for i, t in enumerate(texts)], "id int, text string")
+    store = SpanStore(spark, str(tmp_path / "spans"))
+    told = store.predict(df, "text", run=1)
+    rows = told.rows.collect()
+    assert told.scanned == 3002 and sorted((r.id or 0, r.text or "") for r in rows) == sorted(
+        (i % 7, t or "") for i, t in enumerate(texts))
+    assert all(len(r.spans) == (1 if r.text else 0) for r in rows)
+    assert written and all(set(columns) <= {"content", "__content", "n", "spans"} for columns in written)
+    assert store.predict(df, "text", run=2).scanned == 0
