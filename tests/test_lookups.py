@@ -294,3 +294,34 @@ def test_phrases_keep_the_white_space_of_their_text(spark):
         0: [(0, 11, "ORGANIZATION", "Big \n Apple"), (17, 26, "ORGANIZATION", "Big Apple")],
         1: [(0, 5, "NAME_FAMILY", "Apple"), (6, 11, "NAME_FAMILY", "Apple")], 2: [], 3: [],
     }
+
+
+def test_patterns_meet_texts_by_their_literal_parts(spark, monkeypatch):
+    """No block is handed out for patterns with a literal part, and all occurrences are found."""
+    monkeypatch.setattr(pattern_tables, "_finder", None)
+    monkeypatch.setattr(pattern_tables, "_blocker", None)
+    draw = random.Random(5)
+    texts = ["".join(draw.choices(["ab", "b", "ü", "\U0001f600", "x1", " ", "u7@b.co"], k=draw.randint(0, 12))) for _ in range(60)]
+    rows = [("P", "ab+x"), ("Q", "b{2}"), ("P", "ü.?ü"), ("R", "\U0001f600x"), ("R", "x1 ?ab"), ("P", "ab+x"),
+            ("Q", "nowhere"), ("R", r"x1|b(?<=ab)x"[:2])]
+    listed = spark.createDataFrame([*rows, (None, "a"), ("P", None)], "label string, pattern string")
+    df = spark.createDataFrame([*enumerate(texts), (None, "abx"), (0, None)], "id int, text string")
+    placed = lookups.numbered(df.withColumn("spans", sp.empty_candidates()))
+    got = pattern_tables.forced(placed, "text", "spans", listed).collect()
+    assert len(got) == len(texts) + 2
+    for row in got:
+        want = sorted({(m.start(), m.end(), label, m[0]) for label, p in rows for m in re.finditer(p, row.text or "")})
+        assert sorted((s["start"], s["end"], s["label"], s["text"]) for s in row.spans) == want
+    blocked = spark.createDataFrame(
+        [("EMAIL_ADDRESS", "u7@"), ("URL", "ab"), ("EMAIL_ADDRESS", "^abu")], "label string, pattern string")
+    left = detect(df, "text", block_patterns=blocked).select("text", F.col("spans.text").alias("s")).collect()
+    kept = {r.text: r.s for r in detect(df, "text").select("text", F.col("spans.text").alias("s")).collect()}
+    assert all(r.s == [v for v in kept[r.text] or [] if "u7@" not in v] for r in left if r.text is not None)
+
+
+def test_literal_parts_in_texts_do_not_cross_them():
+    windows = pattern_tables._Windows("abcab")
+    assert windows.hashes(2)[0] == windows.hashes(2)[3] != windows.hashes(2)[1] and len(windows.hashes(9)) == 0
+    every = np.full(4, np.uint64(2**64 - 1))
+    assert pattern_tables._parts_in(["ab", None, "", "\U0001f600c"], every, [1, 2, 3]) == {
+        (0, "a"), (0, "b"), (0, "ab"), (3, "\U0001f600"), (3, "c"), (3, "\U0001f600c")}
