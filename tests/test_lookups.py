@@ -325,3 +325,25 @@ def test_literal_parts_in_texts_do_not_cross_them():
     every = np.full(4, np.uint64(2**64 - 1))
     assert pattern_tables._parts_in(["ab", None, "", "\U0001f600c"], every, [1, 2, 3]) == {
         (0, "a"), (0, "b"), (0, "ab"), (3, "\U0001f600"), (3, "c"), (3, "\U0001f600c")}
+
+
+def test_a_phrase_leaves_its_text_once(spark, monkeypatch):
+    """A word that a text holds many times is one row on its way to the dictionary."""
+    rows = []
+    whole = lookups.value_lookup
+
+    def counted(cells, *rest):
+        rows.append(cells.count())
+        return whole(cells, *rest)
+
+    monkeypatch.setattr(lookups, "value_lookup", counted)
+    text = "ab cd  ef " * 50 + "ab cd ef"
+    df = spark.createDataFrame([(1, text), (None, "ab"), (2, None), (3, "")], "id int, text string")
+    words = spark.createDataFrame(
+        [("A", "ab"), ("B", "ab"), ("A", "cd ef"), ("B", "xx")], "label string, word string")
+    found = detect(df, "text", RedactOptions(labels=[]), dictionary=words)
+    got = {r.id: r.spans for r in found.select("id", "spans").collect()}
+    assert rows == [3]
+    want = sorted([(m.start(), m.end(), "A", m[0]) for m in re.finditer(r"ab|cd\s+ef", text)])
+    assert [(s["start"], s["end"], s["label"], s["text"]) for s in got[1]] == want
+    assert [s["text"] for s in got[None]] == ["ab"] and not got[2] and not got[3]
